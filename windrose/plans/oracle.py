@@ -189,3 +189,229 @@ SELECT ws AS window_start_us, source, COUNT(*) AS event_count,
        ROUND(MAX(value) - MIN(value), 6) AS value_range, COUNT(DISTINCT user_id) AS users,
        CAST(SUM(k) AS BIGINT) AS k_sum
 FROM sig GROUP BY ws, source""")
+
+# ---------------------------------------------------------------- metrics
+
+PROC_SIG = "(SELECT * FROM sig WHERE NOT COALESCE(k >= 95, false))"
+
+ORACLE["admission_cap"] = with_sig("""
+SELECT arrival_seq, source, ws AS bucket_us, rn_all <= 10 AS accepted,
+       NOT (rn_all <= 10) OR NOT (rn_src <= 4) AS dropped
+FROM (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY arrival_seq) AS rn_all,
+             row_number() OVER (PARTITION BY ws, source ORDER BY arrival_seq) AS rn_src FROM sig)""")
+
+ORACLE["ingest_totals"] = with_sig("""
+SELECT CASE WHEN GROUPING(source) = 1 THEN 'total' ELSE 'source' END AS scope, source,
+       COUNT(*) AS ingested, COUNT(*) FILTER (WHERE dropped) AS dropped
+FROM led GROUP BY ROLLUP (source)""", ledger=True)
+
+ORACLE["processed_totals"] = with_sig("""
+SELECT CASE WHEN GROUPING(source) = 1 THEN 'total' ELSE 'source' END AS scope, source,
+       COUNT(*) AS processed
+FROM led WHERE NOT dropped GROUP BY ROLLUP (source)""", ledger=True)
+
+ORACLE["aggregated_total"] = with_sig(f"""
+SELECT COUNT(*) AS aggregated_total FROM (SELECT DISTINCT ws, source FROM {PROC_SIG})""")
+
+ORACLE["drop_ratio_ingested"] = with_sig("""
+SELECT COUNT(*) AS ingested, COUNT(*) FILTER (WHERE dropped) AS dropped,
+       ROUND(COALESCE(CAST(COUNT(*) FILTER (WHERE dropped) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0), 6)
+         AS drop_ratio_ingested
+FROM led""", ledger=True)
+
+ORACLE["drop_ratio_processed"] = with_sig("""
+SELECT COUNT(*) FILTER (WHERE NOT dropped) AS processed, COUNT(*) FILTER (WHERE dropped) AS dropped,
+       ROUND(COALESCE(CAST(COUNT(*) FILTER (WHERE dropped) AS DOUBLE)
+                      / NULLIF(COUNT(*) FILTER (WHERE NOT dropped), 0), 0.0), 6) AS drop_ratio_processed
+FROM led""", ledger=True)
+
+
+def _rank_stats(src: str, value: str, mode: str, prefix: str, part: str = "") -> str:
+    """Nearest-rank avg / p50 / p95 over ``src`` (floor or ceil index on DOUBLE)."""
+    pby = f"PARTITION BY {part} " if part else ""
+    sel = f"{part}, " if part else ""
+    grp = f" GROUP BY {part}" if part else ""
+    return f"""(SELECT {sel}AVG({value}) AS {prefix}avg,
+        MAX(CASE WHEN rn = {mode}(0.5::DOUBLE * (n - 1)) THEN {value} END) AS {prefix}p50,
+        MAX(CASE WHEN rn = {mode}(0.95::DOUBLE * (n - 1)) THEN {value} END) AS {prefix}p95
+      FROM (SELECT {sel}{value}, row_number() OVER ({pby}ORDER BY {value}) - 1 AS rn,
+                   COUNT(*) OVER ({pby.strip()}) AS n FROM {src} WHERE {value} IS NOT NULL){grp})"""
+
+
+ORACLE["per_source_processing"] = with_sig(f"""
+, now AS (SELECT MAX(processed_us) AS now_us FROM led),
+ing AS (SELECT source, COUNT(*) AS ingested, COUNT(*) FILTER (WHERE dropped) AS dropped FROM led GROUP BY source),
+pr AS (SELECT source, COUNT(*) AS processed_total,
+              COUNT(*) FILTER (WHERE processed_us BETWEEN now_us - 10000000 AND now_us) AS recent
+       FROM led, now WHERE NOT dropped GROUP BY source),
+rec AS (SELECT source, latency_ms FROM
+          (SELECT source, latency_ms, row_number() OVER (PARTITION BY source ORDER BY arrival_seq DESC) AS rk
+           FROM led WHERE NOT dropped) WHERE rk <= 2000),
+lat AS {_rank_stats("rec", "latency_ms", "floor", "latency_", part="source")}
+SELECT COALESCE(ing.source, pr.source) AS source, COALESCE(ingested, 0) AS ingested,
+       COALESCE(dropped, 0) AS dropped, COALESCE(processed_total, 0) AS processed_total,
+       ROUND(COALESCE(recent / 10.0, 0.0), 6) AS process_eps,
+       ROUND(latency_avg, 6) AS latency_avg, ROUND(latency_p50, 6) AS latency_p50,
+       ROUND(latency_p95, 6) AS latency_p95
+FROM ing FULL OUTER JOIN pr ON ing.source = pr.source
+LEFT JOIN lat ON lat.source = COALESCE(ing.source, pr.source)""", ledger=True)
+
+ORACLE["union_sources"] = with_sig("""
+SELECT source FROM led UNION SELECT source FROM led WHERE NOT dropped""", ledger=True)
+
+LAT_RECENT = "(SELECT latency_ms FROM led WHERE NOT dropped ORDER BY arrival_seq DESC LIMIT 2000)"
+
+ORACLE["latency_stats"] = with_sig(f"""
+SELECT ROUND(latency_avg, 6) AS latency_avg, ROUND(latency_p50, 6) AS latency_p50,
+       ROUND(latency_p95, 6) AS latency_p95
+FROM {_rank_stats(LAT_RECENT, "latency_ms", "floor", "latency_")}""", ledger=True)
+
+RECORDS = f"""(SELECT ws, COUNT(*) AS count_total,
+        CAST(MAX(t_us) - MIN(t_us) AS DOUBLE) / 1000.0 AS span_ms,
+        (COUNT(*) FILTER (WHERE source = 'sensor') > 0)::INT + (COUNT(*) FILTER (WHERE source = 'log') > 0)::INT
+          + (COUNT(*) FILTER (WHERE source = 'feed') > 0)::INT AS aggregates_emitted
+      FROM {PROC_SIG} GROUP BY ws ORDER BY ws DESC LIMIT 200)"""
+
+SUMMARY = f"""
+, rec AS {RECORDS},
+cs AS {_rank_stats("rec", "count_total", "ceil", "count_")},
+ds AS {_rank_stats("rec", "span_ms", "ceil", "duration_")},
+summ AS (
+  SELECT (SELECT COUNT(*) FROM rec) AS windows,
+         ROUND((SELECT AVG(aggregates_emitted) FROM rec), 6) AS aggregates_emitted_avg,
+         ROUND(count_avg, 6) AS count_avg, count_p50, count_p95,
+         ROUND(duration_avg, 6) AS duration_avg, ROUND(duration_p50, 6) AS duration_p50,
+         ROUND(duration_p95, 6) AS duration_p95,
+         (SELECT MAX(ws) FROM rec) AS last_start_us,
+         (SELECT count_total FROM rec ORDER BY ws DESC LIMIT 1) AS last_count_total
+  FROM cs, ds)"""
+
+ORACLE["window_summary"] = with_sig(SUMMARY + "\nSELECT * FROM summ")
+
+ORACLE["metrics_snapshot"] = with_sig(SUMMARY + f"""
+, now AS (SELECT MAX(processed_us) AS now_us FROM led),
+tot AS (SELECT COUNT(*) AS ingested_total, COUNT(*) FILTER (WHERE dropped) AS dropped_total,
+               COUNT(*) FILTER (WHERE NOT dropped) AS processed_total,
+               COUNT(*) FILTER (WHERE t_us BETWEEN now_us - 10000000 AND now_us) / 10.0 AS ingest_eps,
+               COUNT(*) FILTER (WHERE NOT dropped AND processed_us BETWEEN now_us - 10000000 AND now_us) / 10.0
+                 AS process_eps
+        FROM led, now),
+ag AS (SELECT COUNT(*) AS aggregated_total,
+              COUNT(*) FILTER (WHERE ws + {H} BETWEEN now_us - 10000000 AND now_us) / 10.0 AS aggregate_eps
+       FROM (SELECT DISTINCT ws, source FROM {PROC_SIG}), now),
+lat AS {_rank_stats(LAT_RECENT, "latency_ms", "floor", "latency_")}
+SELECT ingested_total, dropped_total, processed_total, aggregated_total,
+       ROUND(ingest_eps, 6) AS ingest_eps, ROUND(process_eps, 6) AS process_eps,
+       ROUND(aggregate_eps, 6) AS aggregate_eps, ROUND(latency_avg, 6) AS latency_avg,
+       ROUND(latency_p50, 6) AS latency_p50, ROUND(latency_p95, 6) AS latency_p95,
+       windows, aggregates_emitted_avg, count_avg, count_p50, count_p95, duration_avg, duration_p50,
+       duration_p95,
+       ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(ingested_total, 0), 0.0), 6) AS drop_ratio,
+       ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(processed_total, 0), 0.0), 6)
+         AS drop_ratio_processed
+FROM tot, ag, lat, summ""", ledger=True)
+
+ORACLE["trailing_rate"] = with_sig("""
+SELECT arrival_seq, source,
+       ROUND(COUNT(*) OVER (PARTITION BY source ORDER BY processed_us
+                            RANGE BETWEEN 10000000 PRECEDING AND CURRENT ROW) / 10.0, 6) AS rate_eps
+FROM led WHERE NOT dropped""", ledger=True)
+
+
+def _ticks(t: str) -> str:
+    """2 s ticks T with t <= T <= t + 10 s, as a list."""
+    return (f"range({t} - {t} % 2000000 + CASE WHEN {t} % 2000000 = 0 THEN 0 ELSE 2000000 END, "
+            f"({t} + 10000000) - ({t} + 10000000) % 2000000 + 1, 2000000)")
+
+
+ORACLE["rate_ticks"] = with_sig(f"""
+SELECT tick_us, source, COUNT(*) AS n, ROUND(COUNT(*) / 10.0, 6) AS eps
+FROM (SELECT source, unnest({_ticks("t_us")}) AS tick_us FROM led)
+GROUP BY tick_us, source""", ledger=True)
+
+KPI = f"""
+, marks AS (
+  SELECT t_us AS t, 'ingest' AS kind, dropped FROM led
+  UNION ALL SELECT processed_us, 'process', false FROM led WHERE NOT dropped
+  UNION ALL SELECT ws + {H}, 'agg', false FROM (SELECT DISTINCT ws, source FROM {PROC_SIG})),
+ex AS (SELECT kind, dropped, tick_us,
+              tick_us = t - t % 2000000 + CASE WHEN t % 2000000 = 0 THEN 0 ELSE 2000000 END AS is_new
+       FROM (SELECT kind, dropped, t, unnest({_ticks("t")}) AS tick_us FROM marks)),
+per AS (SELECT tick_us,
+               COUNT(*) FILTER (WHERE kind = 'ingest') AS ingest_n,
+               COUNT(*) FILTER (WHERE kind = 'process') AS process_n,
+               COUNT(*) FILTER (WHERE kind = 'agg') AS agg_n,
+               COUNT(*) FILTER (WHERE kind = 'ingest' AND is_new) AS new_ing,
+               COUNT(*) FILTER (WHERE kind = 'ingest' AND is_new AND dropped) AS new_drop,
+               COUNT(*) FILTER (WHERE kind = 'process' AND is_new) AS new_proc,
+               COUNT(*) FILTER (WHERE kind = 'agg' AND is_new) AS new_agg
+        FROM ex GROUP BY tick_us),
+kpi AS (SELECT tick_us, ingest_n / 10.0 AS ingest_eps, process_n / 10.0 AS process_eps,
+               agg_n / 10.0 AS aggregate_eps,
+               CAST(SUM(new_ing) OVER w AS BIGINT) AS ingested_total,
+               CAST(SUM(new_drop) OVER w AS BIGINT) AS dropped_total,
+               CAST(SUM(new_proc) OVER w AS BIGINT) AS processed_total,
+               CAST(SUM(new_agg) OVER w AS BIGINT) AS aggregated_total
+        FROM per WINDOW w AS (ORDER BY tick_us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+ORACLE["kpi_series"] = with_sig(KPI + """
+SELECT tick_us, ROUND(ingest_eps, 6) AS ingest_eps, ROUND(process_eps, 6) AS process_eps,
+       ROUND(aggregate_eps, 6) AS aggregate_eps, ingested_total, dropped_total, processed_total,
+       aggregated_total,
+       ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(ingested_total, 0), 0.0), 6) AS drop_ratio_ingested,
+       ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(processed_total, 0), 0.0), 6) AS drop_ratio_processed
+FROM kpi""", ledger=True)
+
+ORACLE["recent_latencies"] = with_sig("""
+SELECT arrival_seq, source, ROUND(latency_ms, 6) AS latency_ms FROM
+  (SELECT *, row_number() OVER (PARTITION BY source ORDER BY arrival_seq DESC) AS rk FROM led WHERE NOT dropped)
+WHERE rk <= 2000""", ledger=True)
+
+ORACLE["last_n"] = with_sig("SELECT arrival_seq, source, t_us FROM sig ORDER BY arrival_seq DESC LIMIT 25")
+
+ORACLE["latest_snapshot"] = with_sig(KPI + """
+SELECT tick_us, ingested_total, processed_total, aggregated_total FROM kpi ORDER BY tick_us DESC LIMIT 1""",
+                                     ledger=True)
+
+ORACLE["dedup_consecutive"] = with_sig(KPI + """
+SELECT tick_us, ingested_total, processed_total, aggregated_total FROM (
+  SELECT *, LAG(struct_pack(ingested_total, processed_total, aggregated_total)) OVER (ORDER BY tick_us) AS prev
+  FROM kpi)
+WHERE prev IS NULL OR prev IS DISTINCT FROM struct_pack(ingested_total, processed_total, aggregated_total)
+ORDER BY tick_us DESC LIMIT 200""", ledger=True)
+
+# ---------------------------------------------------------------- order dependent
+
+ORACLE["arrival_fragments"] = with_sig("""
+SELECT fragment_id, ws AS window_start_us, COUNT(*) AS event_count,
+       COUNT(*) FILTER (WHERE source = 'sensor') AS n_sensor,
+       COUNT(*) FILTER (WHERE source = 'log') AS n_log,
+       COUNT(*) FILTER (WHERE source = 'feed') AS n_feed,
+       MIN(arrival_seq) AS first_seq, MAX(arrival_seq) AS last_seq
+FROM (SELECT *, SUM(chg) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fragment_id
+      FROM (SELECT *, CASE WHEN LAG(ws) OVER (ORDER BY arrival_seq) IS DISTINCT FROM ws THEN 1 ELSE 0 END AS chg
+            FROM sig))
+GROUP BY fragment_id, ws""")
+
+
+def _anchored(key: str, size_us: int) -> str:
+    """Reference fold as a recursive walk in arrival order per key."""
+    return f"""
+, ord AS (SELECT {key} AS key, arrival_seq, t_us,
+                 row_number() OVER (PARTITION BY {key} ORDER BY arrival_seq) AS rn FROM sig),
+walk(key, rn, arrival_seq, t_us, start_us, start_seq) AS (
+  SELECT key, rn, arrival_seq, t_us, t_us, arrival_seq FROM ord WHERE rn = 1
+  UNION ALL
+  SELECT o.key, o.rn, o.arrival_seq, o.t_us,
+         CASE WHEN o.t_us < w.start_us + {size_us} THEN w.start_us ELSE o.t_us END,
+         CASE WHEN o.t_us < w.start_us + {size_us} THEN w.start_seq ELSE o.arrival_seq END
+  FROM walk w JOIN ord o ON o.key = w.key AND o.rn = w.rn + 1)"""
+
+
+ORACLE["anchored_windows"] = "WITH RECURSIVE " + SIG + _anchored("user_id", H) + """
+SELECT key AS user_id, start_seq AS window_seq, start_us AS window_start_us, COUNT(*) AS event_count,
+       MAX(arrival_seq) AS last_seq
+FROM walk GROUP BY key, start_seq, start_us"""
+
+ORACLE["throttle"] = "WITH RECURSIVE " + SIG + _anchored("source", 600_000_000) + """
+SELECT arrival_seq, key AS source, t_us FROM walk WHERE start_seq = arrival_seq"""

@@ -16,6 +16,9 @@ _REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # per-key "last N" filters (N = 2000 latency samples) still get a partial
+    # WindowGroupLimit before the shuffle
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 

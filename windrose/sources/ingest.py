@@ -112,10 +112,19 @@ def ledger(signal: DataFrame) -> DataFrame:
                     F.col("ts").alias("received_at"), lat.alias("latency_ms"))
             .withColumn("processed_at",
                         F.timestamp_micros(F.col("t_us") + (F.col("latency_ms") * 1000).cast("long")))
-            .withColumn("dropped", F.coalesce(F.col("k") >= _DROP_FROM_K, F.lit(False)))
+            .withColumn("dropped", is_dropped(F.col("k")))
             .drop("k"))
 
 
+def is_dropped(k: Column) -> Column:
+    return F.coalesce(k >= _DROP_FROM_K, F.lit(False))
+
+
+def processed_signal(signal: DataFrame) -> DataFrame:
+    """The events that reach the processor (the ledger's rows with ``dropped = false``)."""
+    return signal.filter(~is_dropped(F.col("k")))
+
+
 def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger(load_signal(spark, sf_dir))
 
