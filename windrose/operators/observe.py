@@ -224,13 +224,12 @@ def rate_ticks(df: DataFrame, ts: str = "ts", period: Duration = SNAPSHOT_PERIOD
               .withColumn("eps", F.col("n") / F.lit(h / 1_000_000)))
 
 
-def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
-               period: Duration = SNAPSHOT_PERIOD, horizon: Duration = RATE_HORIZON,
-               bucket_ticks: int = 1 << 16) -> DataFrame:
-    """ST7 / ST9: the snapshot series at every tick where a meter is non-zero.
+def kpi_tick_partials(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
+                      period: Duration = SNAPSHOT_PERIOD, horizon: Duration = RATE_HORIZON) -> DataFrame:
+    """Per tick, the additive counts behind the snapshot series.
 
-    Per tick: ingest / process / aggregate rates, running totals (two-level
-    prefix sums over ticks) and both drop ratios with their 0.0 guard.
+    Partials of disjoint slices of the ledger (e.g. micro-batches) add up
+    tick by tick, which is what the streaming publisher relies on.
     """
     p, h = duration_us(period), duration_us(horizon)
     marks = ledger.select(F.unix_micros("received_at").alias("_t"), F.lit("ingest").alias("_kind"),
@@ -242,23 +241,27 @@ def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
         marks = marks.unionByName(aggregates.select(F.unix_micros("window.end").alias("_t"),
                                                     F.lit("agg").alias("_kind"), F.lit(False).alias("_dropped")))
     ticks = tick_marks(F.col("_t"), p, h)
-    exploded = marks.select("_kind", "_dropped", F.col("_t"), F.explode(ticks).alias("tick_us"))
-    first_tick = F.element_at(ticks, 1)
-    per_tick = (exploded.withColumn("_new", F.col("tick_us") == first_tick)
-                .groupBy("tick_us")
-                .agg(F.count_if(F.col("_kind") == "ingest").alias("ingest_n"),
-                     F.count_if(F.col("_kind") == "process").alias("process_n"),
-                     F.count_if(F.col("_kind") == "agg").alias("agg_n"),
-                     F.count_if((F.col("_kind") == "ingest") & F.col("_new")).alias("_new_ingested"),
-                     F.count_if((F.col("_kind") == "ingest") & F.col("_new") & F.col("_dropped"))
-                      .alias("_new_dropped"),
-                     F.count_if((F.col("_kind") == "process") & F.col("_new")).alias("_new_processed"),
-                     F.count_if((F.col("_kind") == "agg") & F.col("_new")).alias("_new_aggregated")))
-    width = bucket_ticks * p
-    out = per_tick
-    for new, total in (("_new_ingested", "ingested_total"), ("_new_dropped", "dropped_total"),
-                       ("_new_processed", "processed_total"), ("_new_aggregated", "aggregated_total")):
-        out = prefix_sum(out, new, total, seq="tick_us", bucket_rows=width)
+    exploded = marks.select("_kind", "_dropped", F.element_at(ticks, 1).alias("_first"),
+                            F.explode(ticks).alias("tick_us"))
+    new = F.col("tick_us") == F.col("_first")
+    kind = F.col("_kind")
+    return (exploded.groupBy("tick_us")
+            .agg(F.count_if(kind == "ingest").alias("ingest_n"),
+                 F.count_if(kind == "process").alias("process_n"),
+                 F.count_if(kind == "agg").alias("agg_n"),
+                 F.count_if((kind == "ingest") & new).alias("new_ingested"),
+                 F.count_if((kind == "ingest") & new & F.col("_dropped")).alias("new_dropped"),
+                 F.count_if((kind == "process") & new).alias("new_processed"),
+                 F.count_if((kind == "agg") & new).alias("new_aggregated")))
+
+
+def kpi_from_partials(per_tick: DataFrame, period: Duration = SNAPSHOT_PERIOD,
+                      horizon: Duration = RATE_HORIZON, bucket_ticks: int = 1 << 16) -> DataFrame:
+    """Rates, running totals (two-level prefix sums over ticks) and drop ratios."""
+    p, h = duration_us(period), duration_us(horizon)
+    out = prefix_sum(per_tick, ["new_ingested", "new_dropped", "new_processed", "new_aggregated"],
+                     ["ingested_total", "dropped_total", "processed_total", "aggregated_total"],
+                     seq="tick_us", bucket_rows=bucket_ticks * p)
     secs = h / 1_000_000
     return out.select(
         "tick_us",
@@ -273,6 +276,14 @@ def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
         guarded_ratio("dropped_total", "processed_total").alias("drop_ratio_processed"))
 
 
+def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
+               period: Duration = SNAPSHOT_PERIOD, horizon: Duration = RATE_HORIZON,
+               bucket_ticks: int = 1 << 16) -> DataFrame:
+    """ST7 / ST9: the snapshot series at every tick where a meter is non-zero."""
+    return kpi_from_partials(kpi_tick_partials(ledger, aggregates, period, horizon), period, horizon,
+                             bucket_ticks)
+
+
 def dedup_consecutive(df: DataFrame, id_cols: Sequence[str], order: str,
                       keep_last: Optional[int] = HISTORY_SIZE, bucket_rows: int = 1 << 36) -> DataFrame:
     """Drop rows whose id tuple equals the previous row's (null-safe), then

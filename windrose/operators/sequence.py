@@ -29,31 +29,40 @@ def _bucket(seq: str, bucket_rows: int) -> Column:
     return F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
 
 
-def prefix_scan(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
+def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
                 keys: Sequence[str] = (), how: str = "max", inclusive: bool = True,
                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Running max or sum of ``value`` along ``seq`` per ``keys`` (two levels, R5).
+    """Running max or sum of one or more columns along ``seq`` per ``keys``.
 
+    ``value`` / ``out`` are a column name or parallel lists of names; all of
+    them share one window pass, one bucket summary and one join.
     ``bucket_rows`` is the width of a bucket in units of ``seq``; with unique
     integer sequence numbers it bounds the rows of one window partition.
     """
     if how not in ("max", "sum"):
         raise ValueError("how must be 'max' or 'sum'")
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     keys = list(keys)
     agg = F.max if how == "max" else F.sum
-    b = f"_{out}_bucket"
+    b = f"_{outs[0]}_bucket"
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     w_local = Window.partitionBy(*keys, b).orderBy(seq).rowsBetween(*frame)
-    local = df.withColumn(b, _bucket(seq, bucket_rows)).withColumn(f"_{out}_local", agg(value).over(w_local))
-    summary = local.groupBy(*keys, b).agg(agg(value).alias(f"_{out}_bagg"))
+    bucketed = df.withColumn(b, _bucket(seq, bucket_rows))
+    local = bucketed.withColumns({f"_{o}_local": agg(v).over(w_local) for v, o in zip(values, outs)})
+    # the summary reads only (keys, seq, values): a narrow re-read of the input
+    summary = bucketed.groupBy(*keys, b).agg(*[agg(v).alias(f"_{o}_bagg") for v, o in zip(values, outs)])
     w_carry = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, b, agg(f"_{out}_bagg").over(w_carry).alias(f"_{out}_carry"))
+    carry = summary.select(*keys, b, *[agg(f"_{o}_bagg").over(w_carry).alias(f"_{o}_carry") for o in outs])
     joined = local.join(carry, on=[*keys, b], how="inner")
-    if how == "max":
-        result = F.greatest(f"_{out}_carry", f"_{out}_local")
-    else:
-        result = F.coalesce(F.col(f"_{out}_carry"), F.lit(0)) + F.coalesce(F.col(f"_{out}_local"), F.lit(0))
-    return joined.withColumn(out, result).drop(b, f"_{out}_local", f"_{out}_carry")
+    results = {}
+    for o in outs:
+        if how == "max":
+            results[o] = F.greatest(f"_{o}_carry", f"_{o}_local")
+        else:
+            results[o] = F.coalesce(F.col(f"_{o}_carry"), F.lit(0)) + F.coalesce(F.col(f"_{o}_local"), F.lit(0))
+    drops = [b] + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
+    return joined.withColumns(results).drop(*drops)
 
 
 def prefix_max(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
@@ -135,15 +144,42 @@ def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(na | nb, na != nb, a != b).astype(bool)
 
 
-def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
-    """Greedy opener chain inside independent pieces, streamed batch by batch.
+def fold_segment(t: np.ndarray, size_us: int, start: Optional[int], pm_carry: Optional[int]):
+    """Greedy opener chain over one run of a key in arrival order.
+
+    An event opens a window iff its time is at least the open window's start
+    + size; older events always join.  Every opener is a strict new running
+    max, so with the running max ``pm`` (non-decreasing) the next opener is
+    ``searchsorted(pm, start + size)``: the loop runs once per window, not
+    once per event.  ``start`` / ``pm_carry`` carry the open window from an
+    earlier part of the same run (None: the first row opens).
 
-    Rows arrive sorted by (keys, piece, seq).  An event opens a window iff its
-    time is at least the open window's start + size; older events always join.
-    Every opener is a strict new running max, so with the running max ``pm``
-    (non-decreasing) the next opener is ``searchsorted(pm, start + size)``:
-    the loop runs once per window, not once per event.
+    Returns (index of each row's opener within the run or -1 for the carried
+    window, opens mask, new start, new pm).
     """
+    n = len(t)
+    opener = np.full(n, -1, dtype=np.int64)
+    opens = np.zeros(n, dtype=bool)
+    if n == 0:
+        return opener, opens, start, pm_carry
+    pm = np.maximum.accumulate(t if pm_carry is None else np.maximum(t, pm_carry))
+    pos, cur = 0, -1
+    if start is None:
+        start, cur = int(t[0]), 0
+        opens[0] = True
+    while True:
+        nxt = max(int(np.searchsorted(pm, start + size_us, side="left")), pos)
+        end = min(nxt, n)
+        opener[pos:end] = cur
+        if nxt >= n:
+            break
+        start, cur, pos = int(t[nxt]), nxt, nxt
+        opens[nxt] = True
+    return opener, opens, start, int(pm[-1])
+
+
+def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
+    """Fold pieces streamed batch by batch; rows arrive sorted by (keys, piece, seq)."""
     cur_piece = None      # (keys..., piece) of the piece being folded
     start = None          # start time (us) of the open window
     start_seq = None      # seq of its opener
@@ -155,13 +191,12 @@ def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
         sq = pdf[seq].to_numpy(dtype=np.int64)
         piece_cols = [pdf[k].to_numpy() for k in keys] + [pdf["_piece"].to_numpy(dtype=np.int64)]
         n = len(pdf)
-        # boundaries where the piece changes inside this batch
         change = np.zeros(n, dtype=bool)
         for col in piece_cols:
             change[1:] |= _differs(col[1:], col[:-1])
         first_key = tuple(None if pd.isna(c[0]) else c[0] for c in piece_cols)
         change[0] = first_key != cur_piece
-        bounds = list(np.flatnonzero(change)) + [n]
+        bounds = [int(i) for i in np.flatnonzero(change)] + [n]
         if bounds[0] != 0:
             bounds = [0] + bounds
         win_start = np.empty(n, dtype=np.int64)
@@ -170,27 +205,20 @@ def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
         for lo, hi in zip(bounds[:-1], bounds[1:]):
             if hi <= lo:
                 continue
-            seg_t = t[lo:hi]
             if change[lo]:
                 cur_piece = tuple(None if pd.isna(c[lo]) else c[lo] for c in piece_cols)
-                start, start_seq, pm_carry = int(seg_t[0]), int(sq[lo]), None
-                is_open[lo] = True
-            pm = np.maximum.accumulate(seg_t if pm_carry is None
-                                       else np.maximum(seg_t, pm_carry))
-            pos = 0
-            while True:
-                nxt = int(np.searchsorted(pm, start + size_us, side="left"))
-                if nxt < pos:
-                    nxt = pos
-                end = min(nxt, hi - lo)
-                win_start[lo + pos:lo + end] = start
-                win_seq[lo + pos:lo + end] = start_seq
-                if nxt >= hi - lo:
-                    break
-                start, start_seq = int(seg_t[nxt]), int(sq[lo + nxt])
-                is_open[lo + nxt] = True
-                pos = nxt
-            pm_carry = int(pm[-1])
+                start, start_seq, pm_carry = None, None, None
+            opener, opens, new_start, pm_carry = fold_segment(t[lo:hi], size_us, start, pm_carry)
+            seg_t, seg_sq = t[lo:hi], sq[lo:hi]
+            carried = opener < 0
+            win_start[lo:hi] = np.where(carried, start if start is not None else 0, seg_t[np.maximum(opener, 0)])
+            win_seq[lo:hi] = np.where(carried, start_seq if start_seq is not None else 0,
+                                      seg_sq[np.maximum(opener, 0)])
+            is_open[lo:hi] = opens
+            if opens.any():
+                last = int(np.flatnonzero(opens)[-1])
+                start, start_seq = int(seg_t[last]), int(seg_sq[last])
+            start = new_start if start is None else start
         yield pdf.drop(columns=["_t"]).assign(window_start_us=win_start, window_seq=win_seq,
                                               opens_window=is_open)
 
