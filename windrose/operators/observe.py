@@ -50,11 +50,17 @@ def admission_cap(df: DataFrame, interval: Duration, merged_cap: int, source_cap
         return (out.select(*partition, seq)
                    .withColumn("_rn", F.row_number().over(w))
                    .filter(F.col("_rn") <= cap)
-                   .select("bucket_start", seq, F.lit(True).alias(flag)))
+                   .select(F.col("bucket_start").alias(f"{flag}_b"), F.col(seq).alias(f"{flag}_s"),
+                           F.lit(True).alias(flag)))
 
-    res = out.join(kept(["bucket_start"], merged_cap, "_in_merged"), ["bucket_start", seq], "left")
+    def flag_join(left: DataFrame, right: DataFrame, flag: str) -> DataFrame:
+        # null-safe on the bucket: events without a time share one bucket
+        cond = left["bucket_start"].eqNullSafe(right[f"{flag}_b"]) & (left[seq] == right[f"{flag}_s"])
+        return left.join(right, cond, "left").drop(f"{flag}_b", f"{flag}_s")
+
+    res = flag_join(out, kept(["bucket_start"], merged_cap, "_in_merged"), "_in_merged")
     if source_cap is not None:
-        res = res.join(kept(["bucket_start", source], source_cap, "_in_source"), ["bucket_start", seq], "left")
+        res = flag_join(res, kept(["bucket_start", source], source_cap, "_in_source"), "_in_source")
         in_source = F.coalesce(F.col("_in_source"), F.lit(False))
     else:
         in_source = F.lit(True)
