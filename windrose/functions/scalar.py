@@ -29,7 +29,7 @@ _UNITS_US = {
 }
 
 
-def duration_us(size: Duration) -> int:
+def duration_us(size: Duration, allow_zero: bool = False) -> int:
     """Window length in microseconds from ``"5 seconds"``, seconds or a timedelta."""
     if isinstance(size, timedelta):
         us = round(size.total_seconds() * 1_000_000)
@@ -38,7 +38,7 @@ def duration_us(size: Duration) -> int:
     else:
         us = 0
         parts = re.findall(r"([0-9]*\.?[0-9]+)\s*([a-zA-Z]+)", size)
-        if not parts:
+        if not parts and not (allow_zero and size.strip() in ("0", "")):
             raise ValueError(f"cannot parse duration {size!r}")
         for amount, unit in parts:
             unit = unit.lower().rstrip("s")
@@ -47,7 +47,7 @@ def duration_us(size: Duration) -> int:
             if unit not in _UNITS_US:
                 raise ValueError(f"unknown duration unit {unit!r} in {size!r}")
             us += round(float(amount) * _UNITS_US[unit])
-    if us <= 0:
+    if us < 0 or (us == 0 and not allow_zero):
         raise ValueError(f"duration must be positive, got {size!r}")
     return us
 

@@ -57,9 +57,16 @@ def window_partials(df: DataFrame, size: Duration, ts: str = "ts",
                    F.count(F.lit(1)).alias("n")))
 
 
-def combine_partials(partials: DataFrame, size: Duration, keys: Sequence[str] = ()) -> DataFrame:
-    """Second level of R1: the per-source window record (A1 to A5)."""
-    g = (partials.groupBy("window_start", "source", *keys)
+def combine_partials(partials: DataFrame, size: Duration, keys: Sequence[str] = (),
+                     window_struct: Optional[str] = None) -> DataFrame:
+    """Second level of R1: the per-source window record (A1 to A5).
+
+    ``window_struct`` names a ``struct<start,end>`` window column to group by
+    instead of ``window_start`` (streams: the watermarked window of the first
+    level must stay the grouping key).
+    """
+    wkey = window_struct or "window_start"
+    g = (partials.groupBy(wkey, "source", *keys)
          .agg(F.sum("value_sum").alias("value_sum"),
               F.sum("value_n").alias("value_n"),
               F.sum("ok_n").alias("ok_n"),
@@ -71,9 +78,10 @@ def combine_partials(partials: DataFrame, size: Duration, keys: Sequence[str] =
     for s in ("log", "feed"):
         agg_name = agg_name.when(src == s, F.lit(AGGREGATION_NAME[s]))
     order = F.when(src == SOURCES[0], 0).when(src == SOURCES[1], 1).when(src == SOURCES[2], 2).otherwise(3)
+    window = (F.col(window_struct) if window_struct else
+              F.struct(F.col("window_start").alias("start"), window_end("window_start", size).alias("end")))
     return g.select(
-        F.struct(F.col("window_start").alias("start"),
-                 window_end("window_start", size).alias("end")).alias("window"),
+        window.alias("window"),
         "source", *keys,
         F.col("count"),
         agg_name.alias("aggregation"),

@@ -46,8 +46,7 @@ def window_aggregates_stream(sig: DataFrame, size: Duration, delay: Duration = "
     Events later than the watermark are dropped by Spark and reported as
     ``numRowsDroppedByWatermark``; ``arrival_fragments`` is the exact mode.
     """
-    partials = stream_partials(sig, size, delay, ts).withColumn("window_start", F.col("w.start")).drop("w")
-    return combine_partials(partials, size)
+    return combine_partials(stream_partials(sig, size, delay, ts), size, window_struct="w")
 
 
 def start_window_aggregates(sig: DataFrame, size: Duration, path: str, checkpoint: str,
@@ -88,6 +87,30 @@ def read_live_view(spark: SparkSession, path: str, size: Duration) -> DataFrame:
     return combine_partials(newest, size)
 
 
+def flush_sentinel(events: DataFrame, size: Duration, delay: Duration = "0 seconds",
+                   ts: str = "ts") -> DataFrame:
+    """ST4 for bounded runs: a one-row closing event after the last event.
+
+    Appended to the stream's input folder as its own last file, it moves the
+    watermark past every real window, so append mode emits all of them; its
+    own window stays open and never reaches the sink.  It must pass through
+    the aggregate: a filter on it would be pushed below the watermark.
+    """
+    from windrose.functions.scalar import duration_us
+    gap = duration_us(size) * 2 + duration_us(delay, allow_zero=True) + 1
+    return (events.agg(F.max(ts).alias(ts))
+                  .select(*[(F.col(ts) + F.make_dt_interval(secs=F.lit(gap / 1e6))).alias(ts) if c == ts
+                            else (F.lit(-1) if c == "event_id" else F.lit(None)).cast(events.schema[c].dataType)
+                            .alias(c) for c in events.columns]))
+
+
+def write_flush_sentinel(spark: SparkSession, events_dir: str, size: Duration, delay: Duration = "0 seconds",
+                         glob: str = "*.parquet") -> None:
+    """Append the closing sentinel as a new file of the stream's input folder."""
+    events = spark.read.parquet(f"{events_dir.rstrip('/')}/{glob}")
+    flush_sentinel(events, size, delay).coalesce(1).write.mode("append").parquet(events_dir)
+
+
 def with_after_batch(fn: Callable[[DataFrame, int], None],
                      hook: Optional[Callable[[DataFrame, int], None]] = None) -> Callable[[DataFrame, int], None]:
     """Run ``hook`` after each micro-batch; its exceptions are swallowed
