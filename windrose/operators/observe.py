@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from typing import Mapping, Optional, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -285,9 +286,15 @@ def kpi_from_partials(per_tick: DataFrame, period: Duration = SNAPSHOT_PERIOD,
 def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
                period: Duration = SNAPSHOT_PERIOD, horizon: Duration = RATE_HORIZON,
                bucket_ticks: int = 1 << 16) -> DataFrame:
-    """ST7 / ST9: the snapshot series at every tick where a meter is non-zero."""
-    return kpi_from_partials(kpi_tick_partials(ledger, aggregates, period, horizon), period, horizon,
-                             bucket_ticks)
+    """ST7 / ST9: the snapshot series at every tick where a meter is non-zero.
+
+    The per-tick table (one row per tick, bounded by span / period) is read by
+    both levels of the prefix sums; it is persisted (memory and disk) so the
+    ledger is scanned and exploded once, and a lost block is recomputed from
+    lineage.
+    """
+    per_tick = kpi_tick_partials(ledger, aggregates, period, horizon).persist(StorageLevel.MEMORY_AND_DISK)
+    return kpi_from_partials(per_tick, period, horizon, bucket_ticks)
 
 
 def dedup_consecutive(df: DataFrame, id_cols: Sequence[str], order: str,

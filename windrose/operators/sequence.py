@@ -26,12 +26,14 @@ DEFAULT_BUCKET_ROWS = 1 << 20
 
 
 def _bucket(seq: str, bucket_rows: int) -> Column:
-    return F.floor(F.col(seq) / F.lit(bucket_rows)).cast("long")
+    """Bucket of an integral order column (floor division, exact for any long)."""
+    w = int(bucket_rows)
+    return F.expr(f"(CAST(`{seq}` AS BIGINT) - pmod(CAST(`{seq}` AS BIGINT), {w}L)) div {w}L")
 
 
 def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
                 keys: Sequence[str] = (), how: str = "max", inclusive: bool = True,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                bucket_rows: int = DEFAULT_BUCKET_ROWS, bucket_col: Optional[str] = None) -> DataFrame:
     """Running max or sum of one or more columns along ``seq`` per ``keys``.
 
     ``value`` / ``out`` are a column name or parallel lists of names; all of
@@ -45,10 +47,12 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
     outs = [out] if isinstance(out, str) else list(out)
     keys = list(keys)
     agg = F.max if how == "max" else F.sum
-    b = f"_{outs[0]}_bucket"
+    # a caller-provided bucket column is kept, so that consecutive scans share
+    # the (keys, bucket) partitioning and the second one needs no exchange
+    b = bucket_col or f"_{outs[0]}_bucket"
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     w_local = Window.partitionBy(*keys, b).orderBy(seq).rowsBetween(*frame)
-    bucketed = df.withColumn(b, _bucket(seq, bucket_rows))
+    bucketed = df if bucket_col else df.withColumn(b, _bucket(seq, bucket_rows))
     local = bucketed.withColumns({f"_{o}_local": agg(v).over(w_local) for v, o in zip(values, outs)})
     # the summary reads only (keys, seq, values): a narrow re-read of the input
     summary = bucketed.groupBy(*keys, b).agg(*[agg(v).alias(f"_{o}_bagg") for v, o in zip(values, outs)])
@@ -61,15 +65,15 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
             results[o] = F.greatest(f"_{o}_carry", f"_{o}_local")
         else:
             results[o] = F.coalesce(F.col(f"_{o}_carry"), F.lit(0)) + F.coalesce(F.col(f"_{o}_local"), F.lit(0))
-    drops = [b] + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
+    drops = ([] if bucket_col else [b]) + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
     return joined.withColumns(results).drop(*drops)
 
 
 def prefix_max(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
                keys: Sequence[str] = (), inclusive: bool = True,
-               bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+               bucket_rows: int = DEFAULT_BUCKET_ROWS, bucket_col: Optional[str] = None) -> DataFrame:
     """Running max of ``value`` along ``seq`` per ``keys`` (two-level, no global window)."""
-    return prefix_scan(df, value, out, seq, keys, "max", inclusive, bucket_rows)
+    return prefix_scan(df, value, out, seq, keys, "max", inclusive, bucket_rows, bucket_col)
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
@@ -242,14 +246,14 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     """
     keys = list(keys)
     size_us = duration_us(size)
-    base = df.withColumn("_t", F.unix_micros(F.col(ts)))
+    base = df.withColumn("_t", F.unix_micros(F.col(ts))).withColumn("_aw_bucket", _bucket(seq, bucket_rows))
     with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=keys, inclusive=False,
-                         bucket_rows=bucket_rows)
+                         bucket_col="_aw_bucket")
     cut = F.col("_pm_before").isNull() | (F.col("_t") >= F.col("_pm_before") + F.lit(size_us))
     marked = with_pm.withColumn("_cut_seq", F.when(cut, F.col(seq))).drop("_pm_before")
     pieces = (prefix_max(marked, "_cut_seq", "_piece", seq=seq, keys=keys, inclusive=True,
-                         bucket_rows=bucket_rows)
-              .drop("_cut_seq"))
+                         bucket_col="_aw_bucket")
+              .drop("_cut_seq", "_aw_bucket"))
     parts = [num_partitions] if num_partitions else []
     ordered = (pieces.repartition(*parts, *[F.col(k) for k in keys], F.col("_piece"))
                      .sortWithinPartitions(*keys, "_piece", seq))

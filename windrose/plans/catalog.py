@@ -20,6 +20,7 @@ from windrose.operators import sequence as Q
 from windrose.operators import transform as P
 from windrose.plans.common import HOUR, r6, us
 from windrose.sources import ingest as I
+from windrose.sources.schema import PAYLOAD_SCHEMA
 from windrose.sources import sinks as K
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -478,3 +479,35 @@ def throttle(spark, sf):
     """
     out = Q.throttle(I.load_signal(spark, sf), "10 minutes", key="source")
     return out.select("arrival_seq", "source", "t_us")
+
+
+# ---------------------------------------------------------------- JSON payloads, Python fallbacks
+
+@query("payload_keys")
+def payload_keys(spark, sf):
+    """Payloads to JSON text (nulls left out) and back; key presence tells missing from null."""
+    env = I.to_envelope(I.load_signal(spark, sf))
+    js = env.select("arrival_seq", "source", S.to_json_text("payload").alias("j"))
+    back = js.withColumn("p", S.from_json_text("j", PAYLOAD_SCHEMA))
+    return back.select("arrival_seq", "source",
+                       S.has_json_key("j", "value").alias("has_value"),
+                       S.has_json_key("j", "level").alias("has_level"),
+                       F.size(F.json_object_keys("j")).cast("bigint").alias("n_keys"),
+                       F.col("p.value").alias("value_back"),
+                       S.lookup(F.col("p.level"), "UNKNOWN").alias("level_or_default"))
+
+
+@query("python_predicate")
+def python_predicate(spark, sf):
+    """X1 fallback: a vectorised Python predicate (pandas UDF over Arrow batches)."""
+    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor")
+    pred = P.python_predicate(lambda pdf: (pdf["value"] >= 10) & (pdf["value"] < 20), "value")
+    return P.filter_events(sig, pred).select("arrival_seq", "value")
+
+
+@query("python_mapper")
+def python_mapper(spark, sf):
+    """X2 fallback: a batch-wise pandas mapper through mapInPandas."""
+    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor").select("arrival_seq", "value")
+    return P.python_mapper(sig, lambda pdf: pdf.assign(value=pdf["value"] * 3),
+                           "arrival_seq long, value double").select("arrival_seq", r6("value").alias("value"))

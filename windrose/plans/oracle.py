@@ -415,3 +415,21 @@ FROM walk GROUP BY key, start_seq, start_us"""
 
 ORACLE["throttle"] = "WITH RECURSIVE " + SIG + _anchored("source", 600_000_000) + """
 SELECT arrival_seq, key AS source, t_us FROM walk WHERE start_seq = arrival_seq"""
+
+# ---------------------------------------------------------------- JSON payloads, Python fallbacks
+
+ORACLE["payload_keys"] = with_sig("""
+SELECT arrival_seq, source, value IS NOT NULL AS has_value, level IS NOT NULL AS has_level,
+       CAST(CASE source
+              WHEN 'sensor' THEN (user_id IS NOT NULL)::INT + (value IS NOT NULL)::INT
+              WHEN 'log' THEN (level IS NOT NULL)::INT
+              ELSE (user_id IS NOT NULL)::INT + (action IS NOT NULL)::INT + (success IS NOT NULL)::INT
+                   + (ts IS NOT NULL)::INT END AS BIGINT) AS n_keys,
+       value AS value_back, COALESCE(level, 'UNKNOWN') AS level_or_default
+FROM sig""")
+
+ORACLE["python_predicate"] = with_sig(
+    "SELECT arrival_seq, value FROM sig WHERE source = 'sensor' AND value >= 10 AND value < 20")
+
+ORACLE["python_mapper"] = with_sig(
+    "SELECT arrival_seq, ROUND(value * 3, 6) AS value FROM sig WHERE source = 'sensor'")
