@@ -388,7 +388,8 @@ SELECT fragment_id, ws AS window_start_us, COUNT(*) AS event_count,
        COUNT(*) FILTER (WHERE source = 'log') AS n_log,
        COUNT(*) FILTER (WHERE source = 'feed') AS n_feed,
        MIN(arrival_seq) AS first_seq, MAX(arrival_seq) AS last_seq
-FROM (SELECT *, SUM(chg) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fragment_id
+FROM (SELECT *, CAST(SUM(chg) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                     AS BIGINT) AS fragment_id
       FROM (SELECT *, CASE WHEN LAG(ws) OVER (ORDER BY arrival_seq) IS DISTINCT FROM ws THEN 1 ELSE 0 END AS chg
             FROM sig))
 GROUP BY fragment_id, ws""")
