@@ -138,18 +138,29 @@ def nearest_rank(df: DataFrame, value: str, keys: Sequence[str] = (),
                  prefix: str = "") -> DataFrame:
     """Avg and nearest-rank percentiles ``xs[floor|ceil(q * (n - 1))]``.
 
-    Used on bounded inputs only (most_recent first), as the reference does:
-    the rank needs one sort per key.  An empty input gives all-null stats.
+    Used on bounded inputs only (``most_recent`` first), as the reference
+    does: the rank needs one sort per key.  An empty input gives all-null stats.
     """
-    rnd = F.floor if mode == "floor" else F.ceil
-    w = Window.partitionBy(*keys).orderBy(value)
-    ranked = (df.filter(F.col(value).isNotNull())
-                .withColumn("_rn", F.row_number().over(w) - 1)
-                .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    aggs = [F.avg(value).alias(f"{prefix}avg")]
-    for name, q in quantiles.items():
-        idx = rnd(F.lit(float(q)) * (F.col("_n") - 1).cast("double"))
-        aggs.append(F.max(F.when(F.col("_rn") == idx, F.col(value))).alias(f"{prefix}{name}"))
+    return nearest_rank_many(df, {prefix: (value, mode)}, keys, quantiles)
+
+
+def nearest_rank_many(df: DataFrame, specs: Mapping[str, tuple], keys: Sequence[str] = (),
+                      quantiles: Mapping[str, float] = PERCENTILES, extra: Sequence[Column] = ()) -> DataFrame:
+    """R3 for several columns at once: ``specs`` maps an output prefix to
+    (value column, "floor" | "ceil").  One rank window per column, one aggregate."""
+    ranked = df
+    aggs = list(extra)
+    for i, (prefix, (value, mode)) in enumerate(specs.items()):
+        rnd = F.floor if mode == "floor" else F.ceil
+        present = F.col(value).isNotNull()
+        w = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+        rn, n = f"_rn{i}", f"_n{i}"
+        ranked = (ranked.withColumn(rn, F.row_number().over(w) - 1)
+                        .withColumn(n, F.count(value).over(Window.partitionBy(*keys))))
+        aggs.append(F.avg(value).alias(f"{prefix}avg"))
+        for name, q in quantiles.items():
+            idx = rnd(F.lit(float(q)) * (F.col(n) - 1).cast("double"))
+            aggs.append(F.max(F.when(present & (F.col(rn) == idx), F.col(value))).alias(f"{prefix}{name}"))
     if keys:
         return ranked.groupBy(*keys).agg(*aggs)
     return ranked.agg(*aggs)
@@ -166,16 +177,13 @@ def window_summary(records: DataFrame, order: str = "window_start", max_windows:
                    count_col: str = "count_total", duration_col: str = "span_ms") -> DataFrame:
     """Over the last ``max_windows`` window records: avg / p50 / p95 (ceil
     rank) of the window size and of a duration column, mean aggregates
-    emitted, and the last window."""
+    emitted, and the last window.  One bounded sort per statistic, one aggregate."""
     recent = most_recent(records, max_windows, order)
-    sizes = nearest_rank(recent, count_col, mode="ceil", prefix="count_")
-    durations = nearest_rank(recent, duration_col, mode="ceil", prefix="duration_")
-    rest = recent.agg(F.count(F.lit(1)).alias("windows"),
-                      F.avg("aggregates_emitted").alias("aggregates_emitted_avg"),
-                      F.max_by(F.struct(*records.columns), F.col(order)).alias("last_window"))
-    return rest.select("windows", "aggregates_emitted_avg", "last_window",
-                       *[sizes.select(c).scalar().alias(c) for c in sizes.columns],
-                       *[durations.select(c).scalar().alias(c) for c in durations.columns])
+    return nearest_rank_many(
+        recent, {"count_": (count_col, "ceil"), "duration_": (duration_col, "ceil")},
+        extra=[F.count(F.lit(1)).alias("windows"),
+               F.avg("aggregates_emitted").alias("aggregates_emitted_avg"),
+               F.max_by(F.struct(*records.columns), F.col(order)).alias("last_window")])
 
 
 # --------------------------------------------------------------------------
@@ -348,7 +356,12 @@ def per_source_processing(ledger: DataFrame, horizon: Duration = RATE_HORIZON,
 
 def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFrame,
                      horizon: Duration = RATE_HORIZON) -> DataFrame:
-    """The whole snapshot as one row (nested parts as scalar subqueries)."""
+    """The whole snapshot as one row.
+
+    The ledger totals are one aggregate; each other part (aggregates, latency,
+    window summary) is one scalar subquery returning a struct, expanded at
+    the end, so every part is computed once.
+    """
     h = duration_us(horizon)
     now_us = F.unix_micros(snapshot_time(ledger))
     recv, proc_t = F.unix_micros("received_at"), F.unix_micros("processed_at")
@@ -363,11 +376,10 @@ def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFram
         F.count(F.lit(1)).alias("aggregated_total"),
         (F.count_if(in_horizon(F.unix_micros("window.end"))) / F.lit(h / 1e6)).alias("aggregate_eps"))
     lat = latency_stats(ledger)
-    summ = window_summary(records)
-    parts = [(agg_part, agg_part.columns), (lat, lat.columns),
-             (summ, [c for c in summ.columns if c != "last_window"])]
-    extra = [p.select(c).scalar().alias(c) for p, cols in parts for c in cols]
-    return totals.select(
-        "*", *extra,
+    summ = window_summary(records).drop("last_window")
+    parts = {"_p0": agg_part, "_p1": lat, "_p2": summ}
+    with_parts = totals.select("*", *[p.select(F.struct(*p.columns)).scalar().alias(n) for n, p in parts.items()])
+    return with_parts.select(
+        *totals.columns, *[F.col(f"{n}.{c}").alias(c) for n, p in parts.items() for c in p.columns],
         guarded_ratio("dropped_total", "ingested_total").alias("drop_ratio"),
         guarded_ratio("dropped_total", "processed_total").alias("drop_ratio_processed"))
