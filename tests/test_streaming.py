@@ -125,3 +125,36 @@ def test_observe_reports_processing(spark, scratch):
     q.awaitTermination(300)
     metrics = [p["observedMetrics"].get("processing") for p in q.recentProgress if p.get("observedMetrics")]
     assert metrics and sum(m["events"] for m in metrics) == 1000
+
+
+def _wire_file(spark, folder, name, rows):
+    """One JSON-lines file of wire events (id, source, timestamp, payload text, seq)."""
+    df = spark.createDataFrame(rows, "id string, source string, timestamp string, payload string, arrival_seq long") \
+        .withColumn("event_type", F.lit("raw")).withColumn("tags", F.lit(None).cast("map<string,string>")) \
+        .withColumn("correlation_id", F.lit(None).cast("string"))
+    tmp = os.path.join(folder, "_tmp_" + name)
+    df.coalesce(1).write.json(tmp)
+    part = [f for f in os.listdir(tmp) if f.endswith(".json")][0]
+    shutil.copy(os.path.join(tmp, part), os.path.join(folder, "in", name + ".json"))
+
+
+def test_late_event_dropped_by_watermark_and_kept_by_fragments(spark, scratch):
+    os.makedirs(os.path.join(scratch, "in"))
+    files = [("a", "2024-01-01T00:10:00+00:00"), ("b", "2024-01-01T05:10:00+00:00"),
+             ("c", "2024-01-01T06:10:00+00:00"), ("d", "2024-01-01T00:20:00+00:00")]   # d is late
+    for seq, (name, ts) in enumerate(files):
+        _wire_file(spark, scratch, name, [(name, "log", ts, '{"level": "INFO"}', seq)])
+    stream = I.flatten_envelope(I.read_wire(spark, os.path.join(scratch, "in"), stream=True,
+                                            max_files_per_trigger=1))
+    q = (L.window_aggregates_stream(stream, HOUR, delay="0 seconds").writeStream.format("memory")
+         .queryName("late_drop").outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                  for op in p.get("stateOperators", []))
+    assert dropped >= 1
+    # the exact mode keeps the late event as a second fragment of the 00:00 window
+    frags = Q.arrival_fragments(I.flatten_envelope(I.read_wire(spark, os.path.join(scratch, "in"))), HOUR) \
+        .orderBy("arrival_seq").collect()
+    assert [r["fragment_id"] for r in frags] == [1, 2, 3, 4]
+    assert frags[0]["window_start"] == frags[3]["window_start"]
