@@ -243,6 +243,11 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     Arrow batch in memory at a time.  A hot key is spread over as many tasks
     as it has pieces.  Adds ``window_start_us``, ``window_seq`` (opener's
     sequence number) and ``opens_window``.
+
+    The fold is opaque to Catalyst, so every input column crosses into
+    Python: select the columns you need first.  Limit: a piece without any gap
+    of ``size`` (a key that never pauses) is folded by one task, with bounded
+    memory and one ``searchsorted`` per window.
     """
     keys = list(keys)
     size_us = duration_us(size)

@@ -464,7 +464,9 @@ def arrival_fragments(spark, sf):
 @query("anchored_windows")
 def anchored_windows(spark, sf):
     """ST2: per user, 1-hour windows anchored at the first event, in arrival order."""
-    marked = Q.anchored_windows(I.load_signal(spark, sf), HOUR, keys=["user_id"])
+    # only the columns the fold and the result need cross into Python
+    sig = I.load_signal(spark, sf).select("user_id", "arrival_seq", "ts")
+    marked = Q.anchored_windows(sig, HOUR, keys=["user_id"])
     return (marked.groupBy("user_id", "window_seq", "window_start_us")
                   .agg(F.count(F.lit(1)).alias("event_count"), F.max("arrival_seq").alias("last_seq")))
 
@@ -477,7 +479,8 @@ def throttle(spark, sf):
     events/s; the driver's events are minutes apart, so the query uses the
     same rule at a gap on the data's own time scale.
     """
-    out = Q.throttle(I.load_signal(spark, sf), "10 minutes", key="source")
+    out = Q.throttle(I.load_signal(spark, sf).select("source", "arrival_seq", "t_us", "ts"), "10 minutes",
+                     key="source")
     return out.select("arrival_seq", "source", "t_us")
 
 
