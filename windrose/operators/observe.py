@@ -114,16 +114,21 @@ def drop_ratios(ledger: DataFrame) -> DataFrame:
 # Recency, nearest rank
 # --------------------------------------------------------------------------
 
-def most_recent(df: DataFrame, n: int, order: str = "arrival_seq", keys: Sequence[str] = ()) -> DataFrame:
-    """The last ``n`` rows by ``order`` (per key).
+def _order_cols(order) -> list:
+    return [order] if isinstance(order, str) else list(order)
+
+
+def most_recent(df: DataFrame, n: int, order="arrival_seq", keys: Sequence[str] = ()) -> DataFrame:
+    """The last ``n`` rows by ``order`` (a column or a list, last wins ties) per key.
 
     Global: ``orderBy(desc).limit(n)`` is a TakeOrderedAndProject (each task
     keeps n rows).  Per key: ``row_number() <= n`` is planned as a partial
     WindowGroupLimit before the shuffle (threshold raised in the session).
     """
+    desc = [F.col(c).desc() for c in _order_cols(order)]
     if not keys:
-        return df.orderBy(F.col(order).desc()).limit(n)
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
+        return df.orderBy(*desc).limit(n)
+    w = Window.partitionBy(*keys).orderBy(*desc)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
@@ -166,10 +171,15 @@ def nearest_rank_many(df: DataFrame, specs: Mapping[str, tuple], keys: Sequence[
     return ranked.agg(*aggs)
 
 
+# Samples are kept in processing order: by processing time, then arrival.
+PROCESSING_ORDER = ("processed_at", "arrival_seq")
+
+
 def latency_stats(ledger: DataFrame, keys: Sequence[str] = (), max_samples: int = LATENCY_SAMPLES,
-                  order: str = "arrival_seq") -> DataFrame:
+                  order=PROCESSING_ORDER) -> DataFrame:
     """Avg / p50 / p95 (floor rank) of the last ``max_samples`` processed latencies."""
-    recent = most_recent(processed_rows(ledger).select(*keys, order, "latency_ms"), max_samples, order, keys)
+    recent = most_recent(processed_rows(ledger).select(*keys, *_order_cols(order), "latency_ms"),
+                         max_samples, order, keys)
     return nearest_rank(recent, "latency_ms", keys, mode="floor", prefix="latency_")
 
 
@@ -386,3 +396,61 @@ def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFram
         *totals.columns, *[F.col(f"{n}.{c}").alias(c) for n, p in parts.items() for c in p.columns],
         guarded_ratio("dropped_total", "ingested_total").alias("drop_ratio"),
         guarded_ratio("dropped_total", "processed_total").alias("drop_ratio_processed"))
+
+
+def kpi_history(ledger: DataFrame, aggregates: Optional[DataFrame] = None, keep_last: int = HISTORY_SIZE,
+                max_samples: int = LATENCY_SAMPLES, period: Duration = SNAPSHOT_PERIOD,
+                horizon: Duration = RATE_HORIZON) -> DataFrame:
+    """ST9 / W4 / A12: the history the KPI charts show: the last ``keep_last``
+    snapshots with a changed (ingested, processed, aggregated) triple, each
+    with rates, totals, drop ratios *and* the latency avg / p50 / p95 (floor
+    rank) over the last ``max_samples`` samples processed by its tick.
+
+    Bounded throughout: every sample is assigned to the first history tick
+    at or after its processing time (binary-search-free: a count over the
+    <= ``keep_last`` tick array); only the newest ``max_samples`` per tick
+    group survive (partial WindowGroupLimit); each survivor is exploded into
+    the ticks whose window still holds it, so at most
+    ``keep_last * max_samples`` rows reach the rank step.
+    """
+    triple = ["ingested_total", "processed_total", "aggregated_total"]
+    # <= keep_last rows read four times below: persisted once
+    hist = dedup_consecutive(kpi_series(ledger, aggregates, period, horizon), triple, "tick_us",
+                             keep_last=keep_last).persist(StorageLevel.MEMORY_AND_DISK)
+    # the <= keep_last tick times, and later the per-group sample counts, enter
+    # the rows as columns (scalar subqueries cannot sit inside lambdas)
+    ticks = hist.agg(F.array_sort(F.collect_list("tick_us")).alias("t")).scalar()
+    p_us = F.unix_micros("processed_at")
+    samples = (processed_rows(ledger)
+               .select(p_us.alias("_p"), "arrival_seq", "latency_ms", ticks.alias("_ticks"))
+               .filter(F.col("_p") <= F.try_element_at("_ticks", F.lit(-1)))
+               # most samples predate the history: group 0 without looking at the array
+               .withColumn("_g", F.when(F.col("_p") <= F.try_element_at("_ticks", F.lit(1)), F.lit(0))
+                           .otherwise(F.size(F.filter("_ticks", lambda x: x < F.col("_p")))))
+               .drop("_ticks"))
+    w = Window.partitionBy("_g").orderBy(F.col("_p").desc(), F.col("arrival_seq").desc())
+    top = samples.withColumn("_r", F.row_number().over(w) - 1).filter(F.col("_r") < max_samples)
+    # cumulative sample counts per tick group (cum[g] = samples up to group g),
+    # built once in a one-row subquery over the <= keep_last group counts
+    counts = (samples.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+                     .agg(F.map_from_entries(F.collect_list(F.struct("_g", "_n"))).alias("_m"))
+                     .select("_m", F.size(ticks).alias("_h"))
+                     .select(F.transform(F.sequence(F.lit(0), F.col("_h") - 1),
+                                         lambda g: F.coalesce(F.try_element_at(F.col("_m"), g),
+                                                              F.lit(0).cast("bigint"))).alias("_n")))
+    cum = counts.select(F.aggregate(
+        "_n", F.array().cast("array<bigint>"),
+        lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + x)))
+        .alias("_cum")).scalar()
+    withc = top.select("latency_ms", "_g", "_r", cum.alias("_cum"))
+    base = F.try_element_at(F.col("_cum"), F.col("_g") + 1)
+    # ticks j > g whose last max_samples samples still include this one
+    later = F.filter(F.slice(F.col("_cum"), F.col("_g") + 2, F.lit(keep_last + 1)),
+                     lambda c: c - base + F.col("_r") < max_samples)
+    exploded = withc.select("latency_ms", F.explode(F.sequence(F.col("_g"), F.col("_g") + F.size(later)))
+                            .alias("_j"))
+    stats = nearest_rank(exploded, "latency_ms", keys=["_j"], mode="floor", prefix="latency_")
+    indexed = (hist.select("*", ticks.alias("_ticks"))
+                   .withColumn("_j", F.size(F.filter("_ticks", lambda x: x < F.col("tick_us"))))
+                   .drop("_ticks"))
+    return indexed.join(stats, "_j", "left").drop("_j")

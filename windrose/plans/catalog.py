@@ -416,10 +416,10 @@ def kpi_series(spark, sf):
 
 @query("recent_latencies")
 def recent_latencies(spark, sf):
-    """The last 2000 processed latencies per source."""
+    """The last 2000 processed latencies per source (processing order)."""
     proc = O.processed_rows(I.load_ledger(spark, sf))
-    out = O.most_recent(proc.select("source", "arrival_seq", "latency_ms"), O.LATENCY_SAMPLES,
-                        keys=["source"])
+    out = O.most_recent(proc.select("source", "processed_at", "arrival_seq", "latency_ms"), O.LATENCY_SAMPLES,
+                        order=O.PROCESSING_ORDER, keys=["source"])
     return out.select("arrival_seq", "source", r6("latency_ms").alias("latency_ms"))
 
 
@@ -514,3 +514,16 @@ def python_mapper(spark, sf):
     sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor").select("arrival_seq", "value")
     return P.python_mapper(sig, lambda pdf: pdf.assign(value=pdf["value"] * 3),
                            "arrival_seq long, value double").select("arrival_seq", r6("value").alias("value"))
+
+
+@query("kpi_history")
+def kpi_history(spark, sf):
+    """ST9, W4, A12: the last 200 changed snapshots with rates, totals, ratios and latency stats."""
+    led = I.load_ledger(spark, sf)
+    out = O.kpi_history(led, A.window_source_aggregates(_processed(spark, sf), HOUR))
+    return out.select("tick_us", r6("ingest_eps").alias("ingest_eps"), r6("process_eps").alias("process_eps"),
+                      r6("aggregate_eps").alias("aggregate_eps"), "ingested_total", "dropped_total",
+                      "processed_total", "aggregated_total",
+                      r6("drop_ratio_processed").alias("drop_ratio_processed"),
+                      r6("latency_avg").alias("latency_avg"), r6("latency_p50").alias("latency_p50"),
+                      r6("latency_p95").alias("latency_p95"))

@@ -245,7 +245,7 @@ pr AS (SELECT source, COUNT(*) AS processed_total,
               COUNT(*) FILTER (WHERE processed_us BETWEEN now_us - 10000000 AND now_us) AS recent
        FROM led, now WHERE NOT dropped GROUP BY source),
 rec AS (SELECT source, latency_ms FROM
-          (SELECT source, latency_ms, row_number() OVER (PARTITION BY source ORDER BY arrival_seq DESC) AS rk
+          (SELECT source, latency_ms, row_number() OVER (PARTITION BY source ORDER BY processed_us DESC, arrival_seq DESC) AS rk
            FROM led WHERE NOT dropped) WHERE rk <= 2000),
 lat AS {_rank_stats("rec", "latency_ms", "floor", "latency_", part="source")}
 SELECT COALESCE(ing.source, pr.source) AS source, COALESCE(ingested, 0) AS ingested,
@@ -259,7 +259,8 @@ LEFT JOIN lat ON lat.source = COALESCE(ing.source, pr.source)""", ledger=True)
 ORACLE["union_sources"] = with_sig("""
 SELECT source FROM led UNION SELECT source FROM led WHERE NOT dropped""", ledger=True)
 
-LAT_RECENT = "(SELECT latency_ms FROM led WHERE NOT dropped ORDER BY arrival_seq DESC LIMIT 2000)"
+LAT_RECENT = ("(SELECT latency_ms FROM led WHERE NOT dropped "
+              "ORDER BY processed_us DESC, arrival_seq DESC LIMIT 2000)")
 
 ORACLE["latency_stats"] = with_sig(f"""
 SELECT ROUND(latency_avg, 6) AS latency_avg, ROUND(latency_p50, 6) AS latency_p50,
@@ -364,7 +365,7 @@ FROM kpi""", ledger=True)
 
 ORACLE["recent_latencies"] = with_sig("""
 SELECT arrival_seq, source, ROUND(latency_ms, 6) AS latency_ms FROM
-  (SELECT *, row_number() OVER (PARTITION BY source ORDER BY arrival_seq DESC) AS rk FROM led WHERE NOT dropped)
+  (SELECT *, row_number() OVER (PARTITION BY source ORDER BY processed_us DESC, arrival_seq DESC) AS rk FROM led WHERE NOT dropped)
 WHERE rk <= 2000""", ledger=True)
 
 ORACLE["last_n"] = with_sig("SELECT arrival_seq, source, t_us FROM sig ORDER BY arrival_seq DESC LIMIT 25")
@@ -434,3 +435,29 @@ ORACLE["python_predicate"] = with_sig(
 
 ORACLE["python_mapper"] = with_sig(
     "SELECT arrival_seq, ROUND(value * 3, 6) AS value FROM sig WHERE source = 'sensor'")
+
+ORACLE["kpi_history"] = with_sig(KPI + """
+, hist AS (
+  SELECT * FROM (
+    SELECT *, LAG(struct_pack(ingested_total, processed_total, aggregated_total)) OVER (ORDER BY tick_us) AS prev
+    FROM kpi)
+  WHERE prev IS NULL OR prev IS DISTINCT FROM struct_pack(ingested_total, processed_total, aggregated_total)
+  ORDER BY tick_us DESC LIMIT 200),
+win AS (
+  SELECT h.tick_us, s.latency_ms
+  FROM hist h, LATERAL (SELECT latency_ms FROM led
+                        WHERE NOT dropped AND processed_us <= h.tick_us
+                        ORDER BY processed_us DESC, arrival_seq DESC LIMIT 2000) s),
+lat AS (
+  SELECT tick_us, AVG(latency_ms) AS a,
+         MAX(CASE WHEN rn = floor(0.5::DOUBLE * (n - 1)) THEN latency_ms END) AS p50,
+         MAX(CASE WHEN rn = floor(0.95::DOUBLE * (n - 1)) THEN latency_ms END) AS p95
+  FROM (SELECT tick_us, latency_ms, row_number() OVER (PARTITION BY tick_us ORDER BY latency_ms) - 1 AS rn,
+               COUNT(*) OVER (PARTITION BY tick_us) AS n FROM win)
+  GROUP BY tick_us)
+SELECT h.tick_us, ROUND(ingest_eps, 6) AS ingest_eps, ROUND(process_eps, 6) AS process_eps,
+       ROUND(aggregate_eps, 6) AS aggregate_eps, ingested_total, dropped_total, processed_total,
+       aggregated_total,
+       ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(processed_total, 0), 0.0), 6) AS drop_ratio_processed,
+       ROUND(a, 6) AS latency_avg, ROUND(p50, 6) AS latency_p50, ROUND(p95, 6) AS latency_p95
+FROM hist h LEFT JOIN lat ON lat.tick_us = h.tick_us""", ledger=True)
