@@ -176,7 +176,8 @@ def test_e13_empty_inputs(spark):
     empty = signal(spark, [{"source": "log", "ts": at(0)}]).limit(0)
     with pytest.raises(PySparkException):
         A.whole_envelope(empty).collect()
-    led = spark.createDataFrame([], "arrival_seq long, source string, latency_ms double, dropped boolean")
+    led = spark.createDataFrame([], "arrival_seq long, source string, processed_at timestamp, latency_ms double, "
+                                    "dropped boolean")
     lat = O.latency_stats(led).first()
     assert (lat["latency_avg"], lat["latency_p50"], lat["latency_p95"]) == (None, None, None)
     r = O.drop_ratios(led).first()
