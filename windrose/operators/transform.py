@@ -26,14 +26,18 @@ def _resolve(df: DataFrame, pred: Predicate) -> Column:
 
 
 def filter_events(df: DataFrame, predicate: Predicate) -> DataFrame:
-    """Keep rows where the predicate is true (null counts as false)."""
-    return df.filter(F.coalesce(_resolve(df, predicate), F.lit(False)))
+    """Keep rows where the predicate is true (null counts as false, as in
+    ``WHERE``; the predicate is left bare so Catalyst can push it to the scan)."""
+    return df.filter(_resolve(df, predicate))
 
 
 def all_of(df: DataFrame, predicates: Sequence[Predicate]) -> Column:
-    """Conjunction of predicates (true when the list is empty)."""
-    cols = [F.coalesce(_resolve(df, p), F.lit(False)) for p in predicates]
-    return reduce(lambda a, b: a & b, cols, F.lit(True))
+    """Conjunction of predicates (true when the list is empty).
+
+    Under a filter a null conjunct drops the row, exactly like a false one.
+    """
+    cols = [_resolve(df, p) for p in predicates]
+    return reduce(lambda a, b: a & b, cols) if cols else F.lit(True)
 
 
 def filter_all(df: DataFrame, predicates: Sequence[Predicate]) -> DataFrame:

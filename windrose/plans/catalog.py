@@ -54,15 +54,17 @@ def envelope(spark, sf):
 @query("merged_counts")
 def merged_counts(spark, sf):
     """Bag union of the per-source streams, counted by source."""
-    sig = I.load_signal(spark, sf)
-    merged = I.merge_sources(I.sensor_envelope(sig), I.log_envelope(sig), I.feed_envelope(sig))
+    # each source reads only its own family (the filter reaches the scan)
+    merged = I.merge_sources(I.sensor_envelope(I.load_signal(spark, sf, ["sensor"])),
+                             I.log_envelope(I.load_signal(spark, sf, ["log"])),
+                             I.feed_envelope(I.load_signal(spark, sf, ["feed"])))
     return merged.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("route_source")
 def route_source(spark, sf):
-    """The log sub-stream of the merged stream."""
-    env = I.to_envelope(I.load_signal(spark, sf))
+    """The log sub-stream of the merged stream (the family filter reaches the scan)."""
+    env = I.to_envelope(I.load_signal(spark, sf, families=["log"]))
     logs = I.flatten_envelope(I.route_source(env, "log"))
     return logs.select("arrival_seq", "t_us", "level")
 
@@ -86,7 +88,7 @@ def demux_counts(spark, sf):
 @query("filter_events")
 def filter_events(spark, sf):
     """Sensor events with value >= 10."""
-    sig = I.load_signal(spark, sf)
+    sig = I.load_signal(spark, sf, families=["sensor"])
     out = P.filter_events(sig, (F.col("source") == "sensor") & (F.col("value") >= 10))
     return out.select("arrival_seq", "t_us", "value")
 
@@ -94,7 +96,7 @@ def filter_events(spark, sf):
 @query("filter_all")
 def filter_all(spark, sf):
     """Conjunction of three predicates."""
-    sig = I.load_signal(spark, sf)
+    sig = I.load_signal(spark, sf, families=["feed"])
     out = P.filter_all(sig, [F.col("source") == "feed", S.strict_true("success"),
                              lambda df: df["action"] != "click"])
     return out.select("arrival_seq", "action", "user_id")
@@ -103,7 +105,7 @@ def filter_all(spark, sf):
 @query("map_events")
 def map_events(spark, sf):
     """Value doubled by field replacement."""
-    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor")
+    sig = I.load_signal(spark, sf, families=["sensor"])
     out = P.map_events(sig, {"value": F.col("value") * 2})
     return out.select("arrival_seq", "source", r6("value").alias("value"))
 
@@ -128,7 +130,7 @@ def map_chain(spark, sf):
 @query("map_drop_null")
 def map_drop_null(spark, sf):
     """P5: first mapper nulls small values, second scales; a final null drops the row."""
-    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor").select("arrival_seq", "value")
+    sig = I.load_signal(spark, sf, families=["sensor"]).select("arrival_seq", "value")
     out = P.map_struct_chain(sig, [
         lambda ev: F.when(ev["value"] >= 5, ev),
         lambda ev: ev.withField("value", ev["value"] * 10),
@@ -189,7 +191,7 @@ def latency_ms(spark, sf):
 @query("round3")
 def round3(spark, sf):
     """round to 3 decimals."""
-    sig = I.load_signal(spark, sf).filter(F.col("value").isNotNull())
+    sig = I.load_signal(spark, sf, families=["sensor"]).filter(F.col("value").isNotNull())
     return sig.select("arrival_seq", S.round3(F.col("value") / 8).alias("v3"))
 
 
@@ -208,7 +210,7 @@ def map_sum(spark, sf):
 @query("sensor_avg")
 def sensor_avg(spark, sf):
     """Mean sensor value per hour; count of all events and of values."""
-    out = A.sensor_avg(I.load_signal(spark, sf), HOUR)
+    out = A.sensor_avg(I.load_signal(spark, sf, families=["sensor"]), HOUR)
     return out.select(us("window_start").alias("window_start_us"), r6("value_avg").alias("value_avg"),
                       "event_count", "value_count")
 
@@ -216,21 +218,21 @@ def sensor_avg(spark, sf):
 @query("log_levels")
 def log_levels(spark, sf):
     """A2: log-level counts per hour (tall form)."""
-    out = A.log_levels(I.load_signal(spark, sf), HOUR)
+    out = A.log_levels(I.load_signal(spark, sf, families=["log"]), HOUR)
     return out.select(us("window_start").alias("window_start_us"), "label", "n")
 
 
 @query("feed_actions")
 def feed_actions(spark, sf):
     """A3: feed-action counts per hour (tall form)."""
-    out = A.feed_actions(I.load_signal(spark, sf), HOUR)
+    out = A.feed_actions(I.load_signal(spark, sf, families=["feed"]), HOUR)
     return out.select(us("window_start").alias("window_start_us"), "label", "n")
 
 
 @query("feed_success_rate")
 def feed_success_rate(spark, sf):
     """Strict-true success count over all feed events."""
-    out = A.feed_success_rate(I.load_signal(spark, sf), HOUR)
+    out = A.feed_success_rate(I.load_signal(spark, sf, families=["feed"]), HOUR)
     return out.select(us("window_start").alias("window_start_us"), r6("success_rate").alias("success_rate"),
                       "event_count", "ok_count")
 
@@ -503,7 +505,7 @@ def payload_keys(spark, sf):
 @query("python_predicate")
 def python_predicate(spark, sf):
     """X1 fallback: a vectorised Python predicate (pandas UDF over Arrow batches)."""
-    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor")
+    sig = I.load_signal(spark, sf, families=["sensor"])
     pred = P.python_predicate(lambda pdf: (pdf["value"] >= 10) & (pdf["value"] < 20), "value")
     return P.filter_events(sig, pred).select("arrival_seq", "value")
 
@@ -511,7 +513,7 @@ def python_predicate(spark, sf):
 @query("python_mapper")
 def python_mapper(spark, sf):
     """X2 fallback: a batch-wise pandas mapper through mapInPandas."""
-    sig = I.load_signal(spark, sf).filter(F.col("source") == "sensor").select("arrival_seq", "value")
+    sig = I.load_signal(spark, sf, families=["sensor"]).select("arrival_seq", "value")
     return P.python_mapper(sig, lambda pdf: pdf.assign(value=pdf["value"] * 3),
                            "arrival_seq long, value double").select("arrival_seq", r6("value").alias("value"))
 

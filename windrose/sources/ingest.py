@@ -94,8 +94,26 @@ def signal_events(events: DataFrame) -> DataFrame:
             .drop("event_type"))
 
 
-def load_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return signal_events(read_events(spark, sf_dir))
+def family_filter(families: Iterable[str]) -> Column:
+    """Raw-column predicate selecting event families, pushable to the Parquet scan.
+
+    A filter on the derived ``source`` (a CASE expression) does not reach the
+    scan; the same selection on ``event_type`` does.
+    """
+    families = set(families)
+    typed = {etype for etype, fam in _SOURCE_OF_TYPE.items() if fam in families}
+    conds = [F.col("event_type").isin(*sorted(typed))] if typed else []
+    if "feed" in families:
+        conds.append(~F.col("event_type").isin(*sorted(_SOURCE_OF_TYPE)) | F.col("event_type").isNull())
+    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+
+
+def load_signal(spark: SparkSession, sf_dir: str, families: Optional[Iterable[str]] = None) -> DataFrame:
+    """Signal frame of the driver's events; ``families`` restricts it at the scan."""
+    events = read_events(spark, sf_dir)
+    if families is not None:
+        events = events.filter(family_filter(families))
+    return signal_events(events)
 
 
 # Fixed values of the ledger rule (FIXTURES.md §2.2).
