@@ -310,12 +310,13 @@ def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
     """ST7 / ST9: the snapshot series at every tick where a meter is non-zero.
 
     The per-tick table (one row per tick, bounded by span / period) is read by
-    both levels of the prefix sums; it is persisted (memory and disk) so the
-    ledger is scanned and exploded once, and a lost block is recomputed from
-    lineage.
+    both levels of the prefix sums, and the series by both levels of the
+    history's lag; both are persisted (memory and disk) so the ledger is
+    scanned and exploded once, and a lost block is recomputed from lineage.
     """
     per_tick = kpi_tick_partials(ledger, aggregates, period, horizon).persist(StorageLevel.MEMORY_AND_DISK)
-    return kpi_from_partials(per_tick, period, horizon, bucket_ticks)
+    # the series (same size) feeds the history's lag and top-k branches: kept too
+    return kpi_from_partials(per_tick, period, horizon, bucket_ticks).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def dedup_consecutive(df: DataFrame, id_cols: Sequence[str], order: str,
