@@ -158,3 +158,23 @@ def test_late_event_dropped_by_watermark_and_kept_by_fragments(spark, scratch):
         .orderBy("arrival_seq").collect()
     assert [r["fragment_id"] for r in frags] == [1, 2, 3, 4]
     assert frags[0]["window_start"] == frags[3]["window_start"]
+
+
+def test_progress_collector_sees_observed_metrics(spark, scratch):
+    collector = TK.ProgressCollector(keep=5)
+    spark.streams.addListener(collector)
+    try:
+        stream = L.observe_processing(I.ledger(L.signal_stream(spark, SF_SMALL)))
+        q = (stream.writeStream.format("noop").option("checkpointLocation", os.path.join(scratch, "ck"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        import time
+        for _ in range(50):
+            if any(r["observed"] for r in collector.reports):
+                break
+            time.sleep(0.2)
+        observed = [r["observed"]["processing"] for r in collector.reports if r["observed"]]
+        assert observed and sum(o["events"] for o in observed) == 1000
+        assert len(collector.reports) <= 5
+    finally:
+        spark.streams.removeListener(collector)

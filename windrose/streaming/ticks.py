@@ -14,6 +14,7 @@ from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from windrose.operators.observe import (SNAPSHOT_PERIOD, RATE_HORIZON, kpi_from_partials,
                                         kpi_tick_partials)
@@ -37,3 +38,32 @@ def read_kpi_series(spark: SparkSession, path: str, period=SNAPSHOT_PERIOD, hori
     parts = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch_id=*")
     per_tick = parts.groupBy("tick_us").agg(*[F.sum(c).alias(c) for c in _COUNTS])
     return kpi_from_partials(per_tick, period, horizon)
+
+
+class ProgressCollector(StreamingQueryListener):
+    """ST7 live side: keep the last ``keep`` progress reports of every query
+    (rows, rates, batch duration, observed metrics) on the driver; bounded,
+    like the reference's history of 200 snapshots."""
+
+    def __init__(self, keep: int = 200):
+        self.keep = keep
+        self.reports: list[dict] = []
+
+    def onQueryStarted(self, event):  # noqa: N802 - Spark's callback names
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        self.reports.append({
+            "id": str(p.id), "batch_id": p.batchId, "rows": p.numInputRows,
+            "input_rps": p.inputRowsPerSecond, "processed_rps": p.processedRowsPerSecond,
+            "duration_ms": dict(p.durationMs or {}),
+            "observed": {k: v.asDict() for k, v in (p.observedMetrics or {}).items()},
+        })
+        del self.reports[:-self.keep]
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
