@@ -59,18 +59,19 @@ _MIN_SENSOR_VALUE = 1.0        # sensor value missing below 1
 _SEQ_XOR = 7                   # arrival order = event_id XOR 7
 
 
+def _first_match(cases: list, default: str) -> Column:
+    """CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... ELSE default END."""
+    expr = F.when(cases[0][0], F.lit(cases[0][1]))
+    for cond, value in cases[1:]:
+        expr = expr.when(cond, F.lit(value))
+    return expr.otherwise(F.lit(default))
+
+
 def signal_events(events: DataFrame) -> DataFrame:
     """Driver ``events`` -> flat signal frame (batch or stream)."""
     k = F.get_json_object("props", "$.k").try_cast("int")
-    src = F.when(F.col("event_type") == "view", F.lit("sensor"))
-    for etype, fam in _SOURCE_OF_TYPE.items():
-        if etype != "view":
-            src = src.when(F.col("event_type") == etype, F.lit(fam))
-    src = src.otherwise(F.lit("feed"))
-    level = F.when(F.col("k") < _LEVEL_CUTS[0][0], F.lit(_LEVEL_CUTS[0][1]))
-    for cut, name in _LEVEL_CUTS[1:]:
-        level = level.when(F.col("k") < cut, F.lit(name))
-    level = level.otherwise(F.lit(_LEVEL_TOP))
+    src = _first_match([(F.col("event_type") == etype, fam) for etype, fam in _SOURCE_OF_TYPE.items()], "feed")
+    level = _first_match([(F.col("k") < cut, name) for cut, name in _LEVEL_CUTS], _LEVEL_TOP)
     keep_label = (F.col("k") % _MISSING_LABEL_EVERY) != 0
     ts = F.col("ts").cast("timestamp")
     return (events
