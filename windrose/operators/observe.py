@@ -215,13 +215,17 @@ def trailing_rate(df: DataFrame, ts: str = "ts", horizon: Duration = RATE_HORIZO
     keys = list(keys)
     h = duration_us(horizon)
     s = max(duration_us(span), h)
-    base = (df.withColumn("_t", F.unix_micros(F.col(ts)))
-              .withColumn("_span", F.floor(F.col("_t") / F.lit(s)).cast("long"))
-              .withColumn("_halo", F.lit(False)))
-    halo = (base.filter(F.col("_t") - F.col("_span") * F.lit(s) >= F.lit(s - h))
-                .withColumn("_span", F.col("_span") + 1).withColumn("_halo", F.lit(True)))
+    t = F.unix_micros(F.col(ts))
+    own = t - F.pmod(t, F.lit(s))
+    home = F.struct((own / F.lit(s)).cast("long").alias("_span"), F.lit(False).alias("_halo"))
+    copy = F.struct(((own / F.lit(s)).cast("long") + 1).alias("_span"), F.lit(True).alias("_halo"))
+    # one pass: rows in the last `horizon` of their span also go to the next span
+    placed = (df.withColumn("_t", t)
+                .withColumn("_p", F.explode(F.when(F.pmod(t, F.lit(s)) >= F.lit(s - h), F.array(home, copy))
+                                            .otherwise(F.array(home))))
+                .select("*", "_p.*").drop("_p"))
     w = Window.partitionBy(*keys, "_span").orderBy("_t").rangeBetween(-h, 0)
-    return (base.unionByName(halo)
+    return (placed
                 .withColumn("n_trailing", F.count(F.lit(1)).over(w))
                 .filter(~F.col("_halo"))
                 .withColumn(out, F.col("n_trailing") / F.lit(h / 1_000_000))
