@@ -182,3 +182,16 @@ def test_e13_empty_inputs(spark):
     assert (lat["latency_avg"], lat["latency_p50"], lat["latency_p95"]) == (None, None, None)
     r = O.drop_ratios(led).first()
     assert (r["drop_ratio_ingested"], r["drop_ratio_processed"]) == (0.0, 0.0)
+
+
+def test_x3_pandas_aggregator_fallback(spark):
+    df = signal(spark, [{"source": "sensor", "ts": at(s), "value": v} for s, v in ((0, 1.0), (1, 4.0), (7, 2.0))])
+
+    def spread(pdf):
+        import pandas as pd
+        return pd.DataFrame({"window_start": [pdf["window_start"].iloc[0]], "source": [pdf["source"].iloc[0]],
+                             "spread": [pdf["value"].max() - pdf["value"].min()]})
+    out = A.aggregate_with(df, "5 seconds", spread, schema="window_start timestamp, source string, spread double")
+    assert sorted(r["spread"] for r in out.collect()) == [0.0, 3.0]
+    cols = A.aggregate_with(df, "5 seconds", {"spread": F.max("value") - F.min("value")})
+    assert sorted(r["spread"] for r in cols.collect()) == [0.0, 3.0]

@@ -178,3 +178,13 @@ def test_progress_collector_sees_observed_metrics(spark, scratch):
         assert len(collector.reports) <= 5
     finally:
         spark.streams.removeListener(collector)
+
+
+def test_default_checkpoint_under_shared_folder(spark, scratch):
+    from windrose.session import checkpoint_dir, stream_checkpoint
+    out = os.path.join(scratch, "ticks-default")
+    ck = stream_checkpoint(spark, out)
+    assert ck.startswith(checkpoint_dir(spark).rstrip("/"))
+    q = TK.start_metrics_publisher(I.ledger(L.signal_stream(spark, SF_SMALL)), out)
+    q.awaitTermination(300)
+    assert TK.read_kpi_series(spark, out).count() > 0

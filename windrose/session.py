@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,6 +48,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def stream_checkpoint(spark: SparkSession, output_path: str) -> str:
+    """Checkpoint folder of a streaming query that writes to ``output_path``.
+
+    Lives under the shared ``spark.checkpoint.dir`` and is derived from the
+    output path, so a restarted query finds its offsets and state again.
+    """
+    name = re.sub(r"[^A-Za-z0-9_.-]+", "_", output_path.strip("/")) or "stream"
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "windrose") -> SparkSession:
     """Session for tests and the bench; on a cluster pass ``master=None``."""

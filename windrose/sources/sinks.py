@@ -8,6 +8,8 @@ from typing import Optional
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrose.session import stream_checkpoint
+
 OUTPUT_KINDS = ("event", "agg", "metrics")
 
 
@@ -37,9 +39,10 @@ def write_aggregates(aggs: DataFrame, path: str, mode: str = "append", fmt: str
     aggs.write.mode(mode).format(fmt).partitionBy("source").save(path)
 
 
-def write_stream_aggregates(aggs: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
+def write_stream_aggregates(aggs: DataFrame, path: str, checkpoint: Optional[str] = None, output_mode: str = "append",
                             trigger: Optional[dict] = None):
     """S8 on a stream: file sink with its own checkpoint folder."""
+    checkpoint = checkpoint or stream_checkpoint(aggs.sparkSession, path)
     w = (aggs.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode(output_mode))
     if trigger:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from windrose.functions.scalar import Duration, strict_true
 from windrose.operators.aggregate import combine_partials, label_of
 from windrose.sources.ingest import signal_events, stream_events
+from windrose.session import stream_checkpoint
 
 
 def signal_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None) -> DataFrame:
@@ -49,20 +50,22 @@ def window_aggregates_stream(sig: DataFrame, size: Duration, delay: Duration = "
     return combine_partials(stream_partials(sig, size, delay, ts), size, window_struct="w")
 
 
-def start_window_aggregates(sig: DataFrame, size: Duration, path: str, checkpoint: str,
+def start_window_aggregates(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                             delay: Duration = "0 seconds", trigger: Optional[dict] = None,
                             fmt: str = "parquet"):
     """Stream closed-window aggregates to files (append mode)."""
+    checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
     out = window_aggregates_stream(sig, size, delay)
     w = (out.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
          .outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def start_live_partials(sig: DataFrame, size: Duration, path: str, checkpoint: str,
+def start_live_partials(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                         trigger: Optional[dict] = None,
                         after_batch: Optional[Callable[[DataFrame, int], None]] = None):
     """ST4 live view: stream first-level partials in update mode to versioned files."""
+    checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
     partials = stream_partials(sig, size).select(F.col("w.start").alias("window_start"), "source", "label",
                                                  "value_sum", "value_n", "ok_n", "n")
 

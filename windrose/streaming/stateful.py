@@ -25,6 +25,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from windrose.functions.scalar import Duration, duration_us
 from windrose.operators.sequence import arrival_fragments, fold_segment
+from windrose.session import stream_checkpoint
 
 _STATE = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("start_seq", T.LongType()),
                        T.StructField("pm_us", T.LongType())])
@@ -77,7 +78,7 @@ def throttle_stream(sig: DataFrame, min_gap: Duration = "100 milliseconds", key:
         .drop("window_start_us", "window_seq", "opens_window")
 
 
-def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoint: str,
+def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                             ts: str = "ts", seq: str = "arrival_seq", trigger: Optional[dict] = None,
                             bucket_rows: int = 1 << 20):
     """ST3 / ST5 exact mode: per-event fragment ids across micro-batches.
@@ -86,6 +87,7 @@ def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoin
     one-row table per batch id under ``<path>/_carry``; reading it back is the
     only thing the driver collects.
     """
+    checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
     out_root = path.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:

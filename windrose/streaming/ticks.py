@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from windrose.operators.observe import (SNAPSHOT_PERIOD, RATE_HORIZON, kpi_from_partials,
+from windrose.operators.observe import (RATE_HORIZON, SNAPSHOT_PERIOD, kpi_from_partials,
                                         kpi_tick_partials)
+from windrose.session import stream_checkpoint
 
 _COUNTS = ("ingest_n", "process_n", "agg_n", "new_ingested", "new_dropped", "new_processed", "new_aggregated")
 
 
-def start_metrics_publisher(ledger_stream: DataFrame, path: str, checkpoint: str,
+def start_metrics_publisher(ledger_stream: DataFrame, path: str, checkpoint: Optional[str] = None,
                             trigger: Optional[dict] = None, period=SNAPSHOT_PERIOD, horizon=RATE_HORIZON):
+    checkpoint = checkpoint or stream_checkpoint(ledger_stream.sparkSession, path)
     root = path.rstrip("/")
 
     def publish(batch: DataFrame, batch_id: int) -> None:
