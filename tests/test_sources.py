@@ -55,3 +55,17 @@ def test_time_range_pushdown_reaches_scan(spark):
     out = A.window_source_aggregates(sig, "1 hour", time_range=("2024-01-02 00:00:00", "2024-01-03 00:00:00"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_aggregated_events_payload_layout(spark):
+    import json
+    sig = I.load_signal(spark, SF_SMALL)
+    aggs = A.window_source_aggregates(sig, "1 hour")
+    ev = K.aggregated_events(aggs)
+    rows = {r["source"]: json.loads(r["payload"]) for r in ev.filter(F.col("event_type") == "aggregated").collect()}
+    assert set(rows["sensor"]) == {"aggregation", "metric", "value", "window"}
+    assert set(rows["log"]) == {"aggregation", "levels", "window"}
+    assert set(rows["feed"]) == {"aggregation", "actions", "success_rate", "window"}
+    assert rows["log"]["window"]["start"].endswith("+00:00")
+    total = sum(json.loads(r["payload"])["window"]["count"] for r in ev.collect())
+    assert total == sig.count()

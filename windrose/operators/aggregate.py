@@ -71,8 +71,9 @@ def combine_partials(partials: DataFrame, size: Duration, keys: Sequence[str] =
               F.sum("value_n").alias("value_n"),
               F.sum("ok_n").alias("ok_n"),
               F.sum("n").alias("count"),
-              F.map_from_entries(F.collect_list(
-                  F.when(F.col("label").isNotNull(), F.struct("label", "n")))).alias("label_counts")))
+              # sorted by label so the map (and its JSON text) is deterministic
+              F.map_from_entries(F.array_sort(F.collect_list(
+                  F.when(F.col("label").isNotNull(), F.struct("label", "n"))))).alias("label_counts")))
     src = F.col("source")
     agg_name = F.when(src == "sensor", F.lit(AGGREGATION_NAME["sensor"]))
     for s in ("log", "feed"):

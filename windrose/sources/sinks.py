@@ -34,6 +34,31 @@ def demultiplex(tagged: DataFrame, kinds=OUTPUT_KINDS) -> dict[str, DataFrame]:
     return {k: tagged.filter(F.col("type") == k) for k in kinds}
 
 
+def aggregated_events(aggs: DataFrame, deterministic_ids: bool = True) -> DataFrame:
+    """S8 / A6 output form: one envelope per aggregate with ``event_type`` =
+    ``aggregated`` and the payload as JSON text in the reference's layout:
+    sensor ``{aggregation, metric, value}``, log ``{aggregation, levels}``, feed
+    ``{aggregation, actions, success_rate}``, each with ``window: {start, end,
+    count}`` in ISO text.  ``timestamp`` is the creation time, tags are empty.
+    """
+    from windrose.functions.scalar import iso_utc
+    src = F.col("source")
+    window = F.struct(iso_utc("window.start").alias("start"), iso_utc("window.end").alias("end"),
+                      F.col("count").alias("count"))
+    sensor = F.struct(F.col("aggregation"), F.col("metric"), F.col("value"), window.alias("window"))
+    log = F.struct(F.col("aggregation"), F.col("counts").alias("levels"), window.alias("window"))
+    feed = F.struct(F.col("aggregation"), F.col("counts").alias("actions"), F.col("success_rate"),
+                    window.alias("window"))
+    payload = (F.when(src == "sensor", F.to_json(sensor, {"ignoreNullFields": "false"}))
+                .when(src == "log", F.to_json(log)).otherwise(F.to_json(feed, {"ignoreNullFields": "false"})))
+    ident = (F.sha2(F.concat_ws("|", src, F.unix_micros("window.start").cast("string")), 256)
+             if deterministic_ids else F.expr("uuid()"))
+    return aggs.select(ident.alias("id"), src.alias("source"), F.lit("aggregated").alias("event_type"),
+                       F.current_timestamp().alias("timestamp"), payload.alias("payload"),
+                       F.create_map().cast("map<string,string>").alias("tags"),
+                       F.lit(None).cast("string").alias("correlation_id"))
+
+
 def write_aggregates(aggs: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
     """Persist aggregated records, one folder per source."""
     aggs.write.mode(mode).format(fmt).partitionBy("source").save(path)
