@@ -188,3 +188,22 @@ def test_default_checkpoint_under_shared_folder(spark, scratch):
     q = TK.start_metrics_publisher(I.ledger(L.signal_stream(spark, SF_SMALL)), out)
     q.awaitTermination(300)
     assert TK.read_kpi_series(spark, out).count() > 0
+
+
+def test_keyed_fragments_stream_equal_batch(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("_q", F.floor(F.col("event_id").bitwiseXOR(F.lit(7)) / 300))
+    for i in range(4):
+        ev.filter(F.col("_q") == i).drop("_q").coalesce(1).write.parquet(os.path.join(scratch, f"p{i}"))
+        part = [f for f in os.listdir(os.path.join(scratch, f"p{i}")) if f.endswith(".parquet")][0]
+        shutil.copy(os.path.join(scratch, f"p{i}", part), os.path.join(src, f"events-{i}.parquet"))
+    stream = I.signal_events(spark.readStream.schema(DRIVER_EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+                             .parquet(src))
+    q = (ST.arrival_fragments_stream(stream, HOUR, keys=["source"]).writeStream.format("memory")
+         .queryName("keyed_frags").outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    batch = Q.arrival_fragments(I.load_signal(spark, SF_SMALL), HOUR, keys=["source"])
+    assert _rows(spark.table("keyed_frags"), ["arrival_seq", "fragment_id"]) == \
+        _rows(batch, ["arrival_seq", "fragment_id"])
