@@ -529,3 +529,13 @@ def kpi_history(spark, sf):
                       r6("drop_ratio_processed").alias("drop_ratio_processed"),
                       r6("latency_avg").alias("latency_avg"), r6("latency_p50").alias("latency_p50"),
                       r6("latency_p95").alias("latency_p95"))
+
+
+@query("last_aggregates")
+def last_aggregates(spark, sf):
+    """The last 15 aggregated records in emission order (window, then sensor / log / feed)."""
+    aggs = A.window_source_aggregates(I.load_signal(spark, sf), HOUR) \
+        .withColumn("window_start", F.col("window.start"))
+    out = O.most_recent(aggs, 15, order=["window_start", "emission_order"])
+    return out.select(us("window_start").alias("window_start_us"), "source",
+                      F.col("count").alias("event_count"), "aggregation")

@@ -461,3 +461,10 @@ SELECT h.tick_us, ROUND(ingest_eps, 6) AS ingest_eps, ROUND(process_eps, 6) AS p
        ROUND(COALESCE(CAST(dropped_total AS DOUBLE) / NULLIF(processed_total, 0), 0.0), 6) AS drop_ratio_processed,
        ROUND(a, 6) AS latency_avg, ROUND(p50, 6) AS latency_p50, ROUND(p95, 6) AS latency_p95
 FROM hist h LEFT JOIN lat ON lat.tick_us = h.tick_us""", ledger=True)
+
+ORACLE["last_aggregates"] = with_sig("""
+SELECT ws AS window_start_us, source, COUNT(*) AS event_count,
+       CASE source WHEN 'sensor' THEN 'avg' WHEN 'log' THEN 'count_by_level' ELSE 'count_by_action' END
+         AS aggregation
+FROM sig GROUP BY ws, source
+ORDER BY ws DESC, CASE source WHEN 'sensor' THEN 0 WHEN 'log' THEN 1 ELSE 2 END DESC LIMIT 15""")
