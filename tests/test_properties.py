@@ -122,3 +122,14 @@ def test_py_round_matches_python(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in vals], "x double")
     got = [r["r"] for r in df.select(S.py_round("x", 3).alias("r")).collect()]
     assert got == [round(x, 3) for x in vals]
+
+
+def test_auto_bucket_width_handles_sparse_sequence_numbers(spark):
+    # 1000 rows whose sequence numbers are 10**12 apart: fixed-width buckets
+    # would put one row in each, the data-derived width about 100 per bucket
+    df = spark.createDataFrame([(i * 10**12 + 5, i) for i in range(1000)], "s long, v long")
+    w = Q.bucket_width(df, "s", target_rows=100)
+    per_bucket = df.select(Q._bucket("s", w).alias("b")).groupBy("b").count().collect()
+    assert len(per_bucket) == 10 and all(r["count"] == 100 for r in per_bucket)
+    out = Q.prefix_sum(df, "v", "ps", seq="s").orderBy("s").collect()
+    assert [r["ps"] for r in out] == list(np.cumsum(range(1000)))

@@ -2,17 +2,21 @@
 anchored windows (ST2) and the per-source throttle (ST6).
 
 None of them uses a window without a partition key.  Running values along the
-arrival order are computed in two levels (R5): rows are cut into buckets of at
-most ``bucket_rows`` consecutive sequence numbers, each bucket is scanned on
-its own (partitioned window), and a tiny per-bucket summary carries the value
-of all earlier buckets.  The summary has one row per bucket; the join back is
-left to AQE, which broadcasts it when its measured size is small and shuffles
+arrival order are computed in two levels (R5): rows are cut into buckets of
+consecutive sequence numbers, each bucket is scanned on its own (partitioned
+window), and a tiny per-bucket summary carries the value of all earlier
+buckets.  ``bucket_rows="auto"`` (the default) sizes the buckets from the
+data: the sequence range over ceil(rows / 2**20) buckets, so dense and sparse
+sequence numbers both give about a million rows per bucket; an int fixes the
+width in sequence units (with unique sequence numbers, an upper bound on the
+rows of a bucket).  The summary has one row per bucket; the join back is left
+to AQE, which broadcasts it when its measured size is small and shuffles
 otherwise.
 """
 
 from __future__ import annotations
 
-from typing import Optional, Sequence
+from typing import Optional, Sequence, Union
 
 import numpy as np
 import pandas as pd
@@ -23,17 +27,41 @@ from pyspark.sql import types as T
 from windrose.functions.scalar import Duration, duration_us, floor_window
 
 DEFAULT_BUCKET_ROWS = 1 << 20
+BucketRows = Union[int, str]
 
 
-def _bucket(seq: str, bucket_rows: int) -> Column:
+def bucket_width(df: DataFrame, seq: str, target_rows: int = DEFAULT_BUCKET_ROWS) -> Column:
+    """Bucket width from the data (a scalar subquery over a narrow scan of ``seq``).
+
+    The sequence range is cut into ceil(rows / target_rows) equal buckets, so
+    dense and sparse sequence numbers alike give about ``target_rows`` rows
+    per bucket when they are spread evenly.
+    """
+    stats = df.agg(F.min(seq).cast("long").alias("lo"), F.max(seq).cast("long").alias("hi"),
+                   F.count(seq).alias("n"))
+    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / F.lit(target_rows)).cast("long"))
+    span = F.col("hi") - F.col("lo") + 1
+    width = F.greatest(F.lit(1).cast("long"), F.call_function("div", span + buckets - 1, buckets))
+    return stats.select(F.coalesce(width, F.lit(1).cast("long")).alias("w")).scalar()
+
+
+def _width(df: DataFrame, seq: str, bucket_rows) -> Column:
+    if isinstance(bucket_rows, str):
+        if bucket_rows != "auto":
+            raise ValueError("bucket_rows must be a positive int or 'auto'")
+        return bucket_width(df, seq)
+    return F.lit(int(bucket_rows)).cast("long")
+
+
+def _bucket(seq: str, width: Column) -> Column:
     """Bucket of an integral order column (floor division, exact for any long)."""
-    w = int(bucket_rows)
-    return F.expr(f"(CAST(`{seq}` AS BIGINT) - pmod(CAST(`{seq}` AS BIGINT), {w}L)) div {w}L")
+    c = F.col(seq).cast("long")
+    return F.call_function("div", c - F.pmod(c, width), width)
 
 
 def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
                 keys: Sequence[str] = (), how: str = "max", inclusive: bool = True,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS, bucket_col: Optional[str] = None) -> DataFrame:
+                bucket_rows: BucketRows = "auto", bucket_col: Optional[str] = None) -> DataFrame:
     """Running max or sum of one or more columns along ``seq`` per ``keys``.
 
     ``value`` / ``out`` are a column name or parallel lists of names; all of
@@ -52,7 +80,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
     b = bucket_col or f"_{outs[0]}_bucket"
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     w_local = Window.partitionBy(*keys, b).orderBy(seq).rowsBetween(*frame)
-    bucketed = df if bucket_col else df.withColumn(b, _bucket(seq, bucket_rows))
+    bucketed = df if bucket_col else df.withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
     local = bucketed.withColumns({f"_{o}_local": agg(v).over(w_local) for v, o in zip(values, outs)})
     # the summary reads only (keys, seq, values): a narrow re-read of the input
     summary = bucketed.groupBy(*keys, b).agg(*[agg(v).alias(f"_{o}_bagg") for v, o in zip(values, outs)])
@@ -71,20 +99,20 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
 
 def prefix_max(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
                keys: Sequence[str] = (), inclusive: bool = True,
-               bucket_rows: int = DEFAULT_BUCKET_ROWS, bucket_col: Optional[str] = None) -> DataFrame:
+               bucket_rows: BucketRows = "auto", bucket_col: Optional[str] = None) -> DataFrame:
     """Running max of ``value`` along ``seq`` per ``keys`` (two-level, no global window)."""
     return prefix_scan(df, value, out, seq, keys, "max", inclusive, bucket_rows, bucket_col)
 
 
 def prefix_sum(df: DataFrame, value: str, out: str, seq: str = "arrival_seq",
                keys: Sequence[str] = (), inclusive: bool = True,
-               bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+               bucket_rows: BucketRows = "auto") -> DataFrame:
     """Running sum of ``value`` along ``seq`` per ``keys`` (two-level, no global window)."""
     return prefix_scan(df, value, out, seq, keys, "sum", inclusive, bucket_rows)
 
 
 def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence[str] = (),
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                   bucket_rows: BucketRows = "auto") -> DataFrame:
     """``lag(value)`` along ``seq`` per ``keys`` without an unpartitioned window.
 
     Inside a bucket it is the plain lag; the first row of a bucket takes the
@@ -93,7 +121,8 @@ def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence
     keys = list(keys)
     b = f"_{out}_bucket"
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
-    local = df.withColumn(b, _bucket(seq, bucket_rows)).withColumn(f"_{out}_local", F.lag(value).over(w_local)) \
+    local = df.withColumn(b, _bucket(seq, _width(df, seq, bucket_rows))) \
+              .withColumn(f"_{out}_local", F.lag(value).over(w_local)) \
               .withColumn(f"_{out}_first", F.row_number().over(w_local) == 1)
     summary = local.groupBy(*keys, b).agg(F.max_by(value, seq).alias(f"_{out}_last"))
     w_s = Window.partitionBy(*keys).orderBy(b)
@@ -105,7 +134,7 @@ def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence
 
 
 def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str = "arrival_seq",
-                      keys: Sequence[str] = (), bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                      keys: Sequence[str] = (), bucket_rows: BucketRows = "auto") -> DataFrame:
     """W1 / ST3: cut the arrival order into runs of the same epoch window.
 
     A new fragment starts whenever an event's window differs from the window
@@ -117,7 +146,7 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
     b = "_fr_bucket"
     ws_us = F.unix_micros(floor_window(ts, size))
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
-    local = (df.withColumn("_ws_us", ws_us).withColumn(b, _bucket(seq, bucket_rows))
+    local = (df.withColumn("_ws_us", ws_us).withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
                .withColumn("_prev", F.lag("_ws_us").over(w_local))
                .withColumn("_chg", (F.col("_prev").isNotNull() & (F.col("_prev") != F.col("_ws_us"))).cast("long"))
                .withColumn("_local_cum", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
@@ -229,7 +258,7 @@ def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
 
 def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
                      ts: str = "ts", seq: str = "arrival_seq",
-                     bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                     bucket_rows: BucketRows = "auto",
                      num_partitions: Optional[int] = None) -> DataFrame:
     """ST2: tumbling windows anchored at the first event, in arrival order.
 
@@ -251,7 +280,8 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     """
     keys = list(keys)
     size_us = duration_us(size)
-    base = df.withColumn("_t", F.unix_micros(F.col(ts))).withColumn("_aw_bucket", _bucket(seq, bucket_rows))
+    base = df.withColumn("_t", F.unix_micros(F.col(ts))) \
+        .withColumn("_aw_bucket", _bucket(seq, _width(df, seq, bucket_rows)))
     with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=keys, inclusive=False,
                          bucket_col="_aw_bucket")
     cut = F.col("_pm_before").isNull() | (F.col("_t") >= F.col("_pm_before") + F.lit(size_us))
@@ -272,7 +302,7 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
 
 def throttle(df: DataFrame, min_gap: Duration = "100 milliseconds", key: str = "source",
              ts: str = "ts", seq: str = "arrival_seq",
-             bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+             bucket_rows: BucketRows = "auto") -> DataFrame:
     """ST6: per key, keep an event only if at least ``min_gap`` has passed since
     the last *kept* one (the anchored window's openers)."""
     marked = anchored_windows(df, min_gap, keys=[key], ts=ts, seq=seq, bucket_rows=bucket_rows)

@@ -115,7 +115,7 @@ def arrival_fragments_stream(sig: DataFrame, size: Duration, keys: Sequence[str]
 
 def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                             ts: str = "ts", seq: str = "arrival_seq", trigger: Optional[dict] = None,
-                            bucket_rows: int = 1 << 20):
+                            bucket_rows="auto"):
     """ST3 / ST5 exact mode: per-event fragment ids across micro-batches.
 
     The carry (window start of the last event and its fragment id) is a
