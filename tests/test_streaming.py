@@ -207,3 +207,24 @@ def test_keyed_fragments_stream_equal_batch(spark, scratch):
     batch = Q.arrival_fragments(I.load_signal(spark, SF_SMALL), HOUR, keys=["source"])
     assert _rows(spark.table("keyed_frags"), ["arrival_seq", "fragment_id"]) == \
         _rows(batch, ["arrival_seq", "fragment_id"])
+
+
+def test_admission_cap_stream_equal_batch(spark, scratch):
+    from windrose.operators import observe as OB
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("_q", F.floor(F.col("event_id").bitwiseXOR(F.lit(7)) / 300))
+    for i in range(4):
+        ev.filter(F.col("_q") == i).drop("_q").coalesce(1).write.parquet(os.path.join(scratch, f"p{i}"))
+        part = [f for f in os.listdir(os.path.join(scratch, f"p{i}")) if f.endswith(".parquet")][0]
+        shutil.copy(os.path.join(scratch, f"p{i}", part), os.path.join(src, f"events-{i}.parquet"))
+    stream = I.signal_events(spark.readStream.schema(DRIVER_EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+                             .parquet(src))
+    # 1-day buckets so that buckets span several micro-batches
+    q = (ST.admission_cap_stream(stream, "1 day", merged_cap=10, source_cap=4).writeStream.format("memory")
+         .queryName("cap_stream").outputMode("append").option("checkpointLocation", os.path.join(scratch, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    batch = OB.admission_cap(I.load_signal(spark, SF_SMALL), "1 day", merged_cap=10, source_cap=4)
+    cols = ["arrival_seq", "accepted", "dropped"]
+    assert _rows(spark.table("cap_stream"), cols) == _rows(batch, cols)

@@ -113,6 +113,47 @@ def arrival_fragments_stream(sig: DataFrame, size: Duration, keys: Sequence[str]
         _fragments_fn(duration_us(size), seq), out_schema, _FRAG_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+_CAP_STATE = T.StructType([T.StructField("merged", T.LongType()),
+                           T.StructField("per_source", T.MapType(T.StringType(), T.LongType()))])
+
+
+def _cap_fn(merged_cap: int, source_cap: Optional[int], seq: str, source: str):
+    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(seq, kind="stable")
+        merged, per_source = state.get if state.exists else (0, {})
+        per_source = dict(per_source or {})
+        rank_all = merged + np.arange(1, len(pdf) + 1)
+        accepted = rank_all <= merged_cap
+        in_source = np.ones(len(pdf), dtype=bool)
+        if source_cap is not None:
+            src = pdf[source].fillna("").to_numpy()
+            rank_src = pd.Series(1, index=pdf.index).groupby(src).cumsum().to_numpy() + \
+                np.array([per_source.get(x, 0) for x in src], dtype=np.int64)
+            in_source = rank_src <= source_cap
+            for name, n in pd.Series(src).value_counts().items():
+                per_source[name] = per_source.get(name, 0) + int(n)
+        state.update((int(merged + len(pdf)), per_source))
+        yield pdf.assign(accepted=accepted, dropped=~accepted | ~in_source)
+    return fn
+
+
+def admission_cap_stream(sig: DataFrame, interval: Duration, merged_cap: int, source_cap: Optional[int] = None,
+                         ts: str = "ts", seq: str = "arrival_seq", source: str = "source",
+                         columns: Sequence[str] = ()) -> DataFrame:
+    """S7 on a stream: the first ``merged_cap`` events of each interval (and
+    ``source_cap`` per source) are kept, the rest flagged, across micro-batches.
+    State per interval: the events seen so far, overall and per source."""
+    from windrose.functions.scalar import floor_window
+    cols = list(dict.fromkeys([seq, source, *columns]))
+    src = sig.select(floor_window(ts, interval).alias("bucket_start"), *cols)
+    out_schema = T.StructType([src.schema[c] for c in src.columns]
+                              + [T.StructField("accepted", T.BooleanType()),
+                                 T.StructField("dropped", T.BooleanType())])
+    return src.groupBy("bucket_start").applyInPandasWithState(
+        _cap_fn(merged_cap, source_cap, seq, source), out_schema, _CAP_STATE, "append",
+        GroupStateTimeout.NoTimeout)
+
+
 def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                             ts: str = "ts", seq: str = "arrival_seq", trigger: Optional[dict] = None,
                             bucket_rows="auto"):
