@@ -1,6 +1,6 @@
 """Golden cases G1-G12 (the reference's tests) and E1-E13 (derived from its code)."""
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException

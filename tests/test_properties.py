@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from conftest import at, signal
 from windrose.functions import scalar as S

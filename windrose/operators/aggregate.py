@@ -14,7 +14,7 @@ from typing import Callable, Mapping, Optional, Sequence, Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windrose.functions.scalar import (Duration, col_of, floor_window, strict_true,
+from windrose.functions.scalar import (Duration, floor_window, strict_true,
                                        window_end)
 from windrose.sources.schema import AGGREGATION_NAME, SENSOR_METRIC, SOURCES, UNKNOWN_LABEL
 
