@@ -12,6 +12,10 @@ width in sequence units (with unique sequence numbers, an upper bound on the
 rows of a bucket).  The summary has one row per bucket; the join back is left
 to AQE, which broadcasts it when its measured size is small and shuffles
 otherwise.
+
+The order column must be unique per key (arrival sequence numbers are); if
+it is not, fold a tie-breaker into it first (for example the event id), or
+the order of tied rows, and so the result, is not defined.
 """
 
 from __future__ import annotations
