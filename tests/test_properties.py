@@ -2,6 +2,7 @@
 on random (shuffled, out-of-order) inputs, with tiny buckets and Arrow batches so
 that the two-level carries and the cross-batch state are exercised."""
 
+import math
 import random
 
 import numpy as np
@@ -116,11 +117,14 @@ def test_prefix_sum_and_max(spark, vals, width):
 @settings(**{**SETTINGS, "max_examples": 5})
 @given(xs=st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=50, max_size=200))
 def test_py_round_matches_python(spark, xs):
-    ties = [v / 8 for v in range(-400, 400)] + [x / 1000 + 0.0005 for x in range(-300, 300)]
+    ties = [v / 8 for v in range(-400, 400)] + [x / 1000 + 0.0005 for x in range(-300, 300)] + \
+        [-0.0004, -0.0, 0.0004]
     vals = xs + ties
     df = spark.createDataFrame([(float(x),) for x in vals], "x double")
     got = [r["r"] for r in df.select(S.py_round("x", 3).alias("r")).collect()]
-    assert got == [round(x, 3) for x in vals]
+    want = [round(x, 3) for x in vals]
+    assert got == want
+    assert [math.copysign(1, g) for g in got] == [math.copysign(1, w) for w in want]
 
 
 def test_auto_bucket_width_handles_sparse_sequence_numbers(spark):

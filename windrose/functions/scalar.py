@@ -131,7 +131,9 @@ def py_round(x: Union[str, Column], digits: int = 3) -> Column:
           .when(err > 0, True).when(err < 0, False)
           .otherwise(F.pmod(fl, F.lit(2.0)) != 0))
     rounded = (fl + F.when(up, 1.0).otherwise(0.0)) / scale
-    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) >= 1e15), c).otherwise(rounded)
+    # Python keeps the sign of a negative value rounded to zero (-0.0)
+    signed = F.when((rounded == 0.0) & (c < 0), F.lit(-0.0)).otherwise(rounded)
+    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) >= 1e15) | (c == 0.0), c).otherwise(signed)
 
 
 def round3(x: Union[str, Column]) -> Column:
