@@ -140,7 +140,7 @@ def map_drop_null(spark, sf):
 
 @query("composed_ops")
 def composed_ops(spark, sf):
-    """A fold of frame operators: filter, label, filter."""
+    """P6, X4 (the survey's run_pipeline): a fold of frame operators: filter, label, filter."""
     sig = I.load_signal(spark, sf)
     ops = [
         lambda df: df.filter(F.col("source").isin("log", "feed")),
@@ -190,7 +190,7 @@ def latency_ms(spark, sf):
 
 @query("round3")
 def round3(spark, sf):
-    """round to 3 decimals."""
+    """round to 3 decimals as Python does (half-even on the exact binary value)."""
     sig = I.load_signal(spark, sf, families=["sensor"]).filter(F.col("value").isNotNull())
     return sig.select("arrival_seq", S.round3(F.col("value") / 8).alias("v3"))
 
