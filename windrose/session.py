@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,13 +35,16 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we fall back to a fresh scratch folder.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset a
+    single-process session (tests) gets a fresh scratch folder; any other
+    session is refused, since its executors could not read one another's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="windrose-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -48,6 +52,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session.
+
+    Python stages import their functions by name; a cluster that does not have
+    the package on the executors' path gets it as a zip file.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_windrose_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="windrose-zip-"), "windrose-package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("windrose", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._windrose_shipped = True
+
+
 def stream_checkpoint(spark: SparkSession, output_path: str) -> str:
     """Checkpoint folder of a streaming query that writes to ``output_path``.
 
