@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from windrose.llm import bytepair, contamination, quotient
+from windrose.llm import bytepair, contamination, licenses, quality, quotient, secrets
 from windrose.llm.common import table
 from windrose.llm.oracle import ORACLE  # noqa: F401
 
@@ -19,6 +20,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def span_line(column: str) -> Column:
+    """kind:start:end of each span, comma-joined in the spans' order."""
+    return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of documents by merged counting quotient filters."""
@@ -36,3 +42,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and the text they decode to, as digests."""
     return bytepair.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in documents: base patterns and structurally confirmed candidates."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(span_line("base"), 256).alias("base_sha256"),
+                        span_line("spans").alias("spans"))
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and signature rules over documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of documents by the vote of labelled latent-semantic neighbours."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
