@@ -152,14 +152,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     narrow = materialise(base.select("doc_id", F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"),
                                      F.monotonically_increasing_id().alias("uid")), "dedup-prints")
     many = materialise(repeated_fingerprints(narrow).select("fp"), "dedup-repeated")
-    suspects = only_members(base.select(F.xxhash64("text").alias("fp"), "text"), "fp", members(many, "fp"))
+    found = members(many, "fp")
+    suspects = only_members(base.select(F.xxhash64("text").alias("fp"), "text"), "fp", found)
     verified = (suspects.groupBy("text").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                 .select(F.xxhash64("text").alias("fp"), F.sha2("text", 256).alias("sha"), "n"))
-    claims = (narrow.join(many, "fp", "left_semi").groupBy("fp", "sha")
+    # both sides are combined map-side, so a hot text is one row per map task
+    claims = (only_members(narrow, "fp", found).groupBy("fp", "sha")
               .agg(F.max(F.struct("doc_id", "uid")).alias("stay")))
-    groups = (claims.join(verified, ["fp", "sha"])
-              .select("fp", "sha", F.col("stay.doc_id").alias("stay_id"), F.col("stay.uid").alias("stay_uid"), "n"))
+    groups = materialise(claims.join(verified, ["fp", "sha"]).select(
+        "fp", "sha", F.col("stay.doc_id").alias("stay_id"), F.col("stay.uid").alias("stay_uid"), "n"), "dedup-groups")
     lone = F.col("n").isNull()
+    # plain join of two scans: the adaptive skew join splits the rows of a hot text
     return (narrow.join(groups, ["fp", "sha"], "left")
             .select("doc_id", F.when(lone, F.col("doc_id")).otherwise(F.col("stay_id")).alias("keep_id"),
                     F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
