@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.llm import bytepair, contamination, licenses, quality, quotient, secrets
+from windrose.llm import bytepair, contamination, licenses, pii, quality, quotient, secrets, urls
 from windrose.llm.common import table
 from windrose.llm.oracle import ORACLE  # noqa: F401
 
@@ -64,3 +64,19 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of documents by the vote of labelled latent-semantic neighbours."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by rules and by its host's path templates."""
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in documents: base patterns and candidates that boosted trees select."""
+    found = pii.scan_pii(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", count("email").alias("n_email"), count("ip").alias("n_ip"),
+                        count("card").alias("n_card"), count("phone").alias("n_phone"),
+                        F.sha2(span_line("base"), 256).alias("base_sha256"), span_line("spans").alias("spans"))
