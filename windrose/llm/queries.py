@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.llm import bytepair, contamination, licenses, pii, quality, quotient, secrets, urls
+from windrose.llm import bytepair, contamination, licenses, minhash, pii, quality, quotient, secrets, urls
 from windrose.llm.common import table
 from windrose.llm.oracle import ORACLE  # noqa: F401
 
@@ -80,3 +80,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("email").alias("n_email"), count("ip").alias("n_ip"),
                         count("card").alias("n_card"), count("phone").alias("n_phone"),
                         F.sha2(span_line("base"), 256).alias("base_sha256"), span_line("spans").alias("spans"))
+
+
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents by min-max hashing."""
+    return minhash.near_dedup(table(spark, sf_dir, "documents"))
