@@ -9,10 +9,9 @@ Documents with the same word sequence form a class and only classes are
 compared.  In every bucket each class is first compared with one leader, the
 class that meets most others; components of those links are then completed by
 comparing, within a bucket, classes that are still in different components.
-Those comparisons run in blocks of bounded size over signature bytes, and only
-pairs whose signatures agree often enough are checked on full sets.  No pair
-within a component is ever listed, and none between different components that
-share a bucket is left out by a cap.
+Those comparisons run in blocks of bounded size: signature bytes first, then
+the full sets of the pairs that agree often enough.  Only links come out, and
+no pair between different components that share a bucket is left out by a cap.
 
 Chance of missing a link of similarity 0.75: (1 - 0.75^4)^32 = 5e-6 that no
 band meets, and about 1e-5 that agreement of the 128 signature values falls
@@ -42,7 +41,7 @@ PERMUTATIONS = 64
 ROWS = 4                 # values in a band
 SCREEN = 75              # of the 128 signature bytes that must agree before full sets are compared
 CHUNK = 512              # classes in one side of a block
-SHARD_ROWS = 20_000      # rows of blocks that one task takes at a time, about
+SHARD_BYTES = 16 << 20   # of blocks that one task takes at a time, about
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,12 +146,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * F.col("n") >= percent * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
 
 
-def _open_pairs(met: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of classes in different components that share a bucket
-    and agree in at least SCREEN signature values.
+def _open_links(met: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of different components that share a bucket;
+    at least one for any two components that have any.
 
     In a bucket, the classes outside its largest component (the rest) meet all
-    classes of the bucket, in blocks of CHUNK x CHUNK.
+    classes of the bucket, in blocks of CHUNK x CHUNK that hold the full sets.  A
+    pair is looked at in the first bucket it shares, and only while its
+    components are not yet joined by a link of the same task.
     """
     at = (met.filter("n > 2").join(comps.withColumnRenamed("node", "cid"), "cid", "left")
           .select("key", "cid", F.coalesce("comp", "cid").alias("comp")))
@@ -162,40 +163,79 @@ def _open_pairs(met: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFra
         F.count(F.lit(1)).alias("kinds"), F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("top"))
         .filter("kinds > 1").select("key", F.col("top.comp").alias("major"), (F.col("all") - F.col("top.m")).alias("rest"),
                                     "all"), "near-mixed")
-    rows = at.join(mixed, "key").join(classes.select("cid", "sig"), "cid")
+    rows = at.join(mixed, "key")
     chunks = lambda c: F.ceil(F.col(c) / CHUNK).cast("int")
     own = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    columns = ["key", "cid", "comp", "major", "sig"]
+    columns = ["key", "cid", "comp", "major"]
     first = (rows.filter("comp <> major").withColumn("i", own(chunks("rest"))).withColumn("j", spread(chunks("all")))
              .select(*columns, "i", "j", F.lit(True).alias("rest")))
     second = (rows.withColumn("j", own(chunks("all"))).withColumn("i", spread(chunks("rest")))
               .select(*columns, "i", "j", F.lit(False).alias("rest")))
-    blocks = materialise(first.unionByName(second), "near-blocks")
-    shards = max(1, blocks.count() // SHARD_ROWS)
+    blocks = (first.unionByName(second).join(classes.select("cid", "bands", "sig"), "cid").join(sets, "cid"))
+    blocks = materialise(blocks, "near-blocks")
+    shards = max(1, (blocks.agg(F.sum(8 * F.size("shingles") + 400)).first()[0] or 0) // SHARD_BYTES)
 
     def compare(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        t = t.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending")]).combine_chunks()
         key, i, j, cid, comp, major = (t.column(c).to_numpy() for c in ("key", "i", "j", "cid", "comp", "major"))
         rest = t.column("rest").to_numpy(zero_copy_only=False).astype(bool)
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(key), -1)
+        bands = _flat(t, "bands")[0].reshape(len(key), -1)
+        values, ends = _flat(t, "shingles")
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         cuts = np.append(np.flatnonzero(new), len(key)).tolist()
-        out: set[tuple[int, int]] = set()
+        joined = _Joined()
+        out: list[tuple[int, int]] = []
         for a, z in zip(cuts, cuts[1:]):
             left, right = np.flatnonzero(rest[a:z]) + a, np.flatnonzero(~rest[a:z]) + a
             for r in left.tolist():
-                # a pair of two rest classes comes up twice; the smaller one lists it
+                # a pair of two rest classes comes up twice; the smaller one looks at it
                 other = right[(comp[right] != comp[r]) & ((comp[right] == major[r]) | (cid[right] > cid[r]))]
-                if len(other):
-                    good = other[(sig[other] == sig[r]).sum(axis=1) >= SCREEN]
-                    out.update((min(int(cid[r]), c), max(int(cid[r]), c)) for c in cid[good].tolist())
-        got = sorted(out)
-        return pa.table({"a": pa.array([x for x, _ in got], pa.int64()), "b": pa.array([y for _, y in got], pa.int64())})
+                agree = (sig[other] == sig[r]).sum(axis=1)
+                other = other[agree >= SCREEN]
+                same = bands[other] == bands[r]
+                first = bands[r][same.argmax(axis=1)] == key[r]
+                other, agree = other[first], agree[agree >= SCREEN][first]
+                mine = values[ends[r]:ends[r + 1]]
+                for o in other[np.argsort(-agree, kind="stable")].tolist():
+                    if not joined.same(int(comp[r]), int(comp[o])):
+                        theirs = values[ends[o]:ends[o + 1]]
+                        n = len(np.intersect1d(mine, theirs, assume_unique=True))
+                        if 100 * n >= percent * (len(mine) + len(theirs) - n):
+                            joined.join(int(comp[r]), int(comp[o]))
+                            out.append((int(cid[r]), int(cid[o])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return (blocks.withColumn("shard", F.pmod(F.xxhash64("key", "i", "j"), F.lit(shards)))
-            .groupBy("shard").applyInArrow(compare, "a long, b long").distinct())
+            .groupBy("shard").applyInArrow(compare, "a long, b long"))
+
+
+def _flat(t: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and where each row's begin."""
+    c = t.column(column)
+    c = c.chunk(0) if c.num_chunks else pa.array([], c.type)
+    return c.values.to_numpy()[c.offsets[0].as_py() if len(c.offsets) else 0:], c.offsets.to_numpy() - c.offsets[0].as_py()
+
+
+class _Joined:
+    """Components that links of one task have joined."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (p := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(p, p)
+            x = p
+        return x
+
+    def same(self, x: int, y: int) -> bool:
+        return self.find(x) == self.find(y)
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.find(x)] = self.find(y)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -225,7 +265,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = materialise(_full_sets(base, members(wanted, "h"), wanted.select("cid", "digest")), "near-sets")
     links = materialise(_linked(stars, sets, percent), "near-links")
     found = components(links)
-    more = materialise(_linked(_open_pairs(met, found, classes), sets, percent), "near-links")
+    more = materialise(_open_links(met, found, classes, sets, percent), "near-links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
