@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.llm import bytepair, contamination, licenses, minhash, pii, quality, quotient, secrets, urls
+from windrose.llm import bytepair, contamination, licenses, minhash, pii, quality, quotient, repeats, secrets, urls
 from windrose.llm.common import table
 from windrose.llm.oracle import ORACLE  # noqa: F401
 
@@ -86,3 +86,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents by min-max hashing."""
     return minhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes that stand anywhere else, removed from every document."""
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
