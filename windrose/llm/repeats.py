@@ -65,10 +65,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, first, count): runs of windows of a text that share an anchor.
+    """(text, hash, first, count): runs of windows of a text whose anchors have one hash.
 
     The anchor is the leftmost of the grams with the smallest hash in a window,
-    so it depends on the window's bytes alone.
+    so it depends on the window's bytes alone.  In a text of equal lines one run
+    goes on from anchor to anchor.
     """
     sizes = np.array([len(b) for b in blobs], np.int64)
     data = np.frombuffer(b"".join(blobs), np.uint8)
@@ -83,11 +84,11 @@ def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, n
                                                      - np.maximum(0, sizes - length + 1)),
                                            np.maximum(0, sizes - length + 1))
     anchor = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    # two texts may share an anchor only if windows crossed texts, which they do not
+    named = h[anchor]
     new = np.ones(len(at), bool)
-    new[1:] = anchor[1:] != anchor[:-1]
+    new[1:] = (named[1:] != named[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
-    return (owner[first], h[anchor[first]], at[first] - starts[owner[first]],
+    return (owner[first], named[first], at[first] - starts[owner[first]],
             np.diff(np.append(first, len(at))))
 
 
