@@ -26,8 +26,8 @@ TEXT_BATCH = 4 << 20   # bytes of text that one numpy step takes on at a time
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the Python stages: bounded Arrow batches, package on the executors."""
     prepare_session(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     ship_package(spark)
     return spark
 

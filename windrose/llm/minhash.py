@@ -41,7 +41,7 @@ PERMUTATIONS = 64
 ROWS = 4                 # values in a band
 SCREEN = 75              # of the 128 signature bytes that must agree before full sets are compared
 CHUNK = 512              # classes in one side of a block
-SHARD_BYTES = 16 << 20   # of blocks that one task takes at a time, about
+SHARD_BYTES = 8 << 20   # of blocks that one task takes at a time, about
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -97,7 +97,7 @@ def _signed(base: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             values = b.column(1).to_pylist()
-            for a, z in slices(values):
+            for a, z in slices(values, 1 << 20):
                 words = [words_of(t) for t in values[a:z]]
                 sets = [shingles(w) for w in words]
                 full = [i for i, s in enumerate(sets) if len(s)]
