@@ -20,6 +20,7 @@ ignored.  Positions are bytes of the UTF-8 text.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrose.llm.common import Members, materialise, members, prepare, texts
+from windrose.llm.common import Members, materialise, members, only_members, prepare, texts
 from windrose.llm.suffix import permuted_prefixes, suffix_array
 
 LENGTH = 400
@@ -64,8 +65,9 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:len(values) - rest], values[rest:]) if rest else values
 
 
-def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, hash, first, count): runs of windows of a text whose anchors have one hash.
+def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """(text, hash, first, count, anchors): runs of windows of a text whose anchors
+    have one hash, and how many anchors those are.
 
     The anchor is the leftmost of the grams with the smallest hash in a window,
     so it depends on the window's bytes alone.  In a text of equal lines one run
@@ -74,22 +76,23 @@ def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, n
     sizes = np.array([len(b) for b in blobs], np.int64)
     data = np.frombuffer(b"".join(blobs), np.uint8)
     if len(data) < length:
-        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return tuple(np.zeros(0, kind) for kind in (np.int64, np.uint64, np.int64, np.int64, np.int64))
     h = gram_hashes(data)
     place = np.arange(len(h), dtype=np.uint64)
     least = sliding_least((h >> np.uint64(32) << np.uint64(32)) | place, length - GRAM + 1)
     starts = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(blobs)), np.maximum(0, sizes - length + 1))
-    at = np.arange(len(owner)) + np.repeat(starts - (np.cumsum(np.maximum(0, sizes - length + 1))
-                                                     - np.maximum(0, sizes - length + 1)),
-                                           np.maximum(0, sizes - length + 1))
+    windows = np.maximum(0, sizes - length + 1)
+    owner = np.repeat(np.arange(len(blobs)), windows)
+    at = np.arange(len(owner)) + np.repeat(starts - (np.cumsum(windows) - windows), windows)
     anchor = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     named = h[anchor]
     new = np.ones(len(at), bool)
     new[1:] = (named[1:] != named[:-1]) | (owner[1:] != owner[:-1])
     first = np.flatnonzero(new)
-    return (owner[first], named[first], at[first] - starts[owner[first]],
-            np.diff(np.append(first, len(at))))
+    moves = np.ones(len(at), np.int64)
+    moves[1:] = anchor[1:] != anchor[:-1]
+    return (owner[first], named[first], at[first] - starts[owner[first]], np.diff(np.append(first, len(at))),
+            np.add.reduceat(moves, first) if len(first) else first)
 
 
 def _pieces(blobs: list[bytes]):
@@ -104,24 +107,33 @@ def _pieces(blobs: list[bytes]):
         yield start, len(blobs)
 
 
-def _anchors(base: DataFrame, length: int) -> DataFrame:
+def _rows(b: pa.RecordBatch, copied: Members | None) -> pa.RecordBatch:
+    """The rows (fp, uid, doc_id, n, text) of a batch that are surely no copies."""
+    if copied is None or not b.num_rows:
+        return b
+    return b.filter(pa.array(~copied.test(np.asarray(b.column(0).to_numpy(zero_copy_only=False), np.int64))))
+
+
+def _anchors(work: DataFrame, copied: Members | None, length: int) -> DataFrame:
     """(h, n): anchors and how often they occur, counted map-side first."""
     def run(batches):
         for b in batches:
-            blobs = [x for x in (t.encode() for t in b.column(0).to_pylist()) if len(x) >= length]
+            blobs = [x for x in (t.encode() for t in _rows(b, copied).column(4).to_pylist()) if len(x) >= length]
             for a, z in _pieces(blobs):
-                h, n = np.unique(anchor_runs(blobs[a:z], length)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "n"])
+                _, h, _, _, anchors = anchor_runs(blobs[a:z], length)
+                h, back = np.unique(h, return_inverse=True)
+                n = np.bincount(back, anchors, len(h)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    return base.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return work.mapInArrow(run, "h long, n long")
 
 
 _ROUTED = [("kind", pa.string()), ("uid", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("count", pa.int64()),
-           ("name", pa.binary()), ("data", pa.binary())]      # and doc_id, of its own type
-_ROUTED_DDL = "kind string, uid long, h long, at long, count long, name binary, data binary"
+           ("anchors", pa.int64()), ("name", pa.binary()), ("data", pa.binary())]      # and doc_id, of its own type
+_ROUTED_DDL = "kind string, uid long, h long, at long, count long, anchors long, name binary, data binary"
 
 
-def _route(base: DataFrame, again: Members, hot: Members | None, length: int) -> DataFrame:
+def _route(work: DataFrame, copied: Members | None, again: Members, hot: Members | None, length: int) -> DataFrame:
     """Rows of several kinds, one pass over the texts:
 
     ``plain``: a document without repeated anchors (count: its bytes, name: digest);
@@ -129,37 +141,44 @@ def _route(base: DataFrame, again: Members, hot: Members | None, length: int) ->
     ``stretch``: the bytes of a run of windows with a repeated anchor (at, count of
     windows, name of the bytes; the bytes themselves once per batch);
     ``window``: one window of a hot anchor (at, name of its bytes).
+
+    A text with copies only lends its stretches: its own fate is known.
     """
     def run(batches):
         for b in batches:
-            kind, ids = b.schema.field(1).type, b.column(1).to_pylist()
-            uids = b.column(0).to_pylist()
-            blobs = [t.encode() for t in b.column(2).to_pylist()]
+            b = _rows(b, copied)
+            kind, ids = b.schema.field(2).type, b.column(2).to_pylist()
+            uids, copies = b.column(1).to_pylist(), b.column(3).to_pylist()
+            blobs = [t.encode() for t in b.column(4).to_pylist()]
             rows: list[tuple] = []
             seen: set[bytes] = set()
             for a, z in _pieces(blobs):
-                owner, h, first, count = anchor_runs(blobs[a:z], length)
-                keep = again.test(h.view(np.int64)) if len(h) else np.zeros(0, bool)
-                owner, h, first, count = owner[keep], h[keep], first[keep], count[keep]
-                many = hot.test(h.view(np.int64)) if hot is not None and len(h) else np.zeros(len(h), bool)
+                owner, *runs = anchor_runs(blobs[a:z], length)
+                keep = again.test(runs[0].view(np.int64)) if len(owner) else np.zeros(0, bool)
+                owner, h, first, count, anchors = (x[keep] for x in (owner, *runs))
+                h = h.view(np.int64)
+                many = hot.test(h) if hot is not None and len(h) else np.zeros(len(h), bool)
                 touched = np.zeros(z - a, bool)
                 touched[owner] = True
-                for o, key, f, c, m in zip(owner.tolist(), h.view(np.int64).tolist(), first.tolist(), count.tolist(), many.tolist()):
-                    blob, uid = blobs[a + o], uids[a + o]
+                for o, key, f, c, k, m in zip(*(x.tolist() for x in (owner, h, first, count, anchors, many))):
+                    blob = blobs[a + o]
+                    uid = uids[a + o] if copies[a + o] == 1 else -1
                     if m:
-                        rows += [("window", uid, key, x, 1, xxhash.xxh3_128_digest(blob[x:x + length]), None, None)
+                        rows += [("window", uid, key, x, 1, 1, xxhash.xxh3_128_digest(blob[x:x + length]), None, None)
                                  for x in range(f, f + c)]
                     else:
                         data = blob[f:f + c - 1 + length]
                         name = xxhash.xxh3_128_digest(data)
-                        rows.append(("stretch", uid, key, f, c, name, None if name in seen else data, None))
+                        rows.append(("stretch", uid, key, f, c, k, name, None if name in seen else data, None))
                         seen.add(name)
                 for o, t in enumerate(touched.tolist()):
                     blob = blobs[a + o]
+                    if copies[a + o] > 1:
+                        continue
                     if t:
-                        rows.append(("text", uids[a + o], None, None, len(blob), None, blob, ids[a + o]))
+                        rows.append(("text", uids[a + o], None, None, len(blob), None, None, blob, ids[a + o]))
                     else:
-                        rows.append(("plain", uids[a + o], None, None, len(blob),
+                        rows.append(("plain", uids[a + o], None, None, len(blob), None,
                                      hashlib.sha256(blob).digest(), None, ids[a + o]))
                 if len(rows) > 20_000:
                     yield _batch(rows, kind)
@@ -168,8 +187,7 @@ def _route(base: DataFrame, again: Members, hot: Members | None, length: int) ->
             if rows:
                 yield _batch(rows, kind)
 
-    return base.select("uid", "doc_id", "text").mapInArrow(
-        run, f"{_ROUTED_DDL}, doc_id {base.schema['doc_id'].dataType.simpleString()}")
+    return work.mapInArrow(run, f"{_ROUTED_DDL}, doc_id {work.schema['doc_id'].dataType.simpleString()}")
 
 
 def _batch(rows: list[tuple], id_kind: pa.DataType) -> pa.RecordBatch:
@@ -291,9 +309,8 @@ def repeated_windows(stretches: list[bytes], counts: list[int], length: int = LE
     if len(far):
         # windows without the beginning of a word: the same over single bytes
         b = _Shard([stretches[i] for i in far.tolist()], by_words=False)
-        base = b.starts[np.searchsorted(far, s.owner)] if len(far) else None
         x = np.flatnonzero(valid & ~near)
-        y = base[x] + local[x]
+        y = b.starts[np.searchsorted(far, s.owner[x])] + local[x]
         group = np.cumsum(b.common < length)
         _, back, many = np.unique(group[b.rank[b.unit_at[y]]], return_inverse=True, return_counts=True)
         _mark(flags, s, x[many[back] > 1], local)
@@ -316,7 +333,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _solve(t: pa.Table, length: int) -> pa.Table:
     """(uid, first, end): bytes of each document that the shard's repeated windows cover."""
-    h, uid, at = (t.column(c).to_numpy() for c in ("h", "uid", "at"))
+    h, uid, at, anchors = (t.column(c).to_numpy() for c in ("h", "uid", "at", "anchors"))
     count, names = t.column("count").to_numpy(), t.column("name").to_pylist()
     data = t.column("data")
     stretches: dict[tuple[int, bytes], list[int]] = {}
@@ -328,9 +345,9 @@ def _solve(t: pa.Table, length: int) -> pa.Table:
     blob = {}
     for i in np.flatnonzero(np.asarray(data.is_valid())).tolist():
         blob.setdefault(names[i], i)
-    # a stretch held twice is repeated whole; one alone with its anchor meets nothing else
+    # a stretch held twice is repeated whole; one with the only anchor of its hash meets nothing
     found = {key: np.ones(count[own[0]], bool) for key, own in stretches.items() if len(own) > 1}
-    open_ = [key for key in stretches if of_anchor[key[0]] > 1]
+    open_ = [key for key, own in stretches.items() if of_anchor[key[0]] > 1 or anchors[own[0]] > 1 and len(own) == 1]
     if open_:
         got = repeated_windows([data[blob[key[1]]].as_py() for key in open_],
                                [int(count[stretches[key][0]]) for key in open_], length)
@@ -341,7 +358,8 @@ def _solve(t: pa.Table, length: int) -> pa.Table:
     for key, flags in found.items():
         runs = _runs(flags)
         for i in stretches[key]:
-            out += [(int(uid[i]), int(at[i]) + a, int(at[i]) + z - 1 + length) for a, z in runs]
+            if uid[i] >= 0:
+                out += [(int(uid[i]), int(at[i]) + a, int(at[i]) + z - 1 + length) for a, z in runs]
     return pa.table({c: pa.array([r[k] for r in out], pa.int64()) for k, c in enumerate(("uid", "first", "end"))})
 
 
@@ -355,13 +373,19 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-def _spans(base: DataFrame, length: int, hot_limit: int) -> tuple[DataFrame, DataFrame]:
-    """(routed rows, spans (uid, first, end)) of a table (uid, doc_id, text)."""
-    again = materialise(_anchors(base, length).filter("n > 1"), "repeat-anchors")
+def _routed_spans(parts: list[tuple[DataFrame, Members | None]], length: int,
+                  hot_limit: int) -> tuple[DataFrame, DataFrame]:
+    """(routed rows, spans (uid, first, end)) of tables (fp, uid, doc_id, n, text)."""
+    def union(frames: list[DataFrame]) -> DataFrame:
+        return functools.reduce(DataFrame.unionByName, frames)
+
+    counted = union([_anchors(work, copied, length) for work, copied in parts])
+    again = materialise(counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "repeat-anchors")
     hot = again.filter(F.col("n") > hot_limit)
     many = None if hot.isEmpty() else members(hot, "h")
-    routed = materialise(_route(base, members(again, "h"), many, length), "repeat-routed")
-    stretch = routed.filter("kind = 'stretch'").select("h", "uid", "at", "count", "name", "data")
+    known = members(again, "h")
+    routed = materialise(union([_route(work, copied, known, many, length) for work, copied in parts]), "repeat-routed")
+    stretch = routed.filter("kind = 'stretch'").select("h", "uid", "at", "count", "anchors", "name", "data")
     size = stretch.agg(F.sum(F.coalesce(F.length("data"), F.lit(0)) + 64)).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     spans = (stretch.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).groupBy("shard")
@@ -370,7 +394,7 @@ def _spans(base: DataFrame, length: int, hot_limit: int) -> tuple[DataFrame, Dat
         window = routed.filter("kind = 'window'").select("uid", "at", "name")
         twice = materialise(window.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"),
                             "repeat-windows")
-        spans = spans.unionByName(window.join(twice, "name", "left_semi").select(
+        spans = spans.unionByName(window.filter("uid >= 0").join(twice, "name", "left_semi").select(
             "uid", F.col("at").alias("first"), (F.col("at") + length).alias("end")))
     return routed, spans
 
@@ -378,20 +402,44 @@ def _spans(base: DataFrame, length: int, hot_limit: int) -> tuple[DataFrame, Dat
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    hot_limit: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept_sha256, kept) for every row: ``spans``
-    the removed runs, ``kept`` the bytes that are left, null where nothing goes."""
+    the removed runs, ``kept`` the bytes that are left, null where nothing goes.
+
+    Equal texts are put aside first: they go whole when they have LENGTH bytes,
+    and one of them stands for all where other texts are compared.
+    """
     prepare(docs.sparkSession)
-    base = texts(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id())
-    routed, spans = _spans(base, length, hot_limit)
+    base = texts(docs, id_col, text_col).withColumn("fp", F.xxhash64("text"))
+    found = members(materialise(base.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp"),
+                                "repeat-prints"), "fp")
+    maybe = only_members(base, "fp", found)
+    groups = materialise(maybe.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("doc_id"))
+                         .withColumn("sha", F.sha2("text", 256)), "repeat-copies")
+    columns = ["fp", "uid", "doc_id", "n", "text"]
+    alone = base.withColumn("n", F.lit(1).cast("long")).withColumn("uid", F.monotonically_increasing_id() * 2)
+    shared = (groups.withColumn("fp", F.lit(0).cast("long"))
+              .withColumn("uid", F.monotonically_increasing_id() * 2 + 1))
+    routed, spans = _routed_spans([(alone.select(columns), found), (shared.select(columns), None)], length, hot_limit)
+
+    nothing = F.from_json(F.lit("[]"), "array<struct<first:long,end:long>>")
+    zero, no_bytes = F.lit(0).cast("long"), F.lit(None).cast("binary")
     plain = routed.filter("kind = 'plain'").select(
-        "doc_id", F.col("count").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-        F.from_json(F.lit("[]"), "array<struct<first:long,end:long>>").alias("spans"),
-        F.lower(F.hex("name")).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept"))
+        "doc_id", F.col("count").alias("n_bytes"), zero.alias("n_removed"), nothing.alias("spans"),
+        F.lower(F.hex("name")).alias("kept_sha256"), no_bytes.alias("kept"))
     own = spans.groupBy("uid").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     cut = (routed.filter("kind = 'text'").select("uid", "doc_id", "data").join(own, "uid", "left")
            .select("doc_id", "data", "spans")
            .mapInArrow(_cut, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, "
                              "spans array<struct<first:long,end:long>>, kept_sha256 string, kept binary"))
-    return plain.unionByName(cut)
+    size = F.octet_length("text").cast("long")
+    whole = F.col("n_bytes") >= length
+    copies = (maybe.select("doc_id", size.alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+              .join(groups.filter("n > 1").select("sha"), "sha")
+              .select("doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(zero).alias("n_removed"),
+                      F.when(whole, F.array(F.struct(zero.alias("first"), F.col("n_bytes").alias("end"))))
+                      .otherwise(nothing).alias("spans"),
+                      F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
+                      F.when(whole, F.lit(b"")).otherwise(no_bytes).alias("kept")))
+    return plain.unionByName(cut).unionByName(copies)
 
 
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
