@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrose.session import checkpoint_dir, prepare_session, ship_package
@@ -46,15 +46,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def slices(values: list, limit: int = TEXT_BATCH) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts with about ``limit`` characters each."""
     start = size = 0
@@ -116,7 +111,3 @@ def only_members(df: DataFrame, column: str, found: Members, want: bool = True)
                 yield b.filter(pa.array(hit if want else ~hit))
 
     return df.mapInArrow(run, df.schema)
-
-
-def sha_hex(c: Column) -> Column:
-    return F.sha2(c, 256)

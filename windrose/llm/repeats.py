@@ -4,12 +4,12 @@ A string of LENGTH bytes that starts at two places is removed at both.  Every
 window of LENGTH bytes is named by its anchor, the k-gram with the smallest
 hash in it: equal windows have equal anchors, so only stretches whose anchor
 occurs again anywhere leave their document.  They are dealt to shards by their
-anchor; a shard builds a suffix array by induced sorting over the words of its
-distinct stretches, takes the permuted common prefixes in bytes, and induces
+anchor; a shard sifts the windows whose grams all occur again, builds a suffix
+array by induced sorting over the words of the distinct stretches left, takes the permuted common prefixes in bytes, and induces
 from them which windows, at any byte, occur again.
 
-Anchors that occur more than HOT times (one passage in very many documents)
-would make a shard too large; their windows are counted one by one instead, by
+Anchors of more than HOT stretches (one passage in very many documents) would
+make a shard too large; their windows are counted one by one instead, by
 128-bit digests grouped map-side, which finds the same windows.
 
 Defined cases: a null text counts as empty; a text shorter than LENGTH bytes
@@ -34,7 +34,8 @@ from windrose.llm.suffix import permuted_prefixes, suffix_array
 
 LENGTH = 400
 GRAM = 16
-HOT = 8192                 # occurrences up to which an anchor's stretches meet in one shard
+SIEVE = 64                 # bytes of the grams that sift windows inside a shard
+HOT = 16384                # stretches of an anchor that may meet in one shard
 SHARD_BYTES = 2 << 20      # bytes of stretches in one shard, about
 PIECE = 1 << 19            # bytes of text in one numpy step
 
@@ -42,10 +43,10 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BYTE = np.array([(48 <= c <= 57) or (65 <= c <= 90) or (97 <= c <= 122) or c >= 128 for c in range(256)])
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Mixed 64-bit hash of the GRAM bytes from each position, by doubling."""
+def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Mixed 64-bit hash of the ``size`` bytes (a power of two) from each position, by doubling."""
     h, width, power = data.astype(np.uint64) + np.uint64(1), 1, _BASE
-    while width < GRAM:
+    while width < size:
         h = h[:-width] * np.uint64(power) + h[width:]
         power = power * power % (1 << 64)
         width *= 2
@@ -115,17 +116,18 @@ def _rows(b: pa.RecordBatch, copied: Members | None) -> pa.RecordBatch:
 
 
 def _anchors(work: DataFrame, copied: Members | None, length: int) -> DataFrame:
-    """(h, n): anchors and how often they occur, counted map-side first."""
+    """(h, n, runs): anchors, their places and their runs, counted batch by batch."""
     def run(batches):
         for b in batches:
             blobs = [x for x in (t.encode() for t in _rows(b, copied).column(4).to_pylist()) if len(x) >= length]
             for a, z in _pieces(blobs):
                 _, h, _, _, anchors = anchor_runs(blobs[a:z], length)
-                h, back = np.unique(h, return_inverse=True)
+                h, back, runs = np.unique(h, return_inverse=True, return_counts=True)
                 n = np.bincount(back, anchors, len(h)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n), pa.array(runs.astype(np.int64))],
+                                                 ["h", "n", "runs"])
 
-    return work.mapInArrow(run, "h long, n long")
+    return work.mapInArrow(run, "h long, n long, runs long")
 
 
 _ROUTED = [("kind", pa.string()), ("uid", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("count", pa.int64()),
@@ -331,6 +333,43 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
+def _lone_anchors(seen) -> set[int]:
+    """Anchors named once by (anchor, whether it stands at several places there),
+    at one place: nothing in the shard can match there."""
+    once: dict[int, int] = {}
+    for h, several in seen:
+        once[h] = once.get(h, 0) + 1 + several
+    return {h for h, n in once.items() if n == 1}
+
+
+def candidate_windows(stretches: list[bytes], counts: list[int], length: int) -> list[tuple[int, int, int]]:
+    """(stretch, first, count): runs of windows in which every gram of SIEVE bytes
+    occurs again in the list, as it does in any window that occurs again."""
+    sieve = 1 << min(SIEVE, length).bit_length() - 1
+    if not stretches:
+        return []
+    data = np.frombuffer(b"".join(stretches), np.uint8)
+    sizes = np.array([len(s) for s in stretches], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    h = gram_hashes(data, sieve)
+    inside = np.ones(len(data), bool)
+    for k in range(1, sieve):          # grams that cross into the next stretch
+        inside[starts + sizes - k] = False
+    at = np.flatnonzero(inside)
+    order = np.argsort(h[at])
+    ranked = h[at][order]
+    same = ranked[1:] == ranked[:-1]
+    again = np.append(same, False) | np.append(False, same)
+    lonely = np.zeros(len(data) + 1, np.int64)
+    lonely[at[order[~again]] + 1] = 1
+    lonely = np.cumsum(lonely)
+    out = []
+    for k, (s, c) in enumerate(zip(starts.tolist(), counts)):
+        good = lonely[s + length - sieve + 1:s + length - sieve + 1 + c] == lonely[s:s + c]
+        out += [(k, a, z - a) for a, z in _runs(good)]
+    return out
+
+
 def _solve(t: pa.Table, length: int) -> pa.Table:
     """(uid, first, end): bytes of each document that the shard's repeated windows cover."""
     h, uid, at, anchors = (t.column(c).to_numpy() for c in ("h", "uid", "at", "anchors"))
@@ -339,21 +378,28 @@ def _solve(t: pa.Table, length: int) -> pa.Table:
     stretches: dict[tuple[int, bytes], list[int]] = {}
     for i, key in enumerate(zip(h.tolist(), names)):
         stretches.setdefault(key, []).append(i)
-    of_anchor: dict[int, int] = {}
-    for key, _ in stretches:
-        of_anchor[key] = of_anchor.get(key, 0) + 1
     blob = {}
     for i in np.flatnonzero(np.asarray(data.is_valid())).tolist():
         blob.setdefault(names[i], i)
-    # a stretch held twice is repeated whole; one with the only anchor of its hash meets nothing
-    found = {key: np.ones(count[own[0]], bool) for key, own in stretches.items() if len(own) > 1}
-    open_ = [key for key, own in stretches.items() if of_anchor[key[0]] > 1 or anchors[own[0]] > 1 and len(own) == 1]
-    if open_:
-        got = repeated_windows([data[blob[key[1]]].as_py() for key in open_],
-                               [int(count[stretches[key][0]]) for key in open_], length)
-        for key, flags in zip(open_, got):
-            if key not in found:
-                found[key] = flags
+    # a stretch held twice is repeated whole
+    found = {key: np.full(count[own[0]], len(own) > 1) for key, own in stretches.items()}
+    alone = _lone_anchors((key[0], anchors[own[0]] > 1) for key, own in stretches.items())
+    open_ = [key for key in stretches if key[0] not in alone]
+    whole = [data[blob[key[1]]].as_py() for key in open_]
+    pieces: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+    for k, a, c in candidate_windows(whole, [len(found[key]) for key in open_], length):
+        pieces.setdefault((open_[k][0], whole[k][a:a + c - 1 + length]), []).append((k, a))
+    several = {key[0] for key, own in stretches.items() if anchors[own[0]] > 1}
+    alone = _lone_anchors((h_, h_ in several) for h_, _ in pieces)
+    hard = [key for key in pieces if key[0] not in alone]
+    flags_of = {key: np.full(len(key[1]) - length + 1, len(own) > 1) for key, own in pieces.items()}
+    if hard:
+        got = repeated_windows([key[1] for key in hard], [len(flags_of[key]) for key in hard], length)
+        for key, flags in zip(hard, got):
+            flags_of[key] |= flags
+    for key, own in pieces.items():
+        for k, a in own:
+            found[open_[k]][a:a + len(flags_of[key])] |= flags_of[key]
     out: list[tuple[int, int, int]] = []
     for key, flags in found.items():
         runs = _runs(flags)
@@ -380,8 +426,9 @@ def _routed_spans(parts: list[tuple[DataFrame, Members | None]], length: int,
         return functools.reduce(DataFrame.unionByName, frames)
 
     counted = union([_anchors(work, copied, length) for work, copied in parts])
-    again = materialise(counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1"), "repeat-anchors")
-    hot = again.filter(F.col("n") > hot_limit)
+    again = materialise(counted.groupBy("h").agg(F.sum("n").alias("n"), F.sum("runs").alias("runs")).filter("n > 1"),
+                        "repeat-anchors")
+    hot = again.filter(F.col("runs") > hot_limit)
     many = None if hot.isEmpty() else members(hot, "h")
     known = members(again, "h")
     routed = materialise(union([_route(work, copied, known, many, length) for work, copied in parts]), "repeat-routed")
