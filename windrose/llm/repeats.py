@@ -92,7 +92,11 @@ def anchor_runs(blobs: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, .
     first = np.flatnonzero(new)
     moves = np.ones(len(at), np.int64)
     moves[1:] = anchor[1:] != anchor[:-1]
-    return (owner[first], named[first], at[first] - starts[owner[first]], np.diff(np.append(first, len(at))),
+    # anchors have small hashes; mixed again, they spread over tables and shards
+    spread = (named[first] ^ (named[first] >> np.uint64(31))) * np.uint64(_BASE)
+    spread ^= spread >> np.uint64(29)
+    spread *= np.uint64(0xBF58476D1CE4E5B9)
+    return (owner[first], spread, at[first] - starts[owner[first]], np.diff(np.append(first, len(at))),
             np.add.reduceat(moves, first) if len(first) else first)
 
 
