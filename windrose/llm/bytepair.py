@@ -166,7 +166,7 @@ def scan_states_with_starts(functions: np.ndarray, symbol: np.ndarray, first: np
 class Vocabulary:
     """Ranks of byte strings, with pair merging cached by piece."""
 
-    CACHE = 1 << 19
+    CACHE = 1 << 18     # pieces
 
     def __init__(self, path: str):
         with open(path, "rb") as f:

@@ -34,7 +34,7 @@ TERMS = PAIR_TERMS + len(SHARE_STEPS)
 LATENT = 48
 MAX_LABELLED = 4000        # labelled texts that are learnt from, at most
 NEIGHBOURS = 25
-BLOCK = 2048               # documents in one product
+BLOCK = 256                # documents in one product
 
 
 @functools.cache
