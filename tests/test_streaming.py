@@ -30,12 +30,13 @@ def _rows(df, cols):
 
 
 def _with_sentinel(spark, scratch):
-    """Copy the events and append a closing sentinel file after the last event (ST4 flush)."""
+    """Copy the events and write a closing sentinel beside them (ST4 flush)."""
     src = os.path.join(scratch, "in")
     os.makedirs(src)
     shutil.copy(f"{SF_SMALL}/events.parquet", os.path.join(src, "events.parquet"))
-    L.write_flush_sentinel(spark, src, HOUR)
-    return src
+    both = L.write_flush_sentinel(spark, src, os.path.join(scratch, "flush"), HOUR)
+    assert os.listdir(src) == ["events.parquet"]
+    return both
 
 
 def test_stream_window_aggregates_equal_batch(spark, scratch):
@@ -243,3 +244,25 @@ def test_live_view_with_processing_time_trigger(spark, scratch):
     view = L.read_live_view(spark, path, HOUR)
     batch = A.window_source_aggregates(I.load_signal(spark, SF_SMALL), HOUR)
     assert _rows(view, ["source", "count"]) == _rows(batch, ["source", "count"])
+
+
+def test_stream_reads_a_folder_table(spark, scratch):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(3).write.parquet(os.path.join(scratch, "events.parquet"))
+    q = (I.stream_events(spark, scratch).writeStream.format("memory").queryName("folder_events")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert spark.table("folder_events").count() == events.count()
+
+
+def test_a_failing_hook_does_not_stop_the_live_partials(spark, scratch):
+    calls = []
+
+    def hook(batch, batch_id):
+        calls.append(batch_id)
+        raise RuntimeError("hook")
+    out = os.path.join(scratch, "live")
+    q = L.start_live_partials(L.signal_stream(spark, SF_SMALL), HOUR, out, os.path.join(scratch, "ck"), after_batch=hook)
+    q.awaitTermination(120)
+    assert q.exception() is None and calls
+    assert L.read_live_view(spark, out, HOUR).agg(F.sum("count")).first()[0] == 1000

@@ -133,7 +133,8 @@ def py_round(x: Union[str, Column], digits: int = 3) -> Column:
     rounded = (fl + F.when(up, 1.0).otherwise(0.0)) / scale
     # Python keeps the sign of a negative value rounded to zero (-0.0)
     signed = F.when((rounded == 0.0) & (c < 0), F.lit(-0.0)).otherwise(rounded)
-    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) >= 1e15) | (c == 0.0), c).otherwise(signed)
+    # from 2**52 on the product has no fraction: the value is its own rounding
+    return F.when(c.isNull() | F.isnan(c) | (F.abs(p) >= 4503599627370496.0) | (c == 0.0), c).otherwise(signed)
 
 
 def round3(x: Union[str, Column]) -> Column:
@@ -178,8 +179,22 @@ def from_json_text(c: Union[str, Column], schema) -> Column:
 
 
 def safe_float(x: Union[str, Column], default: float = 0.0) -> Column:
-    """P10: parse-safe numeric coercion, ``default`` for null or junk."""
-    return F.coalesce(col_of(x).cast("string").try_cast("double"), F.lit(float(default)))
+    """P10: parse-safe numeric coercion, ``default`` for null or junk.
+
+    Texts are numbers as Python reads them: digits with single underscores
+    between them, a fraction, an exponent, inf and nan; no type suffixes, no
+    hexadecimal.  A boolean counts as 1 or 0.
+    """
+    c = col_of(x)
+    text = F.trim(c.cast("string"))
+    number = text.rlike(rf"^[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$")
+    named = text.rlike(r"^(?i)([+-]?inf(inity)?|nan)$")
+    parsed = F.when(number | named, F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    truth = F.when(F.typeof(c) == "boolean", F.when(text == "true", 1.0).when(text == "false", 0.0))
+    return F.coalesce(truth, parsed, F.lit(float(default)))
+
+
+_DIGITS = r"[0-9]+(_[0-9]+)*"
 
 
 def has_json_key(json_text: Union[str, Column], key: str) -> Column:

@@ -161,7 +161,7 @@ def whole_envelope(df: DataFrame, ts: str = "ts", seq: str = "arrival_seq") -> D
     g = df.agg(F.min_by(ts, seq).alias("first_ts"), F.max_by(ts, seq).alias("last_ts"),
                F.count(F.lit(1)).alias("event_count"))
     return g.select(
-        F.when(F.col("event_count") == 0, F.raise_error(F.lit("Cannot aggregate empty window")))
+        F.when(F.col("event_count") == 0, F.raise_error(F.lit("no event to put into an envelope")))
          .otherwise(F.col("first_ts")).cast("timestamp").alias("start"),
         F.col("last_ts").alias("end"), "event_count")
 

@@ -8,6 +8,8 @@ index for latencies, *ceil* index for window statistics.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Mapping, Optional, Sequence
 
 from pyspark import StorageLevel
@@ -32,43 +34,43 @@ PERCENTILES = {"p50": 0.50, "p95": 0.95}
 
 def admission_cap(df: DataFrame, interval: Duration, merged_cap: int, source_cap: Optional[int] = None,
                   ts: str = "ts", seq: str = "arrival_seq", source: str = "source",
-                  drop_on_full: bool = True) -> DataFrame:
+                  drop_on_full: bool = True, tie: str = "event_id") -> DataFrame:
     """Per interval keep the first ``merged_cap`` events overall and the first
     ``source_cap`` per source (arrival order); flag the rest.
 
     ``accepted`` = the merged cap was not hit; ``dropped`` = either cap was hit.
-    The kept sets come from ``row_number() <= cap`` filters, which Spark plans
-    as a partial WindowGroupLimit before the shuffle, so a hot interval ships
-    at most ``cap`` rows per map task; they are then joined back by (bucket, seq).
+    The order is (``seq``, ``tie``).  ``row_number() <= cap`` filters, which
+    Spark plans as a partial WindowGroupLimit before the shuffle (a hot interval
+    ships at most ``cap`` rows per map task), give one cutoff per interval and
+    per (interval, source): its cap-th smallest place.  Rows are compared with
+    the cutoff, so equal sequence numbers cannot multiply rows; rows equal in
+    both columns are kept or dropped together.
     """
-    bucket = floor_window(ts, interval)
-    out = df.withColumn("bucket_start", bucket)
+    out = df.withColumn("bucket_start", floor_window(ts, interval))
     if not drop_on_full:
         return out.withColumn("accepted", F.lit(True)).withColumn("dropped", F.lit(False))
-
-    def kept(partition: Sequence[str], cap: int, flag: str) -> DataFrame:
-        w = Window.partitionBy(*partition).orderBy(seq)
-        return (out.select(*partition, seq)
-                   .withColumn("_rn", F.row_number().over(w))
-                   .filter(F.col("_rn") <= cap)
-                   .select(F.col("bucket_start").alias(f"{flag}_b"), F.col(seq).alias(f"{flag}_s"),
-                           F.lit(True).alias(flag)))
-
-    def flag_join(left: DataFrame, right: DataFrame, flag: str) -> DataFrame:
-        # null-safe on the bucket: events without a time share one bucket
-        cond = left["bucket_start"].eqNullSafe(right[f"{flag}_b"]) & (left[seq] == right[f"{flag}_s"])
-        return left.join(right, cond, "left").drop(f"{flag}_b", f"{flag}_s")
-
-    res = flag_join(out, kept(["bucket_start"], merged_cap, "_in_merged"), "_in_merged")
+    order = [c for c in (seq, tie) if c in df.columns]
+    out = out.withColumn("_place", F.struct(*order))
+
+    def within(left: DataFrame, partition: Sequence[str], cap: int, flag: str) -> DataFrame:
+        w = Window.partitionBy(*partition).orderBy("_place")
+        cut = (out.select(*partition, "_place").withColumn("_rn", F.row_number().over(w))
+                  .filter(F.col("_rn") <= cap).groupBy(*partition)
+                  .agg(F.max("_place").alias(f"{flag}_cut"), F.count(F.lit(1)).alias(f"{flag}_n"))
+                  .withColumnsRenamed({c: f"{flag}_{c}" for c in partition}))
+        # null-safe: events without a time share one interval
+        cond = reduce(and_, [left[c].eqNullSafe(cut[f"{flag}_{c}"]) for c in partition])
+        return (left.join(cut, cond, "left")
+                    .withColumn(flag, (F.col(f"{flag}_n") < cap) | (F.col("_place") <= F.col(f"{flag}_cut")))
+                    .withColumn(flag, F.coalesce(flag, F.lit(False)))
+                    .drop(f"{flag}_cut", f"{flag}_n", *[f"{flag}_{c}" for c in partition]))
+
+    res = within(out, ["bucket_start"], merged_cap, "accepted")
     if source_cap is not None:
-        res = flag_join(res, kept(["bucket_start", source], source_cap, "_in_source"), "_in_source")
-        in_source = F.coalesce(F.col("_in_source"), F.lit(False))
+        res = within(res, ["bucket_start", source], source_cap, "_in_source")
     else:
-        in_source = F.lit(True)
-    accepted = F.coalesce(F.col("_in_merged"), F.lit(False))
-    return (res.withColumn("accepted", accepted)
-               .withColumn("dropped", ~accepted | ~in_source)
-               .drop("_in_merged", "_in_source"))
+        res = res.withColumn("_in_source", F.lit(True))
+    return res.withColumn("dropped", ~F.col("accepted") | ~F.col("_in_source")).drop("_place", "_in_source")
 
 
 # --------------------------------------------------------------------------
@@ -434,7 +436,9 @@ def kpi_history(ledger: DataFrame, aggregates: Optional[DataFrame] = None, keep_
                            .otherwise(F.size(F.filter("_ticks", lambda x: x < F.col("_p")))))
                .drop("_ticks"))
     w = Window.partitionBy("_g").orderBy(F.col("_p").desc(), F.col("arrival_seq").desc())
-    top = samples.withColumn("_r", F.row_number().over(w) - 1).filter(F.col("_r") < max_samples)
+    # the filter on the bare rank is planned as a limit before the shuffle
+    top = (samples.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_samples)
+           .withColumn("_r", F.col("_r") - 1))
     # cumulative sample counts per tick group (cum[g] = samples up to group g),
     # built once in a one-row subquery over the <= keep_last group counts
     counts = (samples.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))

@@ -58,9 +58,21 @@ def _width(df: DataFrame, seq: str, bucket_rows) -> Column:
 
 
 def _bucket(seq: str, width: Column) -> Column:
-    """Bucket of an integral order column (floor division, exact for any long)."""
+    """Bucket of an integral order column (floor division, exact for any long).
+    Rows without a sequence number share one bucket before all others."""
     c = F.col(seq).cast("long")
-    return F.call_function("div", c - F.pmod(c, width), width)
+    return F.coalesce(F.call_function("div", c - F.pmod(c, width), width), F.lit(-(1 << 63)))
+
+
+def _by_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its key columns in one struct, and that column's name in a list.
+
+    A struct of nulls equals another one, so a plain equi-join on it keeps the
+    rows of null keys, and windows, groups and joins share one partitioning.
+    """
+    if not keys:
+        return df, []
+    return df.withColumn("_keys", F.struct(*[F.col(k) for k in keys])), ["_keys"]
 
 
 def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
@@ -77,7 +89,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
         raise ValueError("how must be 'max' or 'sum'")
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
-    keys = list(keys)
+    df, keys = _by_keys(df, keys)
     agg = F.max if how == "max" else F.sum
     # a caller-provided bucket column is kept, so that consecutive scans share
     # the (keys, bucket) partitioning and the second one needs no exchange
@@ -97,7 +109,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
             results[o] = F.greatest(f"_{o}_carry", f"_{o}_local")
         else:
             results[o] = F.coalesce(F.col(f"_{o}_carry"), F.lit(0)) + F.coalesce(F.col(f"_{o}_local"), F.lit(0))
-    drops = ([] if bucket_col else [b]) + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
+    drops = keys + ([] if bucket_col else [b]) + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
     return joined.withColumns(results).drop(*drops)
 
 
@@ -122,7 +134,7 @@ def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence
     Inside a bucket it is the plain lag; the first row of a bucket takes the
     last value of the nearest earlier non-empty bucket from the summary.
     """
-    keys = list(keys)
+    df, keys = _by_keys(df, keys)
     b = f"_{out}_bucket"
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
     local = df.withColumn(b, _bucket(seq, _width(df, seq, bucket_rows))) \
@@ -134,7 +146,7 @@ def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence
     return (local.join(carry, on=[*keys, b], how="inner")
                  .withColumn(out, F.when(F.col(f"_{out}_first"), F.col(f"_{out}_carry"))
                              .otherwise(F.col(f"_{out}_local")))
-                 .drop(b, f"_{out}_local", f"_{out}_first", f"_{out}_carry"))
+                 .drop(b, f"_{out}_local", f"_{out}_first", f"_{out}_carry", *keys))
 
 
 def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str = "arrival_seq",
@@ -143,24 +155,27 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
 
     A new fragment starts whenever an event's window differs from the window
     of the event before it in arrival order, so a late event closes the open
-    window and opens a second fragment of an old one (N2).  Adds
-    ``window_start`` and ``fragment_id`` (1, 2, ... in arrival order, per key).
+    window and opens a second fragment of an old one (N2).  Events without a
+    time have one window of their own.  Adds ``window_start`` and
+    ``fragment_id`` (1, 2, ... in arrival order, per key).
     """
-    keys = list(keys)
+    df, keys = _by_keys(df, keys)
     b = "_fr_bucket"
     ws_us = F.unix_micros(floor_window(ts, size))
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
     local = (df.withColumn("_ws_us", ws_us).withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
-               .withColumn("_prev", F.lag("_ws_us").over(w_local))
-               .withColumn("_chg", (F.col("_prev").isNotNull() & (F.col("_prev") != F.col("_ws_us"))).cast("long"))
+               .withColumn("_prev", F.lag(F.struct("_ws_us")).over(w_local))
+               .withColumn("_chg", (F.col("_prev").isNotNull()
+                                    & ~F.col("_prev._ws_us").eqNullSafe(F.col("_ws_us"))).cast("long"))
                .withColumn("_local_cum", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
     summary = local.groupBy(*keys, b).agg(F.min_by("_ws_us", seq).alias("_first"),
                                           F.max_by("_ws_us", seq).alias("_last"),
                                           F.sum("_chg").alias("_inner"))
     w_s = Window.partitionBy(*keys).orderBy(b)
     carry = (summary
-             .withColumn("_boundary", F.when(F.lag("_last").over(w_s).isNull()
-                                             | (F.lag("_last").over(w_s) != F.col("_first")), 1).otherwise(0)
+             .withColumn("_before", F.lag(F.struct("_last")).over(w_s))
+             .withColumn("_boundary", F.when(F.col("_before").isNotNull()
+                                             & F.col("_before._last").eqNullSafe(F.col("_first")), 0).otherwise(1)
                          .cast("long"))
              .withColumn("_upto", F.sum(F.col("_boundary") + F.col("_inner"))
                          .over(w_s.rowsBetween(Window.unboundedPreceding, 0)))
@@ -168,7 +183,7 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
     return (local.join(carry, on=[*keys, b], how="inner")
                  .withColumn("fragment_id", F.col("_offset") + F.col("_local_cum"))
                  .withColumn("window_start", F.timestamp_micros("_ws_us"))
-                 .drop(b, "_ws_us", "_prev", "_chg", "_local_cum", "_offset"))
+                 .drop(b, "_ws_us", "_prev", "_chg", "_local_cum", "_offset", *keys))
 
 
 # --------------------------------------------------------------------------
@@ -284,7 +299,8 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     """
     keys = list(keys)
     size_us = duration_us(size)
-    base = df.withColumn("_t", F.unix_micros(F.col(ts))) \
+    # an event without a time joins the open window, or opens one before all others
+    base = df.withColumn("_t", F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(1 << 62)))) \
         .withColumn("_aw_bucket", _bucket(seq, _width(df, seq, bucket_rows)))
     with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=keys, inclusive=False,
                          bucket_col="_aw_bucket")

@@ -138,6 +138,7 @@ def map_drop_null(spark, sf):
     return out.select("arrival_seq", r6("value").alias("value"))
 
 
+@query("run_pipeline")
 @query("composed_ops")
 def composed_ops(spark, sf):
     """P6, X4 (the survey's run_pipeline): a fold of frame operators: filter, label, filter."""

@@ -95,6 +95,8 @@ ORACLE["composed_ops"] = with_sig(f"""
 SELECT arrival_seq, source, {LABEL} AS label FROM sig
 WHERE source IN ('log', 'feed') AND {LABEL} <> 'UNKNOWN'""")
 
+ORACLE["run_pipeline"] = ORACLE["composed_ops"]
+
 ORACLE["safe_float"] = """
 SELECT event_id, COALESCE(TRY_CAST(CASE WHEN event_id % 3 = 0 THEN 'n/a'
                                         ELSE json_extract_string(props, '$.k') END AS DOUBLE), 0.0) AS x

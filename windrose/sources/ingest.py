@@ -40,12 +40,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None) -> DataFrame:
-    """The driver's ``events`` table as a file stream (one file, read once with availableNow)."""
-    reader = (prepare_session(spark).readStream.schema(DRIVER_EVENTS_SCHEMA)
-              .option("pathGlobFilter", "events.parquet"))
+    """The driver's ``events`` table as a file stream (read once with availableNow),
+    whether it is one file or a folder of part files."""
+    reader = prepare_session(spark).readStream.schema(DRIVER_EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.getFileStatus(path).isDirectory():
+        return reader.parquet(table)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 # The derivation rule of the driver's events into the three

@@ -40,18 +40,19 @@ def stream_partials(sig: DataFrame, size: Duration, delay: Optional[Duration] =
                     F.count_if(strict_true("success")).alias("ok_n"), F.count(F.lit(1)).alias("n")))
 
 
-def window_aggregates_stream(sig: DataFrame, size: Duration, delay: Duration = "0 seconds",
+def window_aggregates_stream(sig: DataFrame, size: Duration, delay: Duration,
                              ts: str = "ts") -> DataFrame:
     """ST1 / ST5: closed windows, one aggregated record per (window, source).
 
-    Events later than the watermark are dropped by Spark and reported as
-    ``numRowsDroppedByWatermark``; ``arrival_fragments`` is the exact mode.
+    Events later than ``delay`` behind the newest one may be dropped by Spark
+    (reported as ``numRowsDroppedByWatermark``), so the caller must choose it;
+    ``arrival_fragments`` is the exact mode, which drops nothing.
     """
     return combine_partials(stream_partials(sig, size, delay, ts), size, window_struct="w")
 
 
 def start_window_aggregates(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
-                            delay: Duration = "0 seconds", trigger: Optional[dict] = None,
+                            *, delay: Duration, trigger: Optional[dict] = None,
                             fmt: str = "parquet"):
     """Stream closed-window aggregates to files (append mode)."""
     checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
@@ -72,10 +73,8 @@ def start_live_partials(sig: DataFrame, size: Duration, path: str, checkpoint: O
     def upsert(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
-        if after_batch is not None:
-            after_batch(batch, batch_id)
 
-    w = (partials.writeStream.outputMode("update").foreachBatch(upsert)
+    w = (partials.writeStream.outputMode("update").foreachBatch(with_after_batch(upsert, after_batch))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -94,10 +93,10 @@ def flush_sentinel(events: DataFrame, size: Duration, delay: Duration = "0 secon
                    ts: str = "ts") -> DataFrame:
     """ST4 for bounded runs: a one-row closing event after the last event.
 
-    Appended to the stream's input folder as its own last file, it moves the
-    watermark past every real window, so append mode emits all of them; its
-    own window stays open and never reaches the sink.  It must pass through
-    the aggregate: a filter on it would be pushed below the watermark.
+    Read by the stream as its last file, it moves the watermark past every real
+    window, so append mode emits all of them; its own window stays open and
+    never reaches the sink.  It must pass through the aggregate: a filter on it
+    would be pushed below the watermark.
     """
     from windrose.functions.scalar import duration_us
     gap = duration_us(size) * 2 + duration_us(delay, allow_zero=True) + 1
@@ -107,11 +106,18 @@ def flush_sentinel(events: DataFrame, size: Duration, delay: Duration = "0 secon
                             .alias(c) for c in events.columns]))
 
 
-def write_flush_sentinel(spark: SparkSession, events_dir: str, size: Duration, delay: Duration = "0 seconds",
-                         glob: str = "*.parquet") -> None:
-    """Append the closing sentinel as a new file of the stream's input folder."""
+def write_flush_sentinel(spark: SparkSession, events_dir: str, sentinel_dir: str, size: Duration,
+                         delay: Duration = "0 seconds", glob: str = "*.parquet") -> str:
+    """Write the closing sentinel to a folder of its own beside the events' folder
+    and return the path pattern that a stream reads both by.  The table of
+    events itself is left as it is."""
+    parent, name = events_dir.rstrip("/").rsplit("/", 1)
+    other, sentinel = sentinel_dir.rstrip("/").rsplit("/", 1)
+    if parent != other or name == sentinel:
+        raise ValueError("the sentinel's folder must stand beside the folder of the events")
     events = spark.read.parquet(f"{events_dir.rstrip('/')}/{glob}")
-    flush_sentinel(events, size, delay).coalesce(1).write.mode("append").parquet(events_dir)
+    flush_sentinel(events, size, delay).coalesce(1).write.mode("overwrite").parquet(sentinel_dir)
+    return f"{parent}/{{{name},{sentinel}}}"
 
 
 def with_after_batch(fn: Callable[[DataFrame, int], None],

@@ -19,6 +19,7 @@ from typing import Iterator, Optional, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -172,8 +173,10 @@ def start_arrival_fragments(sig: DataFrame, size: Duration, path: str, checkpoin
         if batch_id > 0:
             try:
                 prev = spark.read.parquet(f"{out_root}/_carry/batch_id={batch_id - 1}").first()
-            except Exception:  # noqa: BLE001 - no carry yet (empty first batches)
-                prev = None
+            except AnalysisException as missing:
+                # only an absent carry (empty first batches) may restart the numbering
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
         frags = arrival_fragments(batch, size, ts=ts, seq=seq, bucket_rows=bucket_rows)
         if prev is not None and prev["last_ws_us"] is not None:
             first_ws = frags.agg(F.min_by(F.unix_micros("window_start"), F.col(seq))).scalar()
