@@ -47,10 +47,13 @@ def with_window(df: DataFrame, size: Duration, ts: str = "ts", name: str = "wind
 
 
 def window_partials(df: DataFrame, size: Duration, ts: str = "ts",
-                    window_col: Optional[str] = None) -> DataFrame:
-    """First level of R1: one row per (window, source, label)."""
+                    window_col: Optional[str] = None, keys: Sequence[str] = ()) -> DataFrame:
+    """First level of R1: one row per (window, keys, source, label).
+
+    ``window_col`` and ``keys`` name windows that are not aligned to the epoch,
+    such as arrival fragments (``fragment_id``) or anchored windows."""
     wcol = F.col(window_col) if window_col else floor_window(ts, size)
-    return (df.groupBy(wcol.alias("window_start"), F.col("source"), label_of().alias("label"))
+    return (df.groupBy(wcol.alias("window_start"), *keys, F.col("source"), label_of().alias("label"))
               .agg(F.sum("value").alias("value_sum"),
                    F.count("value").alias("value_n"),
                    F.count_if(strict_true("success")).alias("ok_n"),
@@ -100,6 +103,12 @@ def window_source_aggregates(df: DataFrame, size: Duration, ts: str = "ts",
     return combine_partials(window_partials(restrict_time(df, ts, time_range), size, ts), size)
 
 
+def keyed_window_aggregates(df: DataFrame, size: Duration, window_col: str, keys: Sequence[str]) -> DataFrame:
+    """A1 to A5 for windows that are already assigned: one record per
+    (window, keys, source), for arrival fragments and anchored windows."""
+    return combine_partials(window_partials(df, size, window_col=window_col, keys=keys), size, keys)
+
+
 def window_label_counts(df: DataFrame, size: Duration, ts: str = "ts",
                         source: Optional[str] = None) -> DataFrame:
     """Tall form of A2 / A3: (window_start, source, label, n) without a map."""

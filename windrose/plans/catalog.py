@@ -474,6 +474,57 @@ def anchored_windows(spark, sf):
                   .agg(F.count(F.lit(1)).alias("event_count"), F.max("arrival_seq").alias("last_seq")))
 
 
+def _record(aggs, *keys):
+    return aggs.select(*keys, us("window.start").alias("window_start_us"), "source",
+                       F.col("count").alias("event_count"), r6("value").alias("value"),
+                       r6("success_rate").alias("success_rate"),
+                       F.coalesce(F.size("counts"), F.lit(0)).cast("bigint").alias("n_labels"))
+
+
+@query("fragment_aggregates")
+def fragment_aggregates(spark, sf):
+    """W1 into A1 to A5: one aggregated record per (arrival fragment, source), the live output."""
+    frags = Q.arrival_fragments(I.load_signal(spark, sf), HOUR)
+    return _record(A.keyed_window_aggregates(frags, HOUR, "window_start", ["fragment_id"]), "fragment_id")
+
+
+@query("anchored_aggregates")
+def anchored_aggregates(spark, sf):
+    """ST2 into A1 to A5: one aggregated record per (user, anchored window, source)."""
+    sig = I.load_signal(spark, sf).select("user_id", "arrival_seq", "ts", "source", "value", "level", "action", "success")
+    marked = Q.anchored_windows(sig, HOUR, keys=["user_id"]).withColumn("_ws", F.timestamp_micros("window_start_us"))
+    return _record(A.keyed_window_aggregates(marked, HOUR, "_ws", ["user_id", "window_seq"]), "user_id", "window_seq")
+
+
+def _sparse_user(sig):
+    """A key that is null for a fifth of the events."""
+    return sig.withColumn("user_key", F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
+
+
+@query("anchored_null_keys")
+def anchored_null_keys(spark, sf):
+    """ST2 with a key that is null for part of the events: those are one more key."""
+    sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
+    marked = Q.anchored_windows(sig, HOUR, keys=["user_key"])
+    return (marked.groupBy("user_key", "window_seq", "window_start_us")
+                  .agg(F.count(F.lit(1)).alias("event_count"), F.max("arrival_seq").alias("last_seq")))
+
+
+@query("throttle_null_keys")
+def throttle_null_keys(spark, sf):
+    """ST6 with a key that is null for part of the events."""
+    sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
+    return (Q.throttle(sig, "12 hours", key="user_key").select("arrival_seq", "user_key", us("ts").alias("t_us")))
+
+
+@query("fragments_null_keys")
+def fragments_null_keys(spark, sf):
+    """W1 per key, where the key is null for part of the events."""
+    sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
+    return (Q.arrival_fragments(sig, "24 hours", keys=["user_key"])
+             .select("arrival_seq", "user_key", "fragment_id", us("window_start").alias("window_start_us")))
+
+
 @query("throttle")
 def throttle(spark, sf):
     """ST6: per source, an event is emitted only if 10 minutes passed since the last emitted one.

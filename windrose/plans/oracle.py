@@ -409,7 +409,7 @@ walk(key, rn, arrival_seq, t_us, start_us, start_seq) AS (
   SELECT o.key, o.rn, o.arrival_seq, o.t_us,
          CASE WHEN o.t_us < w.start_us + {size_us} THEN w.start_us ELSE o.t_us END,
          CASE WHEN o.t_us < w.start_us + {size_us} THEN w.start_seq ELSE o.arrival_seq END
-  FROM walk w JOIN ord o ON o.key = w.key AND o.rn = w.rn + 1)"""
+  FROM walk w JOIN ord o ON o.key IS NOT DISTINCT FROM w.key AND o.rn = w.rn + 1)"""
 
 
 ORACLE["anchored_windows"] = "WITH RECURSIVE " + SIG + _anchored("user_id", H) + """
@@ -420,6 +420,42 @@ FROM walk GROUP BY key, start_seq, start_us"""
 ORACLE["throttle"] = "WITH RECURSIVE " + SIG + _anchored("source", 600_000_000) + """
 SELECT arrival_seq, key AS source, t_us FROM walk WHERE start_seq = arrival_seq"""
 
+_SPARSE = "CASE WHEN event_id % 5 <> 0 THEN user_id END"
+
+ORACLE["anchored_null_keys"] = "WITH RECURSIVE " + SIG + _anchored(_SPARSE, H) + """
+SELECT key AS user_key, start_seq AS window_seq, start_us AS window_start_us, COUNT(*) AS event_count,
+       MAX(arrival_seq) AS last_seq
+FROM walk GROUP BY key, start_seq, start_us"""
+
+ORACLE["throttle_null_keys"] = "WITH RECURSIVE " + SIG + _anchored(_SPARSE, 12 * H) + """
+SELECT arrival_seq, key AS user_key, t_us FROM walk WHERE start_seq = arrival_seq"""
+
+ORACLE["fragments_null_keys"] = with_sig(f"""
+SELECT arrival_seq, user_key, window_start_us,
+       CAST(SUM(chg) OVER (PARTITION BY user_key ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS fragment_id
+FROM (SELECT *, CASE WHEN LAG(window_start_us) OVER (PARTITION BY user_key ORDER BY arrival_seq)
+                     IS DISTINCT FROM window_start_us THEN 1 ELSE 0 END AS chg
+      FROM (SELECT arrival_seq, {_SPARSE} AS user_key, t_us - t_us % {24 * H} AS window_start_us FROM sig))""")
+
+_RECORD = f"""source, COUNT(*) AS event_count, CASE WHEN source = 'sensor' THEN ROUND(AVG(value), 6) END AS value,
+       CASE WHEN source = 'feed'
+            THEN ROUND(CAST(COUNT(*) FILTER (WHERE success IS TRUE) AS DOUBLE) / COUNT(*), 6) END AS success_rate,
+       CASE WHEN source = 'sensor' THEN 0 ELSE COUNT(DISTINCT {LABEL}) END AS n_labels"""
+
+ORACLE["fragment_aggregates"] = with_sig(f"""
+SELECT fragment_id, ws AS window_start_us, {_RECORD}
+FROM (SELECT *, CAST(SUM(chg) OVER (ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                     AS BIGINT) AS fragment_id
+      FROM (SELECT *, CASE WHEN LAG(ws) OVER (ORDER BY arrival_seq) IS DISTINCT FROM ws THEN 1 ELSE 0 END AS chg
+            FROM sig))
+GROUP BY fragment_id, ws, source""")
+
+ORACLE["anchored_aggregates"] = "WITH RECURSIVE " + SIG + _anchored("user_id", H) + f"""
+SELECT user_id, start_seq AS window_seq, start_us AS window_start_us, {_RECORD}
+FROM (SELECT sig.*, walk.start_seq, walk.start_us FROM sig JOIN walk ON walk.arrival_seq = sig.arrival_seq)
+GROUP BY user_id, start_seq, start_us, source"""
+
 # ---------------------------------------------------------------- JSON payloads, Python fallbacks
 
 ORACLE["payload_keys"] = with_sig("""
