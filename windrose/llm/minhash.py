@@ -271,7 +271,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = (classes.select("digest", "cid", "first_id").join(found.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("comp", F.coalesce("comp", "cid")))
-    ids = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
+    named = materialise(named, "near-comps")
+    ids = materialise(named.groupBy("comp").agg(F.min("first_id").alias("component_id")), "near-ids")
     named = materialise(named.join(ids, "comp").select("digest", "component_id"), "near-named")
     # plain join of two scans: the adaptive skew join splits the copies of a hot text
     return (signed.select("doc_id", "digest", "n_shingles").join(named, "digest", "left")
