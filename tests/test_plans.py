@@ -35,3 +35,9 @@ def test_arrival_scan_windows_are_bucket_partitioned(spark):
     plan = _plan(spark, "arrival_fragments")
     data_windows = [ln for ln in plan.splitlines() if "lag(_ws_us" in ln]
     assert data_windows and all("windowspecdefinition(_fr_bucket" in ln for ln in data_windows)
+
+
+def test_kpi_history_limits_before_shuffle(spark):
+    # nearly all samples predate the history and fall into one group
+    plan = _plan(spark, "kpi_history")
+    assert any("WindowGroupLimit [_g#" in ln and "Partial" in ln for ln in plan.splitlines())

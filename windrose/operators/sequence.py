@@ -164,9 +164,9 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
     ws_us = F.unix_micros(floor_window(ts, size))
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
     local = (df.withColumn("_ws_us", ws_us).withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
-               .withColumn("_prev", F.lag(F.struct("_ws_us")).over(w_local))
-               .withColumn("_chg", (F.col("_prev").isNotNull()
-                                    & ~F.col("_prev._ws_us").eqNullSafe(F.col("_ws_us"))).cast("long"))
+               .withColumn("_prev", F.lag("_ws_us").over(w_local))
+               .withColumn("_chg", ((F.row_number().over(w_local) > 1)
+                                    & ~F.col("_prev").eqNullSafe(F.col("_ws_us"))).cast("long"))
                .withColumn("_local_cum", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
     summary = local.groupBy(*keys, b).agg(F.min_by("_ws_us", seq).alias("_first"),
                                           F.max_by("_ws_us", seq).alias("_last"),
