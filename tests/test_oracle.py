@@ -1,4 +1,5 @@
-"""Every named query against its DuckDB oracle (the driver's correctness gate) on sf0.001."""
+"""Every named plan of the catalog against its DuckDB oracle (the driver's correctness
+gate) on sf0.001; the corpus queries have tests of their own in tests/llm."""
 
 import math
 
@@ -8,6 +9,7 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
+from windrose.plans.catalog import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -36,10 +38,11 @@ def _rows(pdf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(QUERIES) <= set(queries())
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(oracle_sql()[name]).df()
