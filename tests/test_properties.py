@@ -71,6 +71,36 @@ def test_anchored_matches_model(spark, small_batches, a, b, size):
         assert [got[s] for s in seqs] == expected
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 40, 500])
+def test_key_that_never_pauses_crosses_buckets(spark, small_batches, size):
+    # one key without any gap of ``size`` over hundreds of buckets, with older events in between
+    rng = random.Random(size)
+    now, times = 0.0, []
+    for _ in range(600):
+        now += rng.random() * min(size, 2)
+        times.append(round(now - (rng.random() * 3 * size if rng.random() < 0.2 else 0), 3))
+    df = signal(spark, [{"user_id": None, "ts": at(t), "source": "log"} for t in times])
+    want = model_anchored([round(t * 1000) for t in times], size * 1000)
+    for width in (1, 5, 64):
+        got = Q.anchored_windows(df, size, keys=["user_id"], bucket_rows=width).orderBy("arrival_seq").collect()
+        assert [r["window_seq"] for r in got] == want
+        assert [r["opens_window"] for r in got] == [i == w for i, w in enumerate(want)]
+
+
+def test_bucket_exits_agree_with_a_fold():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        t = np.unique(rng.integers(0, 80, rng.integers(1, 40)))
+        size, before = int(rng.integers(1, 30)), int(t[0]) - int(rng.integers(1, 10))
+        entries, exits = Q.bucket_exits(t, size, before)
+        for start in range(before - size + 1, before + 1):       # every window that can be open at the edge
+            last = start
+            for x in t.tolist():
+                last = x if x >= last + size else last
+            i = int(np.searchsorted(t[entries], start + size))
+            assert (t[exits[i]] if i < len(entries) else start) == last
+
+
 @settings(**SETTINGS)
 @given(times=times_lists, size=st.integers(min_value=1, max_value=15))
 def test_openers_at_least_size_apart_and_first_kept(spark, small_batches, times, size):

@@ -234,27 +234,35 @@ def trailing_rate(df: DataFrame, ts: str = "ts", horizon: Duration = RATE_HORIZO
                 .drop("_t", "_span", "_halo"))
 
 
-def tick_marks(t_us: Column, period_us: int, horizon_us: int) -> Column:
-    """The snapshot ticks ``T`` (multiples of the period) with ``t <= T <= t + horizon``."""
-    first = t_us - F.pmod(t_us, F.lit(period_us)) + F.when(F.pmod(t_us, F.lit(period_us)) == 0, 0) \
-        .otherwise(period_us)
-    last_edge = t_us + F.lit(horizon_us)
-    last = last_edge - F.pmod(last_edge, F.lit(period_us))
-    return F.sequence(first, last, F.lit(period_us).cast("long"))
+def tick_range(t_us: Column, period_us: int, horizon_us: int) -> tuple[Column, Column]:
+    """First and last of the snapshot ticks ``T`` (multiples of the period) with
+    ``t <= T <= t + horizon``."""
+    p = F.lit(period_us)
+    edge = t_us + F.lit(horizon_us)
+    return t_us + F.pmod(-t_us, p), edge - F.pmod(edge, p)
+
+
+def each_tick(first: str, last: str, period_us: int) -> Column:
+    """One row per tick from ``first`` to ``last`` (none when a period holds no tick)."""
+    return F.explode(F.when(F.col(first) <= F.col(last),
+                            F.sequence(F.col(first), F.col(last), F.lit(period_us).cast("long"))))
 
 
 def rate_ticks(df: DataFrame, ts: str = "ts", period: Duration = SNAPSHOT_PERIOD,
                horizon: Duration = RATE_HORIZON, keys: Sequence[str] = ()) -> DataFrame:
     """R4 / ST7: the rate every meter would report at each snapshot tick.
 
-    Each event is exploded into the at most ``horizon / period + 1`` ticks it
-    counts for, then grouped (partial aggregation), so no range join is needed.
-    Ticks where no event is within the horizon are absent (rate 0).
+    Events are counted per range of ticks they belong to (map-side first), then
+    each count is exploded into its at most ``horizon / period + 1`` ticks, so
+    neither a range join nor a copy of the events is needed.  Ticks where no
+    event is within the horizon are absent (rate 0).
     """
     p, h = duration_us(period), duration_us(horizon)
-    t = F.unix_micros(F.col(ts))
-    return (df.select(*keys, F.explode(tick_marks(t, p, h)).alias("tick_us"))
-              .groupBy("tick_us", *keys).agg(F.count(F.lit(1)).alias("n"))
+    first, last = tick_range(F.unix_micros(F.col(ts)), p, h)
+    counted = (df.select(*keys, first.alias("_first"), last.alias("_last"))
+                 .groupBy("_first", "_last", *keys).agg(F.count(F.lit(1)).alias("_n")))
+    return (counted.select(*keys, "_n", each_tick("_first", "_last", p).alias("tick_us"))
+              .groupBy("tick_us", *keys).agg(F.sum("_n").alias("n"))
               .withColumn("eps", F.col("n") / F.lit(h / 1_000_000)))
 
 
@@ -274,19 +282,21 @@ def kpi_tick_partials(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
     if aggregates is not None:
         marks = marks.unionByName(aggregates.select(F.unix_micros("window.end").alias("_t"),
                                                     F.lit("agg").alias("_kind"), F.lit(False).alias("_dropped")))
-    ticks = tick_marks(F.col("_t"), p, h)
-    exploded = marks.select("_kind", "_dropped", F.element_at(ticks, 1).alias("_first"),
-                            F.explode(ticks).alias("tick_us"))
-    new = F.col("tick_us") == F.col("_first")
-    kind = F.col("_kind")
-    return (exploded.groupBy("tick_us")
-            .agg(F.count_if(kind == "ingest").alias("ingest_n"),
-                 F.count_if(kind == "process").alias("process_n"),
-                 F.count_if(kind == "agg").alias("agg_n"),
-                 F.count_if((kind == "ingest") & new).alias("new_ingested"),
-                 F.count_if((kind == "ingest") & new & F.col("_dropped")).alias("new_dropped"),
-                 F.count_if((kind == "process") & new).alias("new_processed"),
-                 F.count_if((kind == "agg") & new).alias("new_aggregated")))
+    first, last = tick_range(F.col("_t"), p, h)
+    kind, dropped = F.col("_kind"), F.col("_dropped")
+    # counted per range of ticks first, so that counts are exploded, not events
+    counted = (marks.filter(F.col("_t").isNotNull())
+               .select("_kind", "_dropped", first.alias("_first"), last.alias("_last"))
+               .groupBy("_first", "_last").agg(
+                   F.count_if(kind == "ingest").alias("ingest_n"), F.count_if(kind == "process").alias("process_n"),
+                   F.count_if(kind == "agg").alias("agg_n"),
+                   F.count_if((kind == "ingest") & dropped).alias("dropped_n")))
+    at_ticks = counted.select("*", each_tick("_first", "_last", p).alias("tick_us"))
+    new = lambda n: F.sum(F.when(F.col("tick_us") == F.col("_first"), F.col(n)).otherwise(0))
+    return (at_ticks.groupBy("tick_us")
+            .agg(*[F.sum(n).alias(n) for n in ("ingest_n", "process_n", "agg_n")],
+                 new("ingest_n").alias("new_ingested"), new("dropped_n").alias("new_dropped"),
+                 new("process_n").alias("new_processed"), new("agg_n").alias("new_aggregated")))
 
 
 def kpi_from_partials(per_tick: DataFrame, period: Duration = SNAPSHOT_PERIOD,

@@ -20,10 +20,12 @@ the order of tied rows, and so the result, is not defined.
 
 from __future__ import annotations
 
+import bisect
 from typing import Optional, Sequence, Union
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,7 @@ from pyspark.sql import types as T
 from windrose.functions.scalar import Duration, duration_us, floor_window
 
 DEFAULT_BUCKET_ROWS = 1 << 20
+_NO_SEQ = -(1 << 63)   # stands for a missing sequence number, before all others
 BucketRows = Union[int, str]
 
 
@@ -61,7 +64,7 @@ def _bucket(seq: str, width: Column) -> Column:
     """Bucket of an integral order column (floor division, exact for any long).
     Rows without a sequence number share one bucket before all others."""
     c = F.col(seq).cast("long")
-    return F.coalesce(F.call_function("div", c - F.pmod(c, width), width), F.lit(-(1 << 63)))
+    return F.coalesce(F.call_function("div", c - F.pmod(c, width), width), F.lit(_NO_SEQ))
 
 
 def _by_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -70,8 +73,8 @@ def _by_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     A struct of nulls equals another one, so a plain equi-join on it keeps the
     rows of null keys, and windows, groups and joins share one partitioning.
     """
-    if not keys:
-        return df, []
+    if not keys or list(keys) == ["_keys"]:
+        return df, list(keys)
     return df.withColumn("_keys", F.struct(*[F.col(k) for k in keys])), ["_keys"]
 
 
@@ -89,6 +92,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
         raise ValueError("how must be 'max' or 'sum'")
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
+    given = list(keys)
     df, keys = _by_keys(df, keys)
     agg = F.max if how == "max" else F.sum
     # a caller-provided bucket column is kept, so that consecutive scans share
@@ -109,7 +113,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
             results[o] = F.greatest(f"_{o}_carry", f"_{o}_local")
         else:
             results[o] = F.coalesce(F.col(f"_{o}_carry"), F.lit(0)) + F.coalesce(F.col(f"_{o}_local"), F.lit(0))
-    drops = keys + ([] if bucket_col else [b]) + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
+    drops = ([] if keys == given else keys) + ([] if bucket_col else [b]) + [f"_{o}_local" for o in outs] + [f"_{o}_carry" for o in outs]
     return joined.withColumns(results).drop(*drops)
 
 
@@ -230,49 +234,116 @@ def fold_segment(t: np.ndarray, size_us: int, start: Optional[int], pm_carry: Op
     return opener, opens, start, int(pm[-1])
 
 
-def _fold_openers(batches, size_us: int, keys: list[str], seq: str):
-    """Fold pieces streamed batch by batch; rows arrive sorted by (keys, piece, seq)."""
-    cur_piece = None      # (keys..., piece) of the piece being folded
-    start = None          # start time (us) of the open window
-    start_seq = None      # seq of its opener
-    pm_carry = None
+def _fold_openers(batches, size_us: int, group: list[str]):
+    """Fold groups streamed batch by batch; rows arrive sorted by (group, seq) and
+    carry the window that is open when their group begins."""
+    current = start = start_seq = pm_carry = None
     for pdf in batches:
         if pdf.empty:
             continue
         t = pdf["_t"].to_numpy(dtype=np.int64)
-        sq = pdf[seq].to_numpy(dtype=np.int64)
-        piece_cols = [pdf[k].to_numpy() for k in keys] + [pdf["_piece"].to_numpy(dtype=np.int64)]
+        sq = pdf["_seq"].to_numpy(dtype=np.int64)
+        cols = [pdf[c].to_numpy() for c in group]
         n = len(pdf)
         change = np.zeros(n, dtype=bool)
-        for col in piece_cols:
+        for col in cols:
             change[1:] |= _differs(col[1:], col[:-1])
-        first_key = tuple(None if pd.isna(c[0]) else c[0] for c in piece_cols)
-        change[0] = first_key != cur_piece
-        bounds = [int(i) for i in np.flatnonzero(change)] + [n]
-        if bounds[0] != 0:
-            bounds = [0] + bounds
+        name = lambda i: tuple(None if pd.isna(c[i]) else c[i] for c in cols)
+        change[0] = name(0) != current
+        bounds = sorted({0, n, *np.flatnonzero(change).tolist()})
         win_start = np.empty(n, dtype=np.int64)
         win_seq = np.empty(n, dtype=np.int64)
         is_open = np.zeros(n, dtype=bool)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            if hi <= lo:
-                continue
             if change[lo]:
-                cur_piece = tuple(None if pd.isna(c[lo]) else c[lo] for c in piece_cols)
-                start, start_seq, pm_carry = None, None, None
+                start, start_seq, pm_carry = int(pdf["_start_t"].iat[lo]), int(pdf["_start_seq"].iat[lo]), None
             opener, opens, new_start, pm_carry = fold_segment(t[lo:hi], size_us, start, pm_carry)
-            seg_t, seg_sq = t[lo:hi], sq[lo:hi]
             carried = opener < 0
-            win_start[lo:hi] = np.where(carried, start if start is not None else 0, seg_t[np.maximum(opener, 0)])
-            win_seq[lo:hi] = np.where(carried, start_seq if start_seq is not None else 0,
-                                      seg_sq[np.maximum(opener, 0)])
+            win_start[lo:hi] = np.where(carried, start, t[lo:hi][np.maximum(opener, 0)])
+            win_seq[lo:hi] = np.where(carried, start_seq, sq[lo:hi][np.maximum(opener, 0)])
             is_open[lo:hi] = opens
-            if opens.any():
-                last = int(np.flatnonzero(opens)[-1])
-                start, start_seq = int(seg_t[last]), int(seg_sq[last])
-            start = new_start if start is None else start
-        yield pdf.drop(columns=["_t"]).assign(window_start_us=win_start, window_seq=win_seq,
-                                              opens_window=is_open)
+            start, start_seq = new_start, int(win_seq[hi - 1])
+        current = name(n - 1)
+        yield pdf.drop(columns=["_t", "_seq", "_start_t", "_start_seq"]).assign(
+            window_start_us=win_start, window_seq=win_seq, opens_window=is_open)
+
+
+def bucket_exits(t: np.ndarray, size_us: int, before: int) -> tuple[np.ndarray, np.ndarray]:
+    """What one bucket does to the open window, whatever its start.
+
+    ``t`` are the strictly rising running maxima of the bucket, ``before`` the
+    running max ahead of them.  Returns (entries, exits), positions in ``t``: an
+    open window that ends after entry i - 1 and not after entry i leaves the
+    bucket as the window opened at exit i; one that ends after the last entry
+    leaves it unchanged.  A window open at ``before`` ends at ``before + size``
+    at the latest, so the entries lie within one ``size``.
+    """
+    n = len(t)
+    here = np.arange(n)
+    last = np.searchsorted(t, t + size_us, side="left")
+    last = np.where(last < n, last, here)       # an opener without successor points at itself
+    while True:                                 # pointer doubling
+        further = last[last]
+        if np.array_equal(further, last):
+            break
+        last = further
+    entries = here[:int(np.searchsorted(t, before + size_us, side="left")) + 1]
+    exits = last[:len(entries)]
+    keep = np.append(exits[1:] != exits[:-1], True)[:len(entries)]   # of entries with one exit the last one will do
+    return entries[keep], exits[keep]
+
+
+def _exits_of(size_us: int, by: list[str]):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_seq")
+        t, sq, ahead = (table[c].to_numpy() for c in ("_t", "_seq", "_pm_before"))
+        before, rises = int(ahead[0]), t > ahead
+        t, sq = t[rises], sq[rises]
+        entries, exits = bucket_exits(t, size_us, before)
+        one = table.slice(0, 1).select([*by, "_piece", "_piece_t", "_aw_bucket"])
+        for name, values in (("_entry_t", t[entries]), ("_exit_t", t[exits]), ("_exit_seq", sq[exits])):
+            one = one.append_column(name, pa.array([values], pa.list_(pa.int64())))
+        return one
+    return run
+
+
+def _entry_states(size_us: int, by: list[str], fields: list[str]):
+    """Compose the buckets of each piece in order: the window open when a bucket begins."""
+    def run(batches):
+        current = t = sq = None
+        for b in batches:
+            starts, seqs = [], []
+            for row in b.to_pylist():
+                name = repr([row[c] for c in by] + [row["_piece"]])
+                if name != current:
+                    current, t, sq = name, row["_piece_t"], row["_piece"]
+                starts.append(t)
+                seqs.append(sq)
+                i = bisect.bisect_left(row["_entry_t"], t + size_us)
+                if i < len(row["_entry_t"]):
+                    t, sq = row["_exit_t"][i], row["_exit_seq"][i]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in fields], pa.array(starts, pa.int64()),
+                                              pa.array(seqs, pa.int64())], [*fields, "_open_t", "_open_seq"])
+    return run
+
+
+def _open_at_buckets(rest: DataFrame, size_us: int, by: list[str]) -> DataFrame:
+    """(keys, piece, bucket) -> start of the window open when the bucket begins, for
+    every piece that crosses a bucket edge (one row per piece and bucket)."""
+    place = [*by, "_piece", "_aw_bucket"]
+    crossing = rest.filter(F.col("_piece_bucket") < F.col("_aw_bucket")).select(*by, "_piece").distinct()
+    # a bucket without a rising maximum has a row too: it passes the open window on
+    records = (rest.select(*place, "_piece_t", "_seq", "_t", "_pm_before")
+                   .join(crossing, [*by, "_piece"], "left_semi"))
+    fields = [records.schema[c] for c in (*by, "_piece", "_piece_t", "_aw_bucket")]
+    longs = T.ArrayType(T.LongType())
+    exits = records.groupBy(*place).applyInArrow(
+        _exits_of(size_us, by), T.StructType(fields + [T.StructField(c, longs) for c in ("_entry_t", "_exit_t", "_exit_seq")]))
+    states = (exits.repartition(*by, "_piece").sortWithinPartitions(*place)
+                   .mapInArrow(_entry_states(size_us, by, place), T.StructType(
+                       [records.schema[c] for c in place]
+                       + [T.StructField(c, T.LongType()) for c in ("_open_t", "_open_seq")])))
+    return states
 
 
 def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
@@ -286,38 +357,57 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
 
     Plan: (1) a two-level running max of the time marks *guaranteed openers*
     (``t >= max of all earlier times + size``), which cut each key into
-    independent pieces; (2) pieces are hash-partitioned by (keys, piece),
-    sorted by arrival and folded in ``mapInPandas`` with constant state, one
-    Arrow batch in memory at a time.  A hot key is spread over as many tasks
-    as it has pieces.  Adds ``window_start_us``, ``window_seq`` (opener's
-    sequence number) and ``opens_window``.
-
-    The fold is opaque to Catalyst, so every input column crosses into
-    Python: select the columns you need first.  Limit: a piece without any gap
-    of ``size`` (a key that never pauses) is folded by one task, with bounded
-    memory and one ``searchsorted`` per window.
+    independent pieces; rows before the running max reaches the piece's start +
+    size are its first window, settled without Python.  (2) The rest is folded
+    by (keys, piece, bucket).  Where a piece crosses bucket edges, each bucket is
+    first resolved for every window that can be open at its edge (openers lie on
+    the strictly rising running maxima, so the next opener is a function of the
+    open start), and these small tables are composed along the buckets: no task
+    holds more rows than a bucket, however long a key goes without a pause.
+    Adds ``window_start_us``, ``window_seq`` (opener's sequence number) and
+    ``opens_window``.
+
+    The fold is opaque to Catalyst, so the input columns of the rest cross into
+    Python: select the columns you need first.  The table of a bucket has at
+    most as many entries as rising maxima within one ``size`` of its start; the
+    composition streams through them, one piece per task.
     """
     keys = list(keys)
     size_us = duration_us(size)
+    base, by = _by_keys(df, keys)
     # an event without a time joins the open window, or opens one before all others
-    base = df.withColumn("_t", F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(1 << 62)))) \
-        .withColumn("_aw_bucket", _bucket(seq, _width(df, seq, bucket_rows)))
-    with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=keys, inclusive=False,
+    base = base.withColumn("_t", F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(1 << 62)))) \
+        .withColumn("_aw_bucket", _bucket(seq, _width(df, seq, bucket_rows))) \
+        .withColumn("_seq", F.coalesce(F.col(seq).cast("long"), F.lit(_NO_SEQ)))
+    with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=by, inclusive=False,
                          bucket_col="_aw_bucket")
     cut = F.col("_pm_before").isNull() | (F.col("_t") >= F.col("_pm_before") + F.lit(size_us))
-    marked = with_pm.withColumn("_cut_seq", F.when(cut, F.col(seq))).drop("_pm_before")
-    pieces = (prefix_max(marked, "_cut_seq", "_piece", seq=seq, keys=keys, inclusive=True,
-                         bucket_col="_aw_bucket")
-              .drop("_cut_seq", "_aw_bucket"))
+    # along the cuts sequence, time and bucket all rise, so a running max gives the last cut's
+    marked = with_pm.withColumns({"_cut_seq": F.when(cut, F.col("_seq")), "_cut_t": F.when(cut, F.col("_t")),
+                                  "_cut_bucket": F.when(cut, F.col("_aw_bucket"))})
+    pieces = prefix_scan(marked, ["_cut_seq", "_cut_t", "_cut_bucket"], ["_piece", "_piece_t", "_piece_bucket"],
+                         seq=seq, keys=by, how="max", bucket_col="_aw_bucket")
+    first = F.greatest("_pm_before", "_t") < F.col("_piece_t") + F.lit(size_us)
+    settled = pieces.filter(first).select(
+        *df.columns, F.col("_piece_t").alias("window_start_us"), F.col("_piece").alias("window_seq"),
+        F.col("_cut_seq").isNotNull().alias("opens_window"))
+
+    rest = pieces.filter(~first)
+    place = [*by, "_piece", "_aw_bucket"]
     parts = [num_partitions] if num_partitions else []
-    ordered = (pieces.repartition(*parts, *[F.col(k) for k in keys], F.col("_piece"))
-                     .sortWithinPartitions(*keys, "_piece", seq))
-    out_schema = T.StructType(
-        [f for f in ordered.schema.fields if f.name != "_t"]
-        + [T.StructField("window_start_us", T.LongType()), T.StructField("window_seq", T.LongType()),
-           T.StructField("opens_window", T.BooleanType())])
-    return (ordered.mapInPandas(lambda it: _fold_openers(it, size_us, keys, seq), out_schema)
-                   .drop("_piece"))
+    ordered = (rest.repartition(*parts, *[F.col(c) for c in place])
+                   .join(_open_at_buckets(rest, size_us, by), place, "left")
+                   .sortWithinPartitions(*place, seq)
+                   .select(*df.columns, "_piece", "_aw_bucket", "_t", "_seq",
+                           F.coalesce("_open_t", "_piece_t").alias("_start_t"),
+                           F.coalesce("_open_seq", "_piece").alias("_start_seq")))
+    out_schema = T.StructType([*df.schema.fields, T.StructField("_piece", T.LongType()),
+                               T.StructField("_aw_bucket", T.LongType()),
+                               T.StructField("window_start_us", T.LongType()),
+                               T.StructField("window_seq", T.LongType()), T.StructField("opens_window", T.BooleanType())])
+    group = [*keys, "_piece", "_aw_bucket"]
+    folded = ordered.mapInPandas(lambda it: _fold_openers(it, size_us, group), out_schema).drop("_piece", "_aw_bucket")
+    return settled.unionByName(folded).withColumn("window_seq", F.nullif("window_seq", F.lit(_NO_SEQ)))
 
 
 def throttle(df: DataFrame, min_gap: Duration = "100 milliseconds", key: str = "source",
