@@ -389,8 +389,11 @@ def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFram
     """The whole snapshot as one row.
 
     The ledger totals are one aggregate; each other part (aggregates, latency,
-    window summary) is one scalar subquery returning a struct, expanded at
-    the end, so every part is computed once.
+    window summary, sources) is one scalar subquery returning a struct, expanded
+    at the end, so every part is computed once and a part nobody selects not at
+    all.  ``by_source`` is an array with one struct per source, in order of the
+    source (null first): totals, drops and processing; ``last_window`` the last
+    window's record.
     """
     h = duration_us(horizon)
     now_us = F.unix_micros(snapshot_time(ledger))
@@ -406,8 +409,10 @@ def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFram
         F.count(F.lit(1)).alias("aggregated_total"),
         (F.count_if(in_horizon(F.unix_micros("window.end"))) / F.lit(h / 1e6)).alias("aggregate_eps"))
     lat = latency_stats(ledger)
-    summ = window_summary(records).drop("last_window")
-    parts = {"_p0": agg_part, "_p1": lat, "_p2": summ}
+    summ = window_summary(records)
+    per = per_source_processing(ledger, horizon)
+    sources = per.agg(F.sort_array(F.collect_list(F.struct(*per.columns))).alias("by_source"))
+    parts = {"_p0": agg_part, "_p1": lat, "_p2": summ, "_p3": sources}
     with_parts = totals.select("*", *[p.select(F.struct(*p.columns)).scalar().alias(n) for n, p in parts.items()])
     return with_parts.select(
         *totals.columns, *[F.col(f"{n}.{c}").alias(c) for n, p in parts.items() for c in p.columns],

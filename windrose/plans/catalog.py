@@ -386,6 +386,20 @@ def metrics_snapshot(spark, sf):
                       r6("drop_ratio_processed").alias("drop_ratio_processed"))
 
 
+@query("snapshot_sources")
+def snapshot_sources(spark, sf):
+    """The per-source part of the snapshot, one row per source, beside its totals and last window."""
+    led = I.load_ledger(spark, sf)
+    proc = _processed(spark, sf)
+    snap = O.metrics_snapshot(led, A.window_source_aggregates(proc, HOUR), A.window_records(proc, HOUR))
+    last = F.col("last_window")
+    return (snap.select("ingested_total", F.col("processed_total").alias("all_processed"), F.inline("by_source"),
+                        us(last["window_start"]).alias("last_start_us"), us(last["window_end"]).alias("last_end_us"),
+                        *[last[c].alias(f"last_{c}") for c in ("count_total", "n_sensor", "n_log", "n_feed",
+                                                               "aggregates_emitted")])
+            .withColumns({c: r6(c) for c in ("process_eps", "latency_avg", "latency_p50", "latency_p95")}))
+
+
 @query("trailing_rate")
 def trailing_rate(spark, sf):
     """Per processed event, the source's events in the last 10 s / 10."""

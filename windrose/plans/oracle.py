@@ -240,7 +240,7 @@ def _rank_stats(src: str, value: str, mode: str, prefix: str, part: str = "") ->
                    COUNT(*) OVER ({pby.strip()}) AS n FROM {src} WHERE {value} IS NOT NULL){grp})"""
 
 
-ORACLE["per_source_processing"] = with_sig(f"""
+PER_SOURCE = f"""
 , now AS (SELECT MAX(processed_us) AS now_us FROM led),
 ing AS (SELECT source, COUNT(*) AS ingested, COUNT(*) FILTER (WHERE dropped) AS dropped FROM led GROUP BY source),
 pr AS (SELECT source, COUNT(*) AS processed_total,
@@ -250,13 +250,15 @@ rec AS (SELECT source, latency_ms FROM
           (SELECT source, latency_ms, row_number() OVER (PARTITION BY source ORDER BY processed_us DESC, arrival_seq DESC) AS rk
            FROM led WHERE NOT dropped) WHERE rk <= 2000),
 lat AS {_rank_stats("rec", "latency_ms", "floor", "latency_", part="source")}
-SELECT COALESCE(ing.source, pr.source) AS source, COALESCE(ingested, 0) AS ingested,
+, per AS (SELECT COALESCE(ing.source, pr.source) AS source, COALESCE(ingested, 0) AS ingested,
        COALESCE(dropped, 0) AS dropped, COALESCE(processed_total, 0) AS processed_total,
        ROUND(COALESCE(recent / 10.0, 0.0), 6) AS process_eps,
        ROUND(latency_avg, 6) AS latency_avg, ROUND(latency_p50, 6) AS latency_p50,
        ROUND(latency_p95, 6) AS latency_p95
 FROM ing FULL OUTER JOIN pr ON ing.source = pr.source
-LEFT JOIN lat ON lat.source = COALESCE(ing.source, pr.source)""", ledger=True)
+LEFT JOIN lat ON lat.source = COALESCE(ing.source, pr.source))"""
+
+ORACLE["per_source_processing"] = with_sig(PER_SOURCE + "\nSELECT * FROM per", ledger=True)
 
 ORACLE["union_sources"] = with_sig("""
 SELECT source FROM led UNION SELECT source FROM led WHERE NOT dropped""", ledger=True)
@@ -314,6 +316,17 @@ SELECT ingested_total, dropped_total, processed_total, aggregated_total,
          AS drop_ratio_processed
 FROM tot, ag, lat, summ""", ledger=True)
 
+ORACLE["snapshot_sources"] = with_sig(PER_SOURCE + f"""
+, last AS (SELECT ws AS last_start_us, ws + {H} AS last_end_us, COUNT(*) AS last_count_total,
+                  COUNT(*) FILTER (WHERE source = 'sensor') AS last_n_sensor,
+                  COUNT(*) FILTER (WHERE source = 'log') AS last_n_log,
+                  COUNT(*) FILTER (WHERE source = 'feed') AS last_n_feed,
+                  COUNT(DISTINCT source) AS last_aggregates_emitted
+           FROM {PROC_SIG} GROUP BY ws ORDER BY ws DESC LIMIT 1)
+SELECT per.*, last.*, (SELECT COUNT(*) FROM led) AS ingested_total,
+       (SELECT COUNT(*) FROM led WHERE NOT dropped) AS all_processed
+FROM per, last""", ledger=True)
+
 ORACLE["trailing_rate"] = with_sig("""
 SELECT arrival_seq, source,
        ROUND(COUNT(*) OVER (PARTITION BY source ORDER BY processed_us
