@@ -117,6 +117,17 @@ def test_drop_near_keeps_columns(edge, edge_rows):
     assert Counter(r.doc_id for r in got.collect()) == +want
 
 
+def test_drop_near_judges_each_row_by_its_own_component(spark):
+    rng = random.Random(6)
+    base, other, alone, lone = (prose(rng, 80) for _ in range(4))
+    near = lambda t: " ".join([*t.split()[:40], "changed", *t.split()[41:]])
+    # null: a near copy, a word-equal copy, a unique text, one without words; 5: a near copy and the only survivor of 7
+    rows = [(1, base), (None, near(base)), (None, base.upper()), (None, alone), (None, " "), (5, near(near(base))), (5, other),
+            (7, near(other)), (9, lone)]
+    got = minhash.drop_near(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter([(1, base), (None, alone), (None, " "), (5, other), (9, lone)])
+
+
 # ------------------------------------------------------------ repeated passages
 
 def test_suffix_array_and_prefixes():

@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from windrose.llm.common import ASCII_LOWER, Members, materialise, members, only_members, prepare, slices, texts
 from windrose.llm.graph import components
@@ -240,6 +241,11 @@ class _Joined:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row."""
+    return _judged(docs, id_col, text_col, percent).drop("digest")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(doc_id, digest, n_shingles, component_id, kept) for every row."""
     prepare(docs.sparkSession)
     base = texts(docs, id_col, text_col)
     signed = materialise(_signed(base), "near-signed")
@@ -276,7 +282,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = materialise(named.join(ids, "comp").select("digest", "component_id"), "near-named")
     # plain join of two scans: the adaptive skew join splits the copies of a hot text
     return (signed.select("doc_id", "digest", "n_shingles").join(named, "digest", "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "digest", "n_shingles",
                     F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
@@ -284,14 +290,29 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, whose document stays for its component.
 
-    Dropped doc_ids go into a bounded bit table; rows it surely does not hold
-    pass untouched, the others are joined with the dropped ids.
+    Rows are judged by doc_id and word sequence, so rows that only share a null
+    or repeated doc_id stay or go with their own component.  The digests of
+    dropped rows go into a bounded bit table; rows it surely does not hold pass
+    untouched, the others are joined with the dropped (doc_id, digest).
     """
-    gone = materialise(near_dedup(docs, id_col, text_col, percent).filter("NOT kept")
-                       .select(F.col("doc_id").alias("_gone"), F.xxhash64("doc_id").alias("_h")).distinct(), "near-dropped")
-    found = members(gone, "_h")
-    keyed = docs.select(F.xxhash64(id_col).alias("_h"), F.struct(*docs.columns).alias("_row"))
+    # a row without words has no digest and is always kept
+    gone = materialise(_judged(docs, id_col, text_col, percent).filter("NOT kept")
+                       .select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest")).distinct(), "near-dropped")
+    found = members(gone.select(F.xxhash64("_digest").alias("_h")), "_h")
+    keyed = _digested(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*docs.columns).alias("_row")))
+    keyed = keyed.withColumn("_h", F.xxhash64("_key"))
     sure = only_members(keyed, "_h", found, want=False)
     checked = only_members(keyed, "_h", found).join(
-        gone.select("_gone"), F.col(f"_row.{id_col}").eqNullSafe(F.col("_gone")), "left_anti")
+        gone, (F.col("_key") == F.col("_digest")) & F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
     return sure.unionByName(checked).select("_row.*")
+
+
+def _digested(rows: DataFrame) -> DataFrame:
+    """(_key, _row) of (_text, _row): the digest of the text's word sequence, null without words."""
+    def run(batches):
+        for b in batches:
+            words = map(words_of, b.column(0).to_pylist())
+            digest = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words]
+            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), b.column(1)], ["_key", "_row"])
+
+    return rows.mapInArrow(run, StructType([StructField("_key", BinaryType()), rows.schema["_row"]]))
