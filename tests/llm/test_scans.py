@@ -211,6 +211,15 @@ def test_licenses(spark, edge_rows):
     assert tail[n + 2] == "gpl-3" and tail[n + 3] == "apache-2" and tail[n + 4] == ""
 
 
+def test_base_phrases_need_no_prefilter(spark):
+    texts = ["cc_by_nc", "photo (cc_by_nc) 2020", "CC_BY_NC_4.0", "a cc-by-nc", "cc_by", None]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    assert [(got[i].n_base, got[i].first_word, got[i].last_word, got[i].base_labels) for i in range(6)] == [
+        (1, 0, 0, "cc-by-nc"), (1, 1, 1, "cc-by-nc"), (1, 0, 0, "cc-by-nc"), (1, 1, 1, "cc-by-nc"), (0, None, None, ""),
+        (0, None, None, "")]
+    assert all(got[i].score > 0 and got[i].labels == "cc-by-nc" for i in range(4))
+
+
 def test_contained_detections_are_suppressed():
     found = licenses.detections("this is licensed under the mit license today")
     assert [d[0] for d in found] == ["mit"] and found[0][1] == 90
