@@ -220,6 +220,24 @@ def test_base_phrases_need_no_prefilter(spark):
     assert all(got[i].score > 0 and got[i].labels == "cc-by-nc" for i in range(4))
 
 
+@pytest.mark.parametrize("text, label", [
+    ("x licensed under the apache\nlicense, version 2.0 y", "apache-2"),
+    ("# under the terms of the gnu\n# general public license version 3\n", "gpl-3"),
+    (" * licensed under the mozilla\n *\n *  public\tlicense,  version 2.0", "mpl-2"),
+    ("// this is subject\r\n// to the  mit\n// license", "mit"), ("-- released  under the\n-- public\n-- domain", "public-domain")])
+def test_wrapped_notices(text, label):
+    found = licenses.detections(text)
+    assert {d[0] for d in found} == {label}
+    plain = re.sub(r"(?:^|\s*\n)\W+|\s+", " ", text).strip()
+    whole = licenses.detections(plain)
+    assert [re.sub(r"\s*\n\W+|\s+", " ", text[d[2]:d[3]]) for d in found] == [plain[d[2]:d[3]] for d in whole]
+
+
+def test_wrapped_notices_pass_the_prefilter(spark):
+    got = licenses.scan_licenses(frame(spark, ["Subject\n# to the MIT\n# Licence", "released\nunder the public\ndomain"])).collect()
+    assert {r.doc_id: r.labels for r in got} == {0: "mit", 1: "public-domain"}
+
+
 def test_contained_detections_are_suppressed():
     found = licenses.detections("this is licensed under the mit license today")
     assert [d[0] for d in found] == ["mit"] and found[0][1] == 90

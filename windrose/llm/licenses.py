@@ -12,6 +12,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 
@@ -90,8 +91,33 @@ def rules() -> list[tuple[str, int, re.Pattern, re.Pattern, re.Pattern]]:
     return sorted(out, key=lambda r: -r[1])
 
 
-def detections(lower: str) -> list[tuple[str, int, int, int]]:
-    """(label, priority, start, end) that survive, in order of the text."""
+# white space with the comment marks that lead the next lines
+_GAP = re.compile(r"(?:\s*\n\s*(?:#+|//+!?|/\*+!?|\*+/?|;+|--+|%+|!+|>+|(?:rem|dnl)\b)?)+\s*|\s+")
+
+
+def one_line(lower: str) -> tuple[str, list[int], list[int]]:
+    """The text with each gap as one blank; places in it after a gap of another
+    length, and what to add from there on to get the place in the text."""
+    parts, at, add, last, shift = [], [], [], 0, 0
+    for m in _GAP.finditer(lower):
+        if m[0] != " ":
+            parts += [lower[last:m.start()], " "]
+            last = m.end()
+            shift += last - m.start() - 1
+            at.append(last - shift)
+            add.append(shift)
+    return "".join([*parts, lower[last:]]), at, add
+
+
+def detections(text: str) -> list[tuple[str, int, int, int]]:
+    """(label, priority, start, end) that survive, in order of the text (in lower
+    case); the rules see wrapped and commented lines as one."""
+    lower, at, add = one_line(text)
+
+    def place(x: int) -> int:
+        i = bisect.bisect_right(at, x)
+        return x + add[i - 1] if i else x
+
     found = []
     gates: dict[str, bool] = {}
 
@@ -102,7 +128,7 @@ def detections(lower: str) -> list[tuple[str, int, int, int]]:
 
     for label, priority, gate, keyword, expression in rules():
         if open_(gate) and open_(keyword):
-            found += [(label, priority, *m.span()) for m in expression.finditer(lower)]
+            found += [(label, priority, place(m.start()), place(m.end() - 1) + 1) for m in expression.finditer(lower)]
     # a sweep by start: whatever contains a detection comes before it, so the
     # furthest end of each priority so far tells whether one does
     reach = dict.fromkeys((priority for _, priority, _, _ in FORMS), -1)
@@ -116,7 +142,7 @@ def detections(lower: str) -> list[tuple[str, int, int, int]]:
 
 _PHRASES = [(p.encode().split(), label) for p, label in BASE.items()]
 # a text without any of these has no detection (base phrases are looked for in every text)
-_MAY = r"(?i:licen|spdx|copyright|public domain|terms|subject to|released|distributed|available|published)"
+_MAY = r"(?i:licen|spdx|copyright|terms|subject|released|distributed|available|published)"
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
