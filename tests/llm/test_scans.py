@@ -276,6 +276,21 @@ def test_pii(spark, edge_rows):
         assert [pii.KINDS.index(s.kind) for s in r.spans] == sorted(pii.KINDS.index(s.kind) for s in r.spans)
 
 
+def test_pii_adds_what_the_base_patterns_miss(spark):
+    rng = random.Random(12)
+    n = lambda a: "".join(rng.choice("0123456789") for _ in range(a))
+    texts = [f"{prose(rng, 6)} mail {prose(rng, 1)}.{prose(rng, 1)}@mail{n(1)}.org or call +1 ({n(3)}) {n(3)}-{n(4)} "
+             f"then {prose(rng, 4)} {n(9)} {prose(rng, 3)} +49 {n(3)} {n(7)} {prose(rng, 5)}" for _ in range(400)]
+    planted = ["jane.roe (at) example (dot) com", "(555) 010-9999", "DE89370400440532013000"]
+    wrong = ["DE88370400440532013000", "123456789"]
+    texts += [f"{prose(rng, 5)} call {s} {prose(rng, 5)}" for s in planted + wrong]
+    got = {r.doc_id: r for r in pii.scan_pii(frame(spark, texts)).collect()}
+    added = [{texts[400 + i][s.start:s.end] for s in got[400 + i].spans} for i in range(5)]
+    assert not any(got[400 + i].base for i in range(5))
+    assert [p in a for p, a in zip(planted, added)] == [True] * 3
+    assert added[3:] == [set()] * 2
+
+
 def test_boosted_trees_and_threshold():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 5))

@@ -5,9 +5,14 @@ Beyond them, generators with high recall propose overlapping spans; boosted
 trees over format and context features, trained here on a bounded sample of
 the documents, score them; a calibrated threshold selects those to add.
 
-Training labels are the base patterns' own findings: a candidate that covers
-one is positive, any other negative.  Half of the sample's documents grow the
-trees, the other half calibrates their scores and sets the threshold.
+Training labels stand for what the base patterns miss: their findings in the
+sampled texts are rewritten in forms that no base pattern matches (spelt-out
+signs, a phone number without '+', other separators, codes with check digits).
+A candidate that covers such a span is positive, as is one whose check digits
+are right; rewritten spans with wrong check digits and other candidates are
+negative.  Candidates that overlap a base span are not learnt from, since they
+are never added.  Half of the sample's documents grow the trees, the other half
+calibrates their scores and sets the threshold.
 
 Defined cases: a null text counts as empty and has no spans; text of any
 length is scanned whole; rows repeat as they are; a sample without positive
@@ -18,8 +23,10 @@ exclusive.
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +107,70 @@ def candidates(text: str, may=lambda kind: True) -> list[tuple[str, int, int]]:
     return [(kind, *m.span()) for kind, p in _GENERATORS.items() if may(kind) for m in p.finditer(text)]
 
 
+def check97(s: str) -> bool:
+    """Whether the code's two check digits are right (ISO 7064, as in an IBAN)."""
+    flat = re.sub(r"[^A-Z0-9]", "", s)
+    return len(flat) >= 15 and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
+
+
+_CHECKED = {"number": lambda s: CARD_DIGITS[0] <= len(d := _digits(s)) <= CARD_DIGITS[1] and luhn(d), "code": check97}
+# candidates of the text itself that may well be right, though nothing confirms it
+_UNSURE = {"mailbox": re.compile(r"@|[(\[](?:at|dot)[)\]]"), "number": re.compile(r"[+(]")}
+_MAILS = [(" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", " dot ")]
+
+
+def disguised(kind: str, s: str) -> tuple[str, bool] | None:
+    """A base span in a form that no base pattern matches, and whether it is
+    personal data still (its check digits may be made wrong)."""
+    pick, d = zlib.crc32(s.encode()), _digits(s)
+    if kind == "email":
+        at, dot = _MAILS[pick % 3]
+        name, host = s.rsplit("@", 1)
+        return name + at + host.replace(".", dot), True
+    if kind == "phone" and pick % 6 < 4:
+        return (s[1:], f"({d[-10:-7]}) {d[-7:-4]}-{d[-4:]}")[pick % 2 and len(d) >= 10], True
+    if kind == "card" and pick % 4 < 2:
+        d = d if pick % 2 else d[:-1] + str((int(d[-1]) + 1) % 10)
+        return ".".join(d[i:i + 4] for i in range(0, len(d), 4)), bool(pick % 2)
+    if kind in ("phone", "card"):
+        body = d.rjust(18, "0")[-18:]
+        check = 98 - int(body + "131400") % 97
+        check = check if pick % 2 else check % 97 + 1      # DE is 1314
+        code = f"DE{check:02d}{body}"
+        return (code, " ".join(code[i:i + 4] for i in range(0, 22, 4)))[pick // 12 % 2], check97(code)
+    return None
+
+
+def lessons(text: str, may=lambda kind: True) -> list[tuple[list[float], bool]]:
+    """(features, label) of the candidates of a text and of its disguised form."""
+    own = base_spans(text, may)
+    busy = IntervalSet((a, z) for _, a, z in own)
+    out = []
+    for kind, a, z in candidates(text, may):
+        if not busy.meets(a, z):
+            checked = kind in _CHECKED and _CHECKED[kind](text[a:z])
+            if checked or kind not in _UNSURE or not _UNSURE[kind].search(text[a:z]):
+                out.append((features(text, kind, a, z), checked))
+    parts, planted, last, size = [], [], 0, 0
+    for kind, s, e in sorted(own, key=lambda c: (c[1], -c[2])):
+        if s >= last and (new := disguised(kind, text[s:e])):
+            parts += [text[last:s], new[0]]
+            size += s - last
+            planted.append((size, size + len(new[0]), new[1]))
+            size += len(new[0])
+            last = e
+    if planted:
+        other = "".join([*parts, text[last:]])
+        busy = IntervalSet((a, z) for _, a, z in base_spans(other))
+        starts = [p[0] for p in planted]
+        for kind, a, z in candidates(other):
+            i = bisect.bisect_right(starts, a + 4) - 1
+            # about the whole span: what only shares a part of it teaches nothing
+            if i >= 0 and a <= planted[i][0] and planted[i][1] <= z <= planted[i][1] + 4 and not busy.meets(a, z):
+                out.append((features(other, kind, a, z), planted[i][2]))
+    return out
+
+
 FEATURES = ["mailbox", "number", "code", "chars", "digits", "letters", "groups", "widest", "blanks", "dots", "dashes",
             "brackets", "plus", "at", "luhn", "ip", "check97", "last_label", "upper", "left_word", "right_word",
             "line_start", "line_end", *(f"near_{name}" for name, _ in _CONTEXT)]
@@ -111,14 +182,12 @@ def features(text: str, kind: str, a: int, z: int) -> list[float]:
     d = _digits(s)
     groups = re.findall(r"[0-9]+", s)
     before = text[max(0, a - CONTEXT_CHARS):a]
-    flat = re.sub(r"[^A-Z0-9]", "", s)
-    moved = flat[4:] + flat[:4]
-    check97 = kind == "code" and len(flat) >= 15 and int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
     label = re.split(r"[.\s]+", s)[-1]
     return [kind == "mailbox", kind == "number", kind == "code", len(s), len(d), sum(c.isalpha() for c in s),
             len(groups), max(map(len, groups), default=0), s.count(" "), s.count("."), s.count("-"),
             s.count("(") + s.count(")"), s.startswith("+"), "@" in s, luhn(d) if len(d) > 7 else False,
-            len(groups) == 4 and s.count(".") == 3 and all(len(g) <= 3 and int(g) <= 255 for g in groups), check97,
+            len(groups) == 4 and s.count(".") == 3 and all(len(g) <= 3 and int(g) <= 255 for g in groups),
+            kind == "code" and check97(s),
             len(label) if label.isalpha() else 0, sum(c.isupper() for c in s),
             text[a - 1:a].isalnum(), text[z:z + 1].isalnum(), a == 0 or text[a - 1] == "\n",
             z == len(text) or text[z] == "\n", *(bool(p.search(before)) for _, p in _CONTEXT)]
@@ -242,11 +311,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
             for i, text, may in _batch_texts(b):
                 if text is None:
                     continue
-                own = base_spans(text, may)
                 half = hash_half(text)
-                for kind, a, z in candidates(text, may):
-                    rows.append(features(text, kind, a, z))
-                    labels.append(any(a <= s and e <= z or s <= a and z <= e for _, s, e in own))
+                for row, label in lessons(text, may):
+                    rows.append(row)
+                    labels.append(label)
                     part.append(half)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([np.asarray(r, np.float64) for r in rows], pa.list_(pa.float64())),
@@ -296,11 +364,14 @@ class IntervalSet:
                 self.starts.append(a)
                 self.ends.append(z)
 
-    def add(self, a: int, z: int) -> bool:
-        import bisect
+    def meets(self, a: int, z: int) -> bool:
         i = bisect.bisect_left(self.ends, a + 1)
-        if i < len(self.starts) and self.starts[i] < z:
+        return i < len(self.starts) and self.starts[i] < z
+
+    def add(self, a: int, z: int) -> bool:
+        if self.meets(a, z):
             return False
+        i = bisect.bisect_left(self.ends, a + 1)
         self.starts.insert(i, a)
         self.ends.insert(i, z)
         return True
