@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.llm import bytepair, contamination, licenses, minhash, pii, quality, quotient, repeats, secrets, urls
+from windrose.llm import (bytepair, contamination, jaccard, licenses, merkle, minhash, pii, quality, quotient, repeats, secrets,
+                          structure, urls)
 from windrose.llm.common import table
 from windrose.llm.oracle import ORACLE  # noqa: F401
 
@@ -93,3 +94,24 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes that stand anywhere else, removed from every document."""
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles agree, by rare-first prefix filtering."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of documents, and a check of a copy whose text a third of the rows changed."""
+    docs = table(spark, sf_dir, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.manifest(docs, F.when(changed, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text")))
+
+
+@query
+def op13_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and the cheapest edits that give them a legal structure again."""
+    rows = table(spark, sf_dir, "conversations")
+    return structure.repair(structure.damaged(rows), rows)
