@@ -353,7 +353,8 @@ def _open_links(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: in
     have any; sets come once a block, and only where a pair needs them."""
     wanted = pairs.select("block", F.explode(F.array("a", "b")).alias("cid")).distinct()
     members_of = (wanted.join(sets.select("cid", "n", "shared"), "cid")
-                  .join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
+                  .join(comps.withColumnRenamed("node", "cid"), "cid", "left")
+                  .select(F.col("block").alias("home"), "cid", "n", "shared", F.coalesce("comp", "cid").alias("comp")))
 
     def verify(p: pa.Table, s: pa.Table) -> pa.Table:
         sets_of = {c: (n, m, np.sort(np.array(h, np.int64))) for c, n, m, h in
@@ -376,7 +377,7 @@ def _open_links(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: in
                     out.append((a, b))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return (pairs.groupBy("block").cogroup(members_of.drop("place").groupBy("block")).applyInArrow(verify, "a long, b long")
+    return (pairs.groupBy("block").cogroup(members_of.groupBy("home")).applyInArrow(verify, "a long, b long")
             if not pairs.isEmpty() else pairs.select("a", "b"))
 
 

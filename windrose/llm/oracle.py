@@ -111,9 +111,9 @@ rows AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
   FROM damage, range(2) copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
-placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
-                  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
-                  right(rtrim(text, {_BLANKS}), 1) AS last, left(role, 1) AS i FROM rows),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+                  right(rtrim(text, {_BLANKS}), 1) AS last, left(role, 1) AS i
+           FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM rows)),
 faults AS (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
                   lag(i) OVER (PARTITION BY conv_id ORDER BY pos) AS ahead FROM placed),
 steps(p, i, q) AS (VALUES ('0', 's', 'S'), ('0', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
