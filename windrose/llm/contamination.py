@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import functools
 import uuid
 
 import numpy as np
@@ -216,30 +217,53 @@ def remove(docs: DataFrame, bench: DataFrame, what: str = "documents", words: in
     if what not in ("documents", "spans"):
         raise ValueError(f"what is 'documents' or 'spans', not {what!r}")
     spark = prepare(docs.sparkSession)
+    if what == "spans":
+        return _without_spans(docs, bench, words, text_col, block_windows)
     at, out = docs.columns.index(text_col), docs
     for _, blocks, rows in _blocks(bench, words, block_windows):
         sent = spark.sparkContext.broadcast(rows)
-        out = out.mapInArrow(_remover(at, uuid.uuid4().hex, sent, what == "spans"), docs.schema)
+        out = out.mapInArrow(_remover(at, uuid.uuid4().hex, sent), docs.schema)
         if blocks > 1:      # one set in memory at a time
             out = materialise(out, "bench-removed")
     return out
 
 
-def _remover(at: int, key: str, rows, spans: bool):
+def _remover(at: int, key: str, rows):
     def run(batches):
         found = _window_set(key, rows)
         for b in batches:
-            values = b.column(at).to_pylist()
-            hits = [_merged([(i, i + s) for i, s, _ in found.scan(normal_words(t))]) if t else [] for t in values]
-            if spans:
-                new = [_cut(t, h) if h else t for t, h in zip(values, hits)]
-                b = b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
-                yield b
-            else:
-                yield b.filter(pa.array([not h for h in hits], pa.bool_()))
+            yield b.filter(pa.array([not (t and found.scan(normal_words(t))) for t in b.column(at).to_pylist()], pa.bool_()))
     return run
 
 
+def _without_spans(docs: DataFrame, bench: DataFrame, words: int, text_col: str, block_windows: int) -> DataFrame:
+    """Hit spans of all blocks are found on the input first and cut once, so the result
+    does not depend on the number of blocks."""
+    spark = docs.sparkSession
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_uid"), F.struct(*docs.columns).alias("_row")), "bench-rows")
+    keyed = rows.select("_uid", F.coalesce(F.col("_row").getField(text_col), F.lit("")).alias("text"))
+    hits = []
+    for _, _, windows in _blocks(bench, words, block_windows):
+        sent = spark.sparkContext.broadcast(windows)
+        part = _scan(keyed, uuid.uuid4().hex, sent).filter(F.size("spans") > 0)
+        hits.append(materialise(part.select("_uid", "spans"), "bench-hits"))
+        sent.unpersist()
+    spans = functools.reduce(DataFrame.unionByName, hits).groupBy("_uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    names = docs.columns
+    at = names.index(text_col)
+
+    def cut(batches):
+        for b in batches:
+            row = b.column(0)
+            columns = row.flatten()
+            texts_ = [_cut(t, _merged([(x["first"], x["end"]) for x in s])) if s else t
+                      for t, s in zip(columns[at].to_pylist(), b.column(1).to_pylist())]
+            columns[at] = pa.array(texts_, columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.join(spans, "_uid", "left").select("_row", "spans").mapInArrow(cut, docs.schema)
+
+
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
     lower = text.translate({c: c + 32 for c in range(65, 91)})
     words = [m.span() for m in _WORD.finditer(lower)]
