@@ -41,8 +41,11 @@ ADDED_KINDS = ("mailbox", "number", "code")
 KINDS = (*BASE_KINDS, *ADDED_KINDS)       # order of spans
 
 # patterns of the base kinds (fixed values)
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# email: [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+, in two parts about the sign
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# a run of digits that fails from its start fails from all its places
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
@@ -88,10 +91,27 @@ def _is_ip(s: str) -> bool:
     return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in s.split("."))
 
 
+def _emails(text: str):
+    """Leftmost matches of the email pattern in linear time: a match holds one "@", which
+    is the first after its start, so each sign is looked at once, backwards to the last match."""
+    last, sign = 0, text.find("@")
+    while sign >= 0:
+        a = sign
+        while a > last and text[a - 1] in _LOCAL:
+            a -= 1
+        host = _HOST.match(text, sign + 1) if a < sign else None
+        if host:
+            yield a, host.end()
+            last = host.end()
+        else:
+            last = sign + 1
+        sign = text.find("@", last)
+
+
 def base_spans(text: str, may=lambda kind: True) -> list[tuple[str, int, int]]:
     out = []
     if may("email"):
-        out += [("email", *m.span()) for m in _EMAIL.finditer(text)]
+        out += [("email", a, z) for a, z in _emails(text)]
     if may("ip"):
         out += [("ip", *m.span()) for m in _IP.finditer(text) if _is_ip(m[0])]
     if may("card"):
@@ -320,7 +340,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
                 [pa.array([np.asarray(r, np.float64) for r in rows], pa.list_(pa.float64())),
                  pa.array(labels, pa.bool_()), pa.array(part, pa.bool_())], ["x", "y", "half"])
 
-    got = chosen.mapInArrow(propose, "x array<double>, y boolean, half boolean").limit(max_rows).collect()
+    # beyond max_rows the hash of a lesson decides, so the same lessons train every time
+    got = (chosen.mapInArrow(propose, "x array<double>, y boolean, half boolean")
+           .orderBy(F.xxhash64("x", "y", "half"), "x").limit(max_rows).collect())
     if not got:
         return None
     x, y = np.array([r["x"] for r in got], np.float64), np.array([r["y"] for r in got], np.float64)
@@ -331,7 +353,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_d
 
 
 def hash_half(text: str) -> bool:
-    return sum(text.encode()[:4096]) % 2 == 0
+    return zlib.crc32(text.encode()) % 2 == 0
 
 
 def select(model: Trees | None, text: str, own: list[tuple[str, int, int]],

@@ -141,7 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
              .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("doc_id")).distinct())
     total = known.count()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, max_labelled / max(1, total)) * (1 << 20))
-    chosen = known.filter(share).limit(2 * max_labelled)     # about max_labelled rows
+    # about max_labelled rows; beyond twice as many the hash decides, whatever the order of tasks
+    chosen = known.filter(share).orderBy(F.xxhash64("doc_id", "label"), "doc_id").limit(2 * max_labelled)
 
     def weigh(batches):
         for b in batches:
@@ -150,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 [b.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["label", "weights"])
 
     got = (base.join(F.broadcast(chosen), "doc_id").filter(F.length("text") > 0).select("label", "text")
-           .limit(2 * max_labelled).mapInArrow(weigh, "label int, weights binary").collect())
+           .orderBy(F.xxhash64("text", "label"), "text").limit(2 * max_labelled).mapInArrow(weigh, "label int, weights binary").collect())
     y = np.array([r["label"] for r in got], np.float64)
     prior = float((y.sum() + 1) / (len(y) + 2))
     if not len(y):
