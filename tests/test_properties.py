@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import at, signal
 from windrose.functions import scalar as S
@@ -157,12 +158,119 @@ def test_py_round_matches_python(spark, xs):
     assert [math.copysign(1, g) for g in got] == [math.copysign(1, w) for w in want]
 
 
-def test_auto_bucket_width_handles_sparse_sequence_numbers(spark):
-    # 1000 rows whose sequence numbers are 10**12 apart: fixed-width buckets
-    # would put one row in each, the data-derived width about 100 per bucket
-    df = spark.createDataFrame([(i * 10**12 + 5, i) for i in range(1000)], "s long, v long")
-    w = Q.bucket_width(df, "s", target_rows=100)
-    per_bucket = df.select(Q._bucket("s", w).alias("b")).groupBy("b").count().collect()
-    assert len(per_bucket) == 10 and all(r["count"] == 100 for r in per_bucket)
+def _rows_per_bucket(df, target):
+    b = Q.bucket_edges(df, "s", target)
+    rows = Q._bucketed(df, "b", F.col("s"), b).groupBy("b").agg(F.count("*").alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi"))
+    out = rows.orderBy("b").collect()
+    # buckets follow the order
+    assert all(x.hi < y.lo for x, y in zip(out, out[1:]) if x.lo is not None)
+    return out
+
+
+@pytest.mark.parametrize("spread", ["sparse", "outlier_high", "outlier_low", "full_range", "two_clusters"])
+def test_buckets_are_even_however_numbers_are_spread(spark, spread):
+    n, target = 300_000, 1_000
+    dense = spark.range(n)
+    s = {"sparse": F.col("id") * 10**12 + 5, "outlier_high": F.when(F.col("id") == 0, 1 << 60).otherwise(F.col("id")),
+         "outlier_low": F.when(F.col("id") == 0, -(1 << 62)).otherwise(F.col("id") + (1 << 60)),
+         "full_range": F.when(F.col("id") == 0, -(1 << 63)).when(F.col("id") == 1, (1 << 63) - 1).otherwise(F.col("id")),
+         "two_clusters": F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") + (1 << 50))}[spread]
+    counts = _rows_per_bucket(dense.select(s.cast("long").alias("s")), target)
+    assert max(r.n for r in counts) <= 2 * target and len(counts) >= n // (2 * target)
+
+
+def test_more_buckets_than_edges(spark, monkeypatch):
+    monkeypatch.setattr(Q, "MAX_SPLITS", 16)
+    df = spark.range(100_000).select(F.when(F.col("id") == 7, 1 << 60).otherwise(F.col("id") * 3).cast("long").alias("s"))
+    counts = _rows_per_bucket(df, 500)
+    assert len(counts) > 150 and sorted(r.n for r in counts)[-3] <= 1000
+
+
+def test_scans_with_outlier_and_full_range(spark, monkeypatch):
+    monkeypatch.setattr(Q, "DEFAULT_BUCKET_ROWS", 50)
+    rng = random.Random(3)
+    seqs = [-(1 << 63), *range(400), 1 << 60, (1 << 63) - 1]
+    rows = [(s, rng.randint(-9, 9), rng.choice(["a", None])) for s in seqs]
+    df = spark.createDataFrame(rows, "s long, v long, k string")
+    assert len(Q.bucket_edges(df, "s", 50).edges) >= 5
+    monkeypatch.setattr(Q, "bucket_edges", lambda d, s, target=50, plain=Q.bucket_edges: plain(d, s, target))
     out = Q.prefix_sum(df, "v", "ps", seq="s").orderBy("s").collect()
-    assert [r["ps"] for r in out] == list(np.cumsum(range(1000)))
+    assert [r["ps"] for r in out] == list(np.cumsum([v for _, v, _ in rows]))
+    prev = Q.previous_value(df, "v", "before", "s", keys=["k"]).orderBy("s").collect()
+    for k in ("a", None):
+        vs = [v for _, v, kk in rows if kk == k]
+        assert [r["before"] for r in prev if r["k"] == k] == [None, *vs[:-1]]
+
+
+def test_rows_without_sequence_number_come_first(spark):
+    rows = [{"ts": at(t), "source": "log", "value": float(t), "arrival_seq": s} for t, s in ((1, None), (2, 1), (3, 2))]
+    df = signal(spark, [{**r, "event_id": i} for i, r in enumerate(rows)])
+    assert df.filter("arrival_seq IS NULL").count() == 1
+    fr = Q.arrival_fragments(df, "1 hour").collect()
+    assert {r["fragment_id"] for r in fr} == {1}
+    prev = {r["event_id"]: r["p"] for r in Q.previous_value(df, "value", "p", "arrival_seq").collect()}
+    assert prev == {0: None, 1: 1.0, 2: 2.0}
+    aw = {r["event_id"]: r["window_start_us"] for r in Q.anchored_windows(df, "1 hour").collect()}
+    assert len(set(aw.values())) == 1
+
+
+def test_long_columns_beside_nulls_stay_exact(spark, small_batches):
+    ids = [(1 << 60) + 1, (1 << 60) + 2, (1 << 60) + 3, None]
+    rows = [{"user_id": ids[i % 4], "ts": at(i * 7 % 50), "source": "log"} for i in range(40)]
+    df = signal(spark, rows)
+    for width in (1 << 20, 3):
+        got = Q.anchored_windows(df, 5, keys=["user_id"], bucket_rows=width).collect()
+        assert sorted(str(r["user_id"]) for r in got) == sorted(str(r["user_id"]) for r in rows)
+        assert {r["arrival_seq"]: r["user_id"] for r in got} == {i: r["user_id"] for i, r in enumerate(rows)}
+    unkeyed = Q.anchored_windows(df, 5).collect()
+    assert {r["arrival_seq"]: r["user_id"] for r in unkeyed} == {i: r["user_id"] for i, r in enumerate(rows)}
+
+
+@pytest.mark.parametrize("key", ["nan", "struct", "binary"])
+def test_fold_takes_any_key_type(spark, small_batches, key):
+    df = signal(spark, [{"user_id": i % 2, "ts": at(i), "source": "log"} for i in range(60)])
+    made = {"nan": F.when(F.col("user_id") == 0, float("nan")).otherwise(1.0),
+            "struct": F.struct(F.col("user_id").alias("a"), F.array("user_id").alias("b")),
+            "binary": F.col("user_id").cast("string").cast("binary")}[key]
+    want = {r["arrival_seq"]: r["window_seq"] for r in Q.anchored_windows(df, 6, keys=["user_id"], bucket_rows=7).collect()}
+    got = Q.anchored_windows(df.withColumn("key", made), 6, keys=["key"], bucket_rows=7).collect()
+    assert {r["arrival_seq"]: r["window_seq"] for r in got} == want
+
+
+def test_buckets_narrower_than_a_window(spark, small_batches):
+    """Many buckets inside one window, several pieces, keys that skip buckets."""
+    rng = random.Random(8)
+    rows, now = [], {0: 0.0, 1: 0.0, 2: 0.0}
+    for _ in range(500):
+        k = rng.choice([0, 0, 0, 1, 1, 2])
+        now[k] += rng.random() * 3 + (200 if rng.random() < 0.01 else 0)
+        rows.append({"user_id": k, "ts": at(round(now[k] - (rng.random() * 30 if rng.random() < 0.3 else 0), 3)), "source": "log"})
+    df = signal(spark, rows)
+    for size in (2, 25, 90):
+        got = {r["arrival_seq"]: r["window_seq"] for r in Q.anchored_windows(df, size, keys=["user_id"], bucket_rows=2).collect()}
+        for k in now:
+            seqs = [i for i, r in enumerate(rows) if r["user_id"] == k]
+            want = model_anchored([round((rows[i]["ts"] - at(0)).total_seconds() * 1000) for i in seqs], size * 1000)
+            assert [got[i] for i in seqs] == [seqs[w] for w in want]
+
+
+def test_composed_tables_agree_with_a_fold(spark):
+    """Composition of step tables against folding the maxima of both nodes."""
+    rng = np.random.default_rng(12)
+    for _ in range(4):
+        t = np.unique(rng.integers(1, 400, 60)).astype(np.int64)
+        size = int(rng.integers(5, 120))
+        cut = int(rng.integers(5, len(t) - 5))
+        rows = []
+        for node, part, before in ((0, t[:cut], 0), (1, t[cut:], int(t[cut - 1]))):
+            entries, exits = Q.bucket_exits(part, size, before)
+            ends = part[entries]
+            los = [before, *ends[:-1].tolist()]
+            rows += [("k", 0, node, lo, int(hi), int(part[x]), int(part[x]), before) for lo, hi, x in zip(los, ends, exits)]
+        df = spark.createDataFrame(rows, "k string, _piece long, _node long, _lo long, _hi long, _exit_t long, _exit_seq long, _before long")
+        steps = sorted((r["_hi"], r["_exit_t"]) for r in Q.compose(df, size, ["k"]).collect())
+        for start in range(-size + 1, 1):
+            last = start
+            for x in t.tolist():
+                last = x if x >= last + size else last
+            assert next((e for hi, e in steps if hi >= start + size), start) == last

@@ -5,66 +5,106 @@ None of them uses a window without a partition key.  Running values along the
 arrival order are computed in two levels (R5): rows are cut into buckets of
 consecutive sequence numbers, each bucket is scanned on its own (partitioned
 window), and a tiny per-bucket summary carries the value of all earlier
-buckets.  ``bucket_rows="auto"`` (the default) sizes the buckets from the
-data: the sequence range over ceil(rows / 2**20) buckets, so dense and sparse
-sequence numbers both give about a million rows per bucket; an int fixes the
-width in sequence units (with unique sequence numbers, an upper bound on the
-rows of a bucket).  The summary has one row per bucket; the join back is left
-to AQE, which broadcasts it when its measured size is small and shuffles
-otherwise.
+buckets.  ``bucket_rows="auto"`` (the default) takes the bucket edges from a
+quantile sketch over all sequence numbers, so each bucket holds about a million
+rows however the numbers are spread (dense, sparse, or dense with far
+outliers); an int fixes the width in sequence units (with unique sequence
+numbers, an upper bound on the rows of a bucket).  The summary has one row per
+bucket; the join back is left to AQE, which broadcasts it when its measured
+size is small and shuffles otherwise.
 
 The order column must be unique per key (arrival sequence numbers are); if
 it is not, fold a tie-breaker into it first (for example the event id), or
-the order of tied rows, and so the result, is not defined.
+the order of tied rows, and so the result, is not defined.  Rows without a
+sequence number come before all others.
 """
 
 from __future__ import annotations
 
-import bisect
-from typing import Optional, Sequence, Union
+import json
+from typing import NamedTuple, Optional, Sequence, Union
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrose.functions.scalar import Duration, duration_us, floor_window
+from windrose.session import kept_table, prepare_session
 
 DEFAULT_BUCKET_ROWS = 1 << 20
+MAX_SPLITS = 4096      # edges taken from the sketch; more buckets are even parts between two edges
+_ACCURACY = 50_000     # ranks of the sketch are right within rows / _ACCURACY
 _NO_SEQ = -(1 << 63)   # stands for a missing sequence number, before all others
 BucketRows = Union[int, str]
 
 
-def bucket_width(df: DataFrame, seq: str, target_rows: int = DEFAULT_BUCKET_ROWS) -> Column:
-    """Bucket width from the data (a scalar subquery over a narrow scan of ``seq``).
+class Buckets(NamedTuple):
+    """Where buckets begin, in how many even parts each interval between two edges is
+    cut, and whether rows without a number need a bucket of their own."""
+    edges: list[int]
+    parts: int
+    nulls: bool
 
-    The sequence range is cut into ceil(rows / target_rows) equal buckets, so
-    dense and sparse sequence numbers alike give about ``target_rows`` rows
-    per bucket when they are spread evenly.
+    @property
+    def single(self) -> bool:
+        return not self.edges and not self.nulls
+
+
+def bucket_edges(df: DataFrame, seq: str, target_rows: int = DEFAULT_BUCKET_ROWS) -> Buckets:
+    """Buckets of about ``target_rows`` rows, from one pass over a narrow scan of ``seq``.
+
+    At most MAX_SPLITS numbers come to the driver.  Up to MAX_SPLITS * target_rows
+    rows an interval between two edges is one bucket.
     """
-    stats = df.agg(F.min(seq).cast("long").alias("lo"), F.max(seq).cast("long").alias("hi"),
-                   F.count(seq).alias("n"))
-    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / F.lit(target_rows)).cast("long"))
-    span = F.col("hi") - F.col("lo") + 1
-    width = F.greatest(F.lit(1).cast("long"), F.call_function("div", span + buckets - 1, buckets))
-    return stats.select(F.coalesce(width, F.lit(1).cast("long")).alias("w")).scalar()
+    steps = [i / MAX_SPLITS for i in range(MAX_SPLITS + 1)]
+    c = F.col(seq).cast("long")
+    rows, n, points = df.agg(F.count(F.lit(1)), F.count(c), F.percentile_approx(c, steps, _ACCURACY)).first()
+    if n <= target_rows:
+        return Buckets([], 1, 0 < n < rows)
+    every = max(1, MAX_SPLITS * target_rows // n)
+    # no edge at either end: what lies outside belongs to the first or last interval
+    return Buckets(sorted(set(points[every:-1:every])), max(1, -(-n // (MAX_SPLITS * target_rows))), n < rows)
 
 
-def _width(df: DataFrame, seq: str, bucket_rows) -> Column:
-    if isinstance(bucket_rows, str):
-        if bucket_rows != "auto":
-            raise ValueError("bucket_rows must be a positive int or 'auto'")
-        return bucket_width(df, seq)
-    return F.lit(int(bucket_rows)).cast("long")
+def _count_up_to(values: list[int], c: Column) -> Column:
+    """How many of the sorted values are at most ``c``, by binary search."""
+    steps = [1 << k for k in reversed(range(len(values).bit_length()))]
+    sorted_values = F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+    return F.aggregate(F.array(*[F.lit(w) for w in steps]), F.lit(0),
+                       lambda at, w: F.when(F.get(sorted_values, at + w - 1) <= c, at + w).otherwise(at))
 
 
-def _bucket(seq: str, width: Column) -> Column:
-    """Bucket of an integral order column (floor division, exact for any long).
-    Rows without a sequence number share one bucket before all others."""
+def with_bucket(df: DataFrame, name: str, seq: str, bucket_rows: BucketRows = "auto") -> DataFrame:
+    """``df`` with the bucket number of its order column, which never falls as the
+    order rises; rows without a sequence number share one bucket before all others."""
     c = F.col(seq).cast("long")
-    return F.coalesce(F.call_function("div", c - F.pmod(c, width), width), F.lit(_NO_SEQ))
+    if not isinstance(bucket_rows, str):
+        width = F.lit(int(bucket_rows)).cast("long")
+        return df.withColumn(name, F.coalesce(F.call_function("div", c - F.pmod(c, width), width), F.lit(_NO_SEQ)))
+    if bucket_rows != "auto":
+        raise ValueError("bucket_rows must be a positive int or 'auto'")
+    return _bucketed(df, name, c, bucket_edges(df, seq))
+
+
+def _bucketed(df: DataFrame, name: str, c: Column, buckets: Buckets) -> DataFrame:
+    edges, parts = buckets.edges, buckets.parts
+    at = _count_up_to(edges, c) if edges else F.lit(0)
+    bucket = at.cast("long")
+    if parts > 1 and edges:
+        # even parts of an interval; doubles are monotone in the number, which is all a bucket needs
+        x = c.cast("double")
+        low, high = (F.from_json(F.lit(json.dumps(v)), "array<double>") for v in ([None, *edges], [*edges, None]))
+        share = (x - F.get(low, at)) / (F.get(high, at) - F.get(low, at))
+        bucket = bucket * parts + F.greatest(F.lit(0), F.least(F.coalesce(F.floor(share * parts), F.lit(0)), F.lit(parts - 1)))
+    return df.withColumn(name, F.when(c.isNull(), F.lit(-1)).otherwise(bucket).cast("long"))
+
+
+def _ordered(seq: str) -> Column:
+    """The order column with rows that have no number before all others (min_by and
+    max_by would leave them out)."""
+    return F.coalesce(F.col(seq).cast("long"), F.lit(_NO_SEQ))
 
 
 def _by_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -85,8 +125,8 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
 
     ``value`` / ``out`` are a column name or parallel lists of names; all of
     them share one window pass, one bucket summary and one join.
-    ``bucket_rows`` is the width of a bucket in units of ``seq``; with unique
-    integer sequence numbers it bounds the rows of one window partition.
+    ``bucket_rows`` is "auto" or the width of a bucket in units of ``seq``; with
+    unique integer sequence numbers it bounds the rows of one window partition.
     """
     if how not in ("max", "sum"):
         raise ValueError("how must be 'max' or 'sum'")
@@ -100,7 +140,7 @@ def prefix_scan(df: DataFrame, value, out, seq: str = "arrival_seq",
     b = bucket_col or f"_{outs[0]}_bucket"
     frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     w_local = Window.partitionBy(*keys, b).orderBy(seq).rowsBetween(*frame)
-    bucketed = df if bucket_col else df.withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
+    bucketed = df if bucket_col else with_bucket(df, b, seq, bucket_rows)
     local = bucketed.withColumns({f"_{o}_local": agg(v).over(w_local) for v, o in zip(values, outs)})
     # the summary reads only (keys, seq, values): a narrow re-read of the input
     summary = bucketed.groupBy(*keys, b).agg(*[agg(v).alias(f"_{o}_bagg") for v, o in zip(values, outs)])
@@ -141,10 +181,10 @@ def previous_value(df: DataFrame, value: str, out: str, seq: str, keys: Sequence
     df, keys = _by_keys(df, keys)
     b = f"_{out}_bucket"
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
-    local = df.withColumn(b, _bucket(seq, _width(df, seq, bucket_rows))) \
+    local = with_bucket(df, b, seq, bucket_rows) \
               .withColumn(f"_{out}_local", F.lag(value).over(w_local)) \
               .withColumn(f"_{out}_first", F.row_number().over(w_local) == 1)
-    summary = local.groupBy(*keys, b).agg(F.max_by(value, seq).alias(f"_{out}_last"))
+    summary = local.groupBy(*keys, b).agg(F.max_by(value, _ordered(seq)).alias(f"_{out}_last"))
     w_s = Window.partitionBy(*keys).orderBy(b)
     carry = summary.select(*keys, b, F.lag(f"_{out}_last").over(w_s).alias(f"_{out}_carry"))
     return (local.join(carry, on=[*keys, b], how="inner")
@@ -167,13 +207,13 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
     b = "_fr_bucket"
     ws_us = F.unix_micros(floor_window(ts, size))
     w_local = Window.partitionBy(*keys, b).orderBy(seq)
-    local = (df.withColumn("_ws_us", ws_us).withColumn(b, _bucket(seq, _width(df, seq, bucket_rows)))
+    local = (with_bucket(df.withColumn("_ws_us", ws_us), b, seq, bucket_rows)
                .withColumn("_prev", F.lag("_ws_us").over(w_local))
                .withColumn("_chg", ((F.row_number().over(w_local) > 1)
                                     & ~F.col("_prev").eqNullSafe(F.col("_ws_us"))).cast("long"))
                .withColumn("_local_cum", F.sum("_chg").over(w_local.rowsBetween(Window.unboundedPreceding, 0))))
-    summary = local.groupBy(*keys, b).agg(F.min_by("_ws_us", seq).alias("_first"),
-                                          F.max_by("_ws_us", seq).alias("_last"),
+    summary = local.groupBy(*keys, b).agg(F.min_by("_ws_us", _ordered(seq)).alias("_first"),
+                                          F.max_by("_ws_us", _ordered(seq)).alias("_last"),
                                           F.sum("_chg").alias("_inner"))
     w_s = Window.partitionBy(*keys).orderBy(b)
     carry = (summary
@@ -194,12 +234,6 @@ def arrival_fragments(df: DataFrame, size: Duration, ts: str = "ts", seq: str =
 # First-event anchored windows and throttle
 # --------------------------------------------------------------------------
 
-def _differs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Element-wise inequality where two nulls count as equal."""
-    na, nb = pd.isna(a), pd.isna(b)
-    return np.where(na | nb, na != nb, a != b).astype(bool)
-
-
 def fold_segment(t: np.ndarray, size_us: int, start: Optional[int], pm_carry: Optional[int]):
     """Greedy opener chain over one run of a key in arrival order.
 
@@ -234,38 +268,35 @@ def fold_segment(t: np.ndarray, size_us: int, start: Optional[int], pm_carry: Op
     return opener, opens, start, int(pm[-1])
 
 
-def _fold_openers(batches, size_us: int, group: list[str]):
-    """Fold groups streamed batch by batch; rows arrive sorted by (group, seq) and
-    carry the window that is open when their group begins."""
-    current = start = start_seq = pm_carry = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        t = pdf["_t"].to_numpy(dtype=np.int64)
-        sq = pdf["_seq"].to_numpy(dtype=np.int64)
-        cols = [pdf[c].to_numpy() for c in group]
-        n = len(pdf)
-        change = np.zeros(n, dtype=bool)
-        for col in cols:
-            change[1:] |= _differs(col[1:], col[:-1])
-        name = lambda i: tuple(None if pd.isna(c[i]) else c[i] for c in cols)
-        change[0] = name(0) != current
-        bounds = sorted({0, n, *np.flatnonzero(change).tolist()})
-        win_start = np.empty(n, dtype=np.int64)
-        win_seq = np.empty(n, dtype=np.int64)
-        is_open = np.zeros(n, dtype=bool)
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            if change[lo]:
-                start, start_seq, pm_carry = int(pdf["_start_t"].iat[lo]), int(pdf["_start_seq"].iat[lo]), None
-            opener, opens, new_start, pm_carry = fold_segment(t[lo:hi], size_us, start, pm_carry)
-            carried = opener < 0
-            win_start[lo:hi] = np.where(carried, start, t[lo:hi][np.maximum(opener, 0)])
-            win_seq[lo:hi] = np.where(carried, start_seq, sq[lo:hi][np.maximum(opener, 0)])
-            is_open[lo:hi] = opens
-            start, start_seq = new_start, int(win_seq[hi - 1])
-        current = name(n - 1)
-        yield pdf.drop(columns=["_t", "_seq", "_start_t", "_start_seq"]).assign(
-            window_start_us=win_start, window_seq=win_seq, opens_window=is_open)
+def _fold_openers(size_us: int, columns: list[str]):
+    """Fold groups streamed batch by batch; rows arrive sorted by (group, seq), the
+    first of a group is marked and carries the window that is open when it begins.
+    The user's columns pass through as they are."""
+    def run(batches):
+        start = start_seq = pm_carry = None
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            col = dict(zip(b.schema.names, b.columns))
+            t, sq, first_t, first_seq = (col[c].to_numpy() for c in ("_t", "_seq", "_start_t", "_start_seq"))
+            new = col["_new"].to_numpy(zero_copy_only=False).astype(bool)
+            bounds = sorted({0, n, *np.flatnonzero(new).tolist()})
+            win_start, win_seq = np.empty(n, np.int64), np.empty(n, np.int64)
+            is_open = np.zeros(n, bool)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                if new[lo]:
+                    start, start_seq, pm_carry = int(first_t[lo]), int(first_seq[lo]), None
+                opener, opens, new_start, pm_carry = fold_segment(t[lo:hi], size_us, start, pm_carry)
+                carried = opener < 0
+                win_start[lo:hi] = np.where(carried, start, t[lo:hi][np.maximum(opener, 0)])
+                win_seq[lo:hi] = np.where(carried, start_seq, sq[lo:hi][np.maximum(opener, 0)])
+                is_open[lo:hi] = opens
+                start, start_seq = new_start, int(win_seq[hi - 1])
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in range(len(columns))), pa.array(win_start), pa.array(win_seq), pa.array(is_open)],
+                [*columns, "window_start_us", "window_seq", "opens_window"])
+    return run
 
 
 def bucket_exits(t: np.ndarray, size_us: int, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -293,57 +324,100 @@ def bucket_exits(t: np.ndarray, size_us: int, before: int) -> tuple[np.ndarray,
     return entries[keep], exits[keep]
 
 
-def _exits_of(size_us: int, by: list[str]):
+def _exits_of(size_us: int, place: list[str]):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("_seq")
         t, sq, ahead = (table[c].to_numpy() for c in ("_t", "_seq", "_pm_before"))
         before, rises = int(ahead[0]), t > ahead
         t, sq = t[rises], sq[rises]
         entries, exits = bucket_exits(t, size_us, before)
-        one = table.slice(0, 1).select([*by, "_piece", "_piece_t", "_aw_bucket"])
-        for name, values in (("_entry_t", t[entries]), ("_exit_t", t[exits]), ("_exit_seq", sq[exits])):
-            one = one.append_column(name, pa.array([values], pa.list_(pa.int64())))
-        return one
+        ends = t[entries]
+        one = table.slice(0, 1).select(place)
+        rows = one.take(pa.array(np.zeros(len(entries), np.int64)))
+        for name, values in (("_lo", np.append(before, ends[:-1])[:len(ends)]), ("_hi", ends), ("_exit_t", t[exits]),
+                             ("_exit_seq", sq[exits]), ("_before", np.full(len(ends), before))):
+            rows = rows.append_column(name, pa.array(values.astype(np.int64)))
+        return rows
     return run
 
 
-def _entry_states(size_us: int, by: list[str], fields: list[str]):
-    """Compose the buckets of each piece in order: the window open when a bucket begins."""
-    def run(batches):
-        current = t = sq = None
-        for b in batches:
-            starts, seqs = [], []
-            for row in b.to_pylist():
-                name = repr([row[c] for c in by] + [row["_piece"]])
-                if name != current:
-                    current, t, sq = name, row["_piece_t"], row["_piece"]
-                starts.append(t)
-                seqs.append(sq)
-                i = bisect.bisect_left(row["_entry_t"], t + size_us)
-                if i < len(row["_entry_t"]):
-                    t, sq = row["_exit_t"][i], row["_exit_seq"][i]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in fields], pa.array(starts, pa.int64()),
-                                              pa.array(seqs, pa.int64())], [*fields, "_open_t", "_open_seq"])
-    return run
-
+def compose(tables: DataFrame, size_us: int, by: list[str]) -> DataFrame:
+    """Tables of pairs of neighbouring nodes, composed to the table of their parent.
 
-def _open_at_buckets(rest: DataFrame, size_us: int, by: list[str]) -> DataFrame:
+    A table's rows are steps: an open window whose end lies in (lo, hi] leaves the
+    node as the window opened at exit; one that ends after the last hi leaves it
+    unchanged.  The left node's exits are looked up in the right node's steps (the
+    first hi at or after the exit's end), in one sorted pass over the two tables.
+    Of the right node's own steps those stay that a window passing through the
+    left node unchanged can reach; neighbouring steps with one exit become one.
+    """
+    pair = [*by, "_piece", "_node"]
+    side = F.pmod("_node", F.lit(2))
+    up = tables.withColumn("_side", side).withColumn("_node", F.shiftright("_node", 1))
+    left = F.col("_side") == 0
+    up = up.withColumn("_key", F.when(left, F.col("_exit_t") + F.lit(size_us)).otherwise(F.col("_hi")))
+    falling = Window.partitionBy(*pair).orderBy(F.col("_key").desc(), F.col("_side").desc()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*pair)
+    found = up.withColumns({
+        "_next": F.last(F.when(~left, F.struct("_exit_t", "_exit_seq")), ignorenulls=True).over(falling),
+        "_left_before": F.max(F.when(left, F.col("_before"))).over(whole)})
+    out = found.filter(left | F.col("_left_before").isNull() | (F.col("_lo") < F.col("_left_before") + F.lit(size_us)))
+    passed = F.when(left & F.col("_next").isNotNull(), F.col("_next")).otherwise(F.struct("_exit_t", "_exit_seq"))
+    rising = Window.partitionBy(*pair).orderBy("_hi")
+    out = out.select(*pair, "_hi", passed.alias("_exit"), F.coalesce("_left_before", "_before").alias("_before"))
+    # of neighbouring steps with one exit the last one will do
+    out = out.withColumn("_after", F.lead("_exit._exit_t").over(rising)).filter(~F.col("_exit._exit_t").eqNullSafe(F.col("_after")))
+    return out.select(*pair, F.coalesce(F.lag("_hi").over(rising), "_before").alias("_lo"), "_hi", "_exit.*", "_before")
+
+
+def _open_at_buckets(rest: DataFrame, size_us: int, by: list[str]) -> Optional[DataFrame]:
     """(keys, piece, bucket) -> start of the window open when the bucket begins, for
-    every piece that crosses a bucket edge (one row per piece and bucket)."""
-    place = [*by, "_piece", "_aw_bucket"]
-    crossing = rest.filter(F.col("_piece_bucket") < F.col("_aw_bucket")).select(*by, "_piece").distinct()
-    # a bucket without a rising maximum has a row too: it passes the open window on
-    records = (rest.select(*place, "_piece_t", "_seq", "_t", "_pm_before")
-                   .join(crossing, [*by, "_piece"], "left_semi"))
-    fields = [records.schema[c] for c in (*by, "_piece", "_piece_t", "_aw_bucket")]
-    longs = T.ArrayType(T.LongType())
-    exits = records.groupBy(*place).applyInArrow(
-        _exits_of(size_us, by), T.StructType(fields + [T.StructField(c, longs) for c in ("_entry_t", "_exit_t", "_exit_seq")]))
-    states = (exits.repartition(*by, "_piece").sortWithinPartitions(*place)
-                   .mapInArrow(_entry_states(size_us, by, place), T.StructType(
-                       [records.schema[c] for c in place]
-                       + [T.StructField(c, T.LongType()) for c in ("_open_t", "_open_seq")])))
-    return states
+    every piece that crosses a bucket edge (one row per piece and bucket).
+
+    Buckets are the leaves of a binary tree for each piece.  Going up, the tables
+    of two neighbours are composed to their parent's; going down, the window that
+    is open at a node is the one its left child begins with, and its right child
+    begins with what the left child's table makes of it.  A task holds the tables
+    of two nodes at most, and the number of rounds is the logarithm of the largest
+    number of buckets in a piece.
+    """
+    place = [*by, "_piece", "_node"]
+    crossing = rest.filter(F.col("_piece_bucket") < F.col("_aw_bucket"))
+    # places of the buckets that hold rows of a piece, in order
+    used = rest.select(*by, "_piece", "_piece_t", "_aw_bucket").join(
+        crossing.select(*by, "_piece").distinct(), [*by, "_piece"], "left_semi").distinct()
+    used = used.withColumn("_node", (F.row_number().over(Window.partitionBy(*by, "_piece").orderBy("_aw_bucket")) - 1).cast("long"))
+    used = kept_table(used, "anchored-buckets")
+    most = used.agg(F.max("_node")).first()[0]
+    if most is None:
+        return None
+    records = rest.select(*by, "_piece", "_aw_bucket", "_seq", "_t", "_pm_before").join(
+        used.drop("_piece_t"), [*by, "_piece", "_aw_bucket"])
+    fields = [records.schema[c] for c in place]
+    names = ("_lo", "_hi", "_exit_t", "_exit_seq", "_before")
+    table = records.groupBy(*place).applyInArrow(_exits_of(size_us, place), T.StructType(
+        fields + [T.StructField(c, T.LongType()) for c in names]))
+    tables = [kept_table(table, "anchored-steps")]
+    for _ in range(int(most).bit_length() - 1):
+        tables.append(kept_table(compose(tables[-1], size_us, by), "anchored-steps"))
+    # down: the root begins with the piece's own first window
+    states = used.filter("_node = 0").select(*by, "_piece", F.lit(0).cast("long").alias("_node"), F.col("_piece_t").alias("_open_t"),
+                                             F.col("_piece").alias("_open_seq"))
+    for level in reversed(range(int(most).bit_length())):
+        there = used.select(*by, "_piece", F.shiftright("_node", level).alias("_node")).distinct()
+        below = states.withColumn("_node", F.shiftleft("_node", 1)).join(tables[level], place, "left")
+        ended = F.when(F.col("_hi") >= F.col("_open_t") + F.lit(size_us), F.col("_hi"))
+        moved = below.groupBy(*place).agg(
+            F.first("_open_t").alias("_open_t"), F.first("_open_seq").alias("_open_seq"),
+            F.min_by(F.struct("_exit_t", "_exit_seq"), ended).alias("_to"))
+        children = F.array(
+            F.struct(F.col("_node"), F.col("_open_t"), F.col("_open_seq")),
+            F.struct((F.col("_node") + 1).alias("_node"), F.coalesce("_to._exit_t", "_open_t").alias("_open_t"),
+                     F.coalesce("_to._exit_seq", "_open_seq").alias("_open_seq")))
+        states = moved.select(*by, "_piece", F.inline(children)).join(there, place, "left_semi")
+    states = kept_table(states, "anchored-states")
+    return states.join(used, place).select(*by, "_piece", "_aw_bucket", "_open_t", "_open_seq")
 
 
 def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
@@ -362,23 +436,27 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     by (keys, piece, bucket).  Where a piece crosses bucket edges, each bucket is
     first resolved for every window that can be open at its edge (openers lie on
     the strictly rising running maxima, so the next opener is a function of the
-    open start), and these small tables are composed along the buckets: no task
-    holds more rows than a bucket, however long a key goes without a pause.
+    open start); these tables are composed in pairs up a tree and evaluated down
+    it, in Spark joins: no task holds more rows than a bucket or two tables,
+    however long a key goes without a pause.  Tables lie in the shared
+    checkpoint folder; data of one bucket needs none.
     Adds ``window_start_us``, ``window_seq`` (opener's sequence number) and
     ``opens_window``.
 
     The fold is opaque to Catalyst, so the input columns of the rest cross into
-    Python: select the columns you need first.  The table of a bucket has at
-    most as many entries as rising maxima within one ``size`` of its start; the
-    composition streams through them, one piece per task.
+    Python (as Arrow, unchanged): select the columns you need first.
     """
+    prepare_session(df.sparkSession)
     keys = list(keys)
     size_us = duration_us(size)
     base, by = _by_keys(df, keys)
+    auto = bucket_rows == "auto"
+    buckets = bucket_edges(df, seq) if auto else None
+    base = (_bucketed(base, "_aw_bucket", F.col(seq).cast("long"), buckets) if auto
+            else with_bucket(base, "_aw_bucket", seq, bucket_rows))
     # an event without a time joins the open window, or opens one before all others
     base = base.withColumn("_t", F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(1 << 62)))) \
-        .withColumn("_aw_bucket", _bucket(seq, _width(df, seq, bucket_rows))) \
-        .withColumn("_seq", F.coalesce(F.col(seq).cast("long"), F.lit(_NO_SEQ)))
+        .withColumn("_seq", _ordered(seq))
     with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=by, inclusive=False,
                          bucket_col="_aw_bucket")
     cut = F.col("_pm_before").isNull() | (F.col("_t") >= F.col("_pm_before") + F.lit(size_us))
@@ -394,19 +472,18 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
 
     rest = pieces.filter(~first)
     place = [*by, "_piece", "_aw_bucket"]
-    parts = [num_partitions] if num_partitions else []
-    ordered = (rest.repartition(*parts, *[F.col(c) for c in place])
-                   .join(_open_at_buckets(rest, size_us, by), place, "left")
-                   .sortWithinPartitions(*place, seq)
-                   .select(*df.columns, "_piece", "_aw_bucket", "_t", "_seq",
-                           F.coalesce("_open_t", "_piece_t").alias("_start_t"),
-                           F.coalesce("_open_seq", "_piece").alias("_start_seq")))
-    out_schema = T.StructType([*df.schema.fields, T.StructField("_piece", T.LongType()),
-                               T.StructField("_aw_bucket", T.LongType()),
-                               T.StructField("window_start_us", T.LongType()),
+    shuffled = rest.repartition(*([num_partitions] if num_partitions else []), *[F.col(c) for c in place])
+    opened = None if auto and buckets.single else _open_at_buckets(rest, size_us, by)
+    start_t, start_seq = F.col("_piece_t"), F.col("_piece")
+    if opened is not None:
+        shuffled = shuffled.join(opened, place, "left")
+        start_t, start_seq = F.coalesce("_open_t", start_t), F.coalesce("_open_seq", start_seq)
+    ordered = shuffled.select(
+        *df.columns, "_t", "_seq", start_t.alias("_start_t"), start_seq.alias("_start_seq"),
+        (F.row_number().over(Window.partitionBy(*place).orderBy(seq)) == 1).alias("_new"))
+    out_schema = T.StructType([*df.schema.fields, T.StructField("window_start_us", T.LongType()),
                                T.StructField("window_seq", T.LongType()), T.StructField("opens_window", T.BooleanType())])
-    group = [*keys, "_piece", "_aw_bucket"]
-    folded = ordered.mapInPandas(lambda it: _fold_openers(it, size_us, group), out_schema).drop("_piece", "_aw_bucket")
+    folded = ordered.mapInArrow(_fold_openers(size_us, df.columns), out_schema)
     return settled.unionByName(folded).withColumn("window_seq", F.nullif("window_seq", F.lit(_NO_SEQ)))
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine needs regardless of who built the session: timestamps
 # without zone are read as UTC (the reference treats naive times as UTC) and
@@ -25,10 +26,12 @@ _REQUIRED = {
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply the engine's session settings to an existing session (idempotent)."""
+    """Apply the engine's session settings to an existing session and send the
+    package to its executors (idempotent)."""
     for key, value in _REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
@@ -52,6 +55,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def kept_table(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder and read it back
+    (cuts lineage, and survives lost executors).  It stays until
+    ``drop_kept_tables``, since results may still read it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    kept = getattr(spark.sparkContext, "_windrose_kept", None)
+    if kept is None:
+        kept = spark.sparkContext._windrose_kept = []
+    kept.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_kept_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has written; call it when no
+    result that was built on them is read any more.  Returns how many there were."""
+    kept = getattr(spark.sparkContext, "_windrose_kept", [])
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in kept:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    n = len(kept)
+    kept.clear()
+    return n
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per session.
 
