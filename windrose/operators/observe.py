@@ -12,12 +12,12 @@ from functools import reduce
 from operator import and_
 from typing import Mapping, Optional, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrose.functions.scalar import Duration, duration_us, floor_window, guarded_ratio
 from windrose.operators.sequence import prefix_sum, previous_value
+from windrose.session import kept_table
 
 # Fixed values of the reference's metrics collector.
 RATE_HORIZON = "10 seconds"
@@ -203,35 +203,52 @@ def window_summary(records: DataFrame, order: str = "window_start", max_windows:
 # --------------------------------------------------------------------------
 
 def trailing_rate(df: DataFrame, ts: str = "ts", horizon: Duration = RATE_HORIZON,
-                  keys: Sequence[str] = ("source",), span: Duration = "5 minutes",
-                  out: str = "rate_eps") -> DataFrame:
+                  keys: Sequence[str] = ("source",), span: Optional[Duration] = None,
+                  out: str = "rate_eps", bucket_rows="auto") -> DataFrame:
     """Per event, events of the same key in ``[t - horizon, t]`` / horizon seconds.
 
-    The range frame is partitioned by (keys, time span) instead of keys alone;
-    rows in the last ``horizon`` of a span are copied into the next span as
-    context ("halo") so the frame stays exact across span edges.  A window
-    partition holds one key's events of one span: pick ``span`` so that the
-    hottest key's events per span fit a task; the halo adds horizon / span of
-    the rows (10 s / 5 min: about 3 %).
+    The count is a difference of two ranks: events up to ``t`` less events before
+    ``t - horizon``.  Events are counted per (key, microsecond) first; both edges
+    of every counted instant are places in one order (the old edge comes before
+    the events of its instant), so one two-level prefix sum gives both ranks.  A
+    window partition is a bucket of that order, bounded in rows however many
+    events a key has within the horizon.  Events without a time have no rate.
+
+    Where a key is known to have few events in a time ``span``, naming that span
+    gives a cheaper plan: one range frame per (key, span).
     """
-    keys = list(keys)
+    if span is not None:
+        return _trailing_rate_by_span(df, ts, horizon, list(keys), span, out)
+    h = duration_us(horizon)
+    keyed = df.withColumns({"_rate_key": F.struct(*[F.col(k) for k in keys]), "_t": F.unix_micros(F.col(ts))})
+    counted = keyed.filter(F.col("_t").isNotNull()).groupBy("_rate_key", "_t").agg(F.count(F.lit(1)).alias("_n"))
+    edges = F.array(F.struct((F.col("_t") * 2 + 1).alias("_place"), F.col("_n"), F.lit(True).alias("_new")),
+                    F.struct(((F.col("_t") - h) * 2).alias("_place"), F.lit(0).cast("long").alias("_n"), F.lit(False).alias("_new")))
+    marks = counted.select("_rate_key", "_t", F.inline(edges))
+    ranked = prefix_sum(marks, "_n", "_rank", seq="_place", keys=["_rate_key"], bucket_rows=bucket_rows)
+    rates = (ranked.groupBy("_rate_key", "_t")
+             .agg((F.max(F.when(F.col("_new"), F.col("_rank"))) - F.max(F.when(~F.col("_new"), F.col("_rank")))).alias("n_trailing")))
+    return (keyed.join(rates, ["_rate_key", "_t"], "left").withColumn(out, F.col("n_trailing") / F.lit(h / 1_000_000))
+            .drop("_rate_key", "_t"))
+
+
+def _trailing_rate_by_span(df: DataFrame, ts: str, horizon: Duration, keys: list[str], span: Duration, out: str) -> DataFrame:
+    """Range frames by (keys, time span).  Rows in the last ``horizon`` of a span are
+    copied into the next one as context ("halo"), so the frame is exact across span edges."""
     h = duration_us(horizon)
     s = max(duration_us(span), h)
     t = F.unix_micros(F.col(ts))
     own = t - F.pmod(t, F.lit(s))
     home = F.struct((own / F.lit(s)).cast("long").alias("_span"), F.lit(False).alias("_halo"))
     copy = F.struct(((own / F.lit(s)).cast("long") + 1).alias("_span"), F.lit(True).alias("_halo"))
-    # one pass: rows in the last `horizon` of their span also go to the next span
     placed = (df.withColumn("_t", t)
                 .withColumn("_p", F.explode(F.when(F.pmod(t, F.lit(s)) >= F.lit(s - h), F.array(home, copy))
                                             .otherwise(F.array(home))))
                 .select("*", "_p.*").drop("_p"))
     w = Window.partitionBy(*keys, "_span").orderBy("_t").rangeBetween(-h, 0)
-    return (placed
-                .withColumn("n_trailing", F.count(F.lit(1)).over(w))
-                .filter(~F.col("_halo"))
-                .withColumn(out, F.col("n_trailing") / F.lit(h / 1_000_000))
-                .drop("_t", "_span", "_halo"))
+    return (placed.withColumn("n_trailing", F.when(F.col("_t").isNotNull(), F.count(F.lit(1)).over(w)))
+            .filter(~F.col("_halo")).withColumn(out, F.col("n_trailing") / F.lit(h / 1_000_000))
+            .drop("_t", "_span", "_halo"))
 
 
 def tick_range(t_us: Column, period_us: int, horizon_us: int) -> tuple[Column, Column]:
@@ -266,6 +283,45 @@ def rate_ticks(df: DataFrame, ts: str = "ts", period: Duration = SNAPSHOT_PERIOD
               .withColumn("eps", F.col("n") / F.lit(h / 1_000_000)))
 
 
+def _tick_marks(ledger: DataFrame, aggregates: Optional[DataFrame], period: Duration, horizon: Duration) -> DataFrame:
+    """(_kind, _dropped, _first, _last): every event a meter counts and its range of ticks.
+
+    One pass over the ledger: a row marks its receipt and, unless dropped, its processing.
+    """
+    def mark(t: Column, kind: str, dropped: Column) -> Column:
+        return F.struct(t.alias("_t"), F.lit(kind).alias("_kind"), dropped.alias("_dropped"))
+
+    dropped = F.col("dropped")
+    marks = ledger.select(F.inline(F.array(
+        mark(F.unix_micros("received_at"), "ingest", dropped),
+        # no time, no mark: a dropped event is not processed
+        mark(F.when(~dropped, F.unix_micros("processed_at")), "process", F.lit(False)))))
+    if aggregates is not None:
+        marks = marks.unionByName(_aggregate_marks(aggregates))
+    return _ranged(marks, period, horizon)
+
+
+def _aggregate_marks(aggregates: DataFrame) -> DataFrame:
+    return aggregates.select(F.unix_micros("window.end").alias("_t"), F.lit("agg").alias("_kind"), F.lit(False).alias("_dropped"))
+
+
+def _ranged(marks: DataFrame, period: Duration, horizon: Duration) -> DataFrame:
+    first, last = tick_range(F.col("_t"), duration_us(period), duration_us(horizon))
+    return marks.filter(F.col("_t").isNotNull()).select("_kind", "_dropped", first.alias("_first"), last.alias("_last"))
+
+
+def latest_kpi(ledger: DataFrame, aggregates: Optional[DataFrame] = None, period: Duration = SNAPSHOT_PERIOD,
+               horizon: Duration = RATE_HORIZON) -> DataFrame:
+    """Tick and totals of the last snapshot of the series, in one aggregate: it stands at
+    the last tick that any event reaches, and every event with a tick has been counted by then."""
+    kind = F.col("_kind")
+    seen = _tick_marks(ledger, aggregates, period, horizon).filter(F.col("_first") <= F.col("_last"))
+    return (seen.agg(F.max("_last").alias("tick_us"), F.count_if(kind == "ingest").alias("ingested_total"),
+                     F.count_if((kind == "ingest") & F.col("_dropped")).alias("dropped_total"),
+                     F.count_if(kind == "process").alias("processed_total"), F.count_if(kind == "agg").alias("aggregated_total"))
+            .filter(F.col("tick_us").isNotNull()))
+
+
 def kpi_tick_partials(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
                       period: Duration = SNAPSHOT_PERIOD, horizon: Duration = RATE_HORIZON) -> DataFrame:
     """Per tick, the additive counts behind the snapshot series.
@@ -273,21 +329,20 @@ def kpi_tick_partials(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
     Partials of disjoint slices of the ledger (e.g. micro-batches) add up
     tick by tick, which is what the streaming publisher relies on.
     """
-    p, h = duration_us(period), duration_us(horizon)
-    marks = ledger.select(F.unix_micros("received_at").alias("_t"), F.lit("ingest").alias("_kind"),
-                          F.col("dropped").alias("_dropped"))
-    marks = marks.unionByName(processed_rows(ledger).select(
-        F.unix_micros("processed_at").alias("_t"), F.lit("process").alias("_kind"),
-        F.lit(False).alias("_dropped")))
-    if aggregates is not None:
-        marks = marks.unionByName(aggregates.select(F.unix_micros("window.end").alias("_t"),
-                                                    F.lit("agg").alias("_kind"), F.lit(False).alias("_dropped")))
-    first, last = tick_range(F.col("_t"), p, h)
+    return _counted_ticks(_tick_marks(ledger, aggregates, period, horizon), period)
+
+
+def aggregate_tick_partials(aggregates: DataFrame, period: Duration = SNAPSHOT_PERIOD,
+                            horizon: Duration = RATE_HORIZON) -> DataFrame:
+    """The same counts for aggregated records alone."""
+    return _counted_ticks(_ranged(_aggregate_marks(aggregates), period, horizon), period)
+
+
+def _counted_ticks(marks: DataFrame, period: Duration) -> DataFrame:
+    p = duration_us(period)
     kind, dropped = F.col("_kind"), F.col("_dropped")
     # counted per range of ticks first, so that counts are exploded, not events
-    counted = (marks.filter(F.col("_t").isNotNull())
-               .select("_kind", "_dropped", first.alias("_first"), last.alias("_last"))
-               .groupBy("_first", "_last").agg(
+    counted = (marks.groupBy("_first", "_last").agg(
                    F.count_if(kind == "ingest").alias("ingest_n"), F.count_if(kind == "process").alias("process_n"),
                    F.count_if(kind == "agg").alias("agg_n"),
                    F.count_if((kind == "ingest") & dropped).alias("dropped_n")))
@@ -326,19 +381,29 @@ def kpi_series(ledger: DataFrame, aggregates: Optional[DataFrame] = None,
     """ST7 / ST9: the snapshot series at every tick where a meter is non-zero.
 
     The per-tick table (one row per tick, bounded by span / period) is read by
-    both levels of the prefix sums, and the series by both levels of the
-    history's lag; both are persisted (memory and disk) so the ledger is
-    scanned and exploded once, and a lost block is recomputed from lineage.
+    both levels of the prefix sums, so it is written once to the shared folder
+    (``session.drop_kept_tables`` deletes it).
     """
-    per_tick = kpi_tick_partials(ledger, aggregates, period, horizon).persist(StorageLevel.MEMORY_AND_DISK)
-    # the series (same size) feeds the history's lag and top-k branches: kept too
-    return kpi_from_partials(per_tick, period, horizon, bucket_ticks).persist(StorageLevel.MEMORY_AND_DISK)
+    per_tick = kept_table(kpi_tick_partials(ledger, aggregates, period, horizon), "kpi-ticks")
+    return kpi_from_partials(per_tick, period, horizon, bucket_ticks)
+
+
+def newest_per_tick(samples: DataFrame, period: Duration = SNAPSHOT_PERIOD, max_samples: int = LATENCY_SAMPLES) -> DataFrame:
+    """The newest ``max_samples`` samples up to each tick since the tick before: what a
+    slice of the ledger adds to the latencies of any snapshot.  Slices are merged by
+    applying it to their union."""
+    t = F.unix_micros("processed_at")
+    w = Window.partitionBy("_tick").orderBy(*[F.col(c).desc() for c in PROCESSING_ORDER])
+    return (samples.select(*PROCESSING_ORDER, "latency_ms", (t + F.pmod(-t, F.lit(duration_us(period)))).alias("_tick"))
+            .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_samples).drop("_tick", "_r"))
 
 
 def dedup_consecutive(df: DataFrame, id_cols: Sequence[str], order: str,
-                      keep_last: Optional[int] = HISTORY_SIZE, bucket_rows: int = 1 << 36) -> DataFrame:
+                      keep_last: Optional[int] = HISTORY_SIZE, bucket_rows="auto") -> DataFrame:
     """Drop rows whose id tuple equals the previous row's (null-safe), then
     keep the last ``keep_last`` rows.  The lag is the two-level form (R5)."""
+    # both levels of the lag read the rows
+    df = kept_table(df, "dedup-rows")
     ident = F.struct(*[F.col(c) for c in id_cols])
     prev = previous_value(df.withColumn("_id", ident), "_id", "_prev_id", seq=order, bucket_rows=bucket_rows)
     kept = prev.filter(F.col("_prev_id").isNull() | ~F.col("_id").eqNullSafe(F.col("_prev_id"))) \
@@ -360,59 +425,69 @@ def snapshot_time(ledger: DataFrame) -> Column:
     return ledger.agg(F.max("processed_at")).scalar()
 
 
+def _recent_samples(ledger: DataFrame, max_samples: int) -> DataFrame:
+    """The last ``max_samples`` processed latencies of every source."""
+    return most_recent(processed_rows(ledger).select("source", *PROCESSING_ORDER, "latency_ms"), max_samples,
+                       PROCESSING_ORDER, ["source"])
+
+
 def per_source_processing(ledger: DataFrame, horizon: Duration = RATE_HORIZON,
                           max_samples: int = LATENCY_SAMPLES) -> DataFrame:
-    """Ingest totals and processing stats per source over the union of keys
-    (full outer join; the absent side becomes 0 / 0.0 / null stats)."""
+    """Ingest totals and processing stats per source over the union of keys.
+
+    Ingest and processing are two sides of one ledger, so one aggregate by source
+    holds both (a source without processed events has 0 / 0.0 there and null
+    stats); the latencies of the last samples join it.
+    """
+    per = _by_source(ledger, horizon, _recent_samples(ledger, max_samples))
+    return per.drop("recent_ingested", "recent_processed")
+
+
+def _by_source(ledger: DataFrame, horizon: Duration, samples: DataFrame) -> DataFrame:
     h = duration_us(horizon)
     now_us = F.unix_micros(snapshot_time(ledger))
-    ingest = ledger.groupBy("source").agg(F.count(F.lit(1)).alias("ingested"),
-                                         F.count_if("dropped").alias("dropped"))
-    proc = (processed_rows(ledger)
-            .withColumn("_p", F.unix_micros("processed_at"))
-            .groupBy("source")
-            .agg(F.count(F.lit(1)).alias("processed_total"),
-                 F.count_if((F.col("_p") >= now_us - h) & (F.col("_p") <= now_us)).alias("_recent")))
-    lat = latency_stats(ledger, keys=["source"], max_samples=max_samples)
-    proc = proc.join(lat, "source", "left")
-    return (ingest.join(proc, "source", "full_outer")
-                  .select("source",
-                          F.coalesce("ingested", F.lit(0)).alias("ingested"),
-                          F.coalesce("dropped", F.lit(0)).alias("dropped"),
-                          F.coalesce("processed_total", F.lit(0)).alias("processed_total"),
-                          F.coalesce(F.col("_recent") / F.lit(h / 1_000_000), F.lit(0.0)).alias("process_eps"),
-                          "latency_avg", "latency_p50", "latency_p95"))
+    within = lambda t: (F.unix_micros(t) >= now_us - h) & (F.unix_micros(t) <= now_us)
+    handled = ~F.col("dropped")
+    totals = ledger.groupBy("source").agg(
+        F.count(F.lit(1)).alias("ingested"), F.count_if("dropped").alias("dropped"),
+        F.count_if(handled).alias("processed_total"), F.count_if(within("received_at")).alias("recent_ingested"),
+        F.count_if(handled & within("processed_at")).alias("recent_processed"))
+    lat = nearest_rank(samples, "latency_ms", ["source"], mode="floor", prefix="latency_").withColumnRenamed("source", "_source")
+    return (totals.join(lat, F.col("source").eqNullSafe(F.col("_source")), "left")
+            .select("source", "ingested", "dropped", "processed_total",
+                    (F.col("recent_processed") / F.lit(h / 1_000_000)).alias("process_eps"),
+                    "latency_avg", "latency_p50", "latency_p95", "recent_ingested", "recent_processed"))
 
 
 def metrics_snapshot(ledger: DataFrame, aggregates: DataFrame, records: DataFrame,
                      horizon: Duration = RATE_HORIZON) -> DataFrame:
     """The whole snapshot as one row.
 
-    The ledger totals are one aggregate; each other part (aggregates, latency,
-    window summary, sources) is one scalar subquery returning a struct, expanded
-    at the end, so every part is computed once and a part nobody selects not at
-    all.  ``by_source`` is an array with one struct per source, in order of the
-    source (null first): totals, drops and processing; ``last_window`` the last
-    window's record.
+    The per-source table (one aggregate of the ledger and the last latencies of
+    each source) gives the totals and ``by_source``; the overall latencies are
+    the last of all sources' last ones, so they come from the same bounded rows.
+    Aggregates and window records are one aggregate each, as scalar subqueries
+    returning a struct.  ``by_source`` is an array with one struct per source, in
+    order of the source (null first): totals, drops and processing;
+    ``last_window`` the last window's record.
     """
     h = duration_us(horizon)
+    secs = F.lit(h / 1_000_000)
     now_us = F.unix_micros(snapshot_time(ledger))
-    recv, proc_t = F.unix_micros("received_at"), F.unix_micros("processed_at")
-    in_horizon = lambda t: (t >= now_us - h) & (t <= now_us)
-    totals = ledger.agg(
-        F.count(F.lit(1)).alias("ingested_total"),
-        F.count_if("dropped").alias("dropped_total"),
-        F.count_if(~F.col("dropped")).alias("processed_total"),
-        (F.count_if(in_horizon(recv)) / F.lit(h / 1e6)).alias("ingest_eps"),
-        (F.count_if(~F.col("dropped") & in_horizon(proc_t)) / F.lit(h / 1e6)).alias("process_eps"))
+    samples = _recent_samples(ledger, LATENCY_SAMPLES)
+    per = _by_source(ledger, horizon, samples)
+    one = F.struct(*[F.col(c) for c in per.columns if not c.startswith("recent_")])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    totals = per.agg(
+        total("ingested").alias("ingested_total"), total("dropped").alias("dropped_total"),
+        total("processed_total").alias("processed_total"), (total("recent_ingested") / secs).alias("ingest_eps"),
+        (total("recent_processed") / secs).alias("process_eps"), F.sort_array(F.collect_list(one)).alias("by_source"))
+    end = F.unix_micros("window.end")
     agg_part = aggregates.agg(
         F.count(F.lit(1)).alias("aggregated_total"),
-        (F.count_if(in_horizon(F.unix_micros("window.end"))) / F.lit(h / 1e6)).alias("aggregate_eps"))
-    lat = latency_stats(ledger)
-    summ = window_summary(records)
-    per = per_source_processing(ledger, horizon)
-    sources = per.agg(F.sort_array(F.collect_list(F.struct(*per.columns))).alias("by_source"))
-    parts = {"_p0": agg_part, "_p1": lat, "_p2": summ, "_p3": sources}
+        (F.count_if((end >= now_us - h) & (end <= now_us)) / secs).alias("aggregate_eps"))
+    lat = nearest_rank(most_recent(samples, LATENCY_SAMPLES, PROCESSING_ORDER), "latency_ms", mode="floor", prefix="latency_")
+    parts = {"_p0": agg_part, "_p1": lat, "_p2": window_summary(records)}
     with_parts = totals.select("*", *[p.select(F.struct(*p.columns)).scalar().alias(n) for n, p in parts.items()])
     return with_parts.select(
         *totals.columns, *[F.col(f"{n}.{c}").alias(c) for n, p in parts.items() for c in p.columns],
@@ -435,15 +510,25 @@ def kpi_history(ledger: DataFrame, aggregates: Optional[DataFrame] = None, keep_
     the ticks whose window still holds it, so at most
     ``keep_last * max_samples`` rows reach the rank step.
     """
+    return history_with_latency(kpi_series(ledger, aggregates, period, horizon), processed_rows(ledger), keep_last, max_samples)
+
+
+def history_with_latency(series: DataFrame, samples: DataFrame, keep_last: int = HISTORY_SIZE,
+                         max_samples: int = LATENCY_SAMPLES) -> DataFrame:
+    """The last ``keep_last`` changed snapshots of a series with the latency statistics
+    of the samples (processed_at, arrival_seq, latency_ms) processed by each.
+
+    The samples may be all of them or the newest ``max_samples`` of every tick: older
+    ones of a tick count in no statistic.
+    """
     triple = ["ingested_total", "processed_total", "aggregated_total"]
-    # <= keep_last rows read four times below: persisted once
-    hist = dedup_consecutive(kpi_series(ledger, aggregates, period, horizon), triple, "tick_us",
-                             keep_last=keep_last).persist(StorageLevel.MEMORY_AND_DISK)
+    # <= keep_last rows read four times below: written once
+    hist = kept_table(dedup_consecutive(series, triple, "tick_us", keep_last=keep_last), "kpi-history")
     # the <= keep_last tick times, and later the per-group sample counts, enter
     # the rows as columns (scalar subqueries cannot sit inside lambdas)
     ticks = hist.agg(F.array_sort(F.collect_list("tick_us")).alias("t")).scalar()
     p_us = F.unix_micros("processed_at")
-    samples = (processed_rows(ledger)
+    samples = (samples
                .select(p_us.alias("_p"), "arrival_seq", "latency_ms", ticks.alias("_ticks"))
                .filter(F.col("_p") <= F.try_element_at("_ticks", F.lit(-1)))
                # most samples predate the history: group 0 without looking at the array

@@ -111,3 +111,23 @@ def python_mapper(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
         for pdf in batches:
             yield fn(pdf)
     return df.mapInPandas(_run, out_schema)
+
+
+def table_function(handler: type, returns: str, arrow: bool = True):
+    """A user table function (a class with ``eval``, and optionally ``terminate``) as a
+    Spark UDTF; rows cross in Arrow batches."""
+    return F.udtf(handler, returnType=returns, useArrow=arrow)
+
+
+def expand_rows(df: DataFrame, function, *columns) -> DataFrame:
+    """Every row of ``df`` beside each row the table function gives for its columns
+    (a lateral join); rows it gives nothing for are left out."""
+    args = [(F.col(c) if isinstance(c, str) else c).outer() for c in columns]
+    return df.lateralJoin(function(*args))
+
+
+def over_partitions(df: DataFrame, function, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """A table function over the whole table, one call sequence per key with its rows
+    in order; it sees a row at a time, so its own state is all it holds."""
+    table = df.asTable().partitionBy(*keys)
+    return function(table.orderBy(*order) if order else table)

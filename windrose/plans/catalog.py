@@ -18,6 +18,7 @@ from windrose.operators import aggregate as A
 from windrose.operators import observe as O
 from windrose.operators import sequence as Q
 from windrose.operators import transform as P
+from windrose.plans import fixtures as X
 from windrose.plans.common import HOUR, r6, us
 from windrose.sources import ingest as I
 from windrose.sources.schema import PAYLOAD_SCHEMA
@@ -51,6 +52,29 @@ def envelope(spark, sf):
         F.size("tags").cast("bigint").alias("n_tags"))
 
 
+@query("wire_envelope")
+def wire_envelope(spark, sf):
+    """S1 to S4 over wire JSON: typed payload, open fields, tags, broken payloads kept."""
+    env = I.parse_lines(X.wire_lines(I.load_signal(spark, sf)))
+    open_field = lambda path, kind: F.try_variant_get("payload_open", path, kind)
+    flat = I.flatten_envelope(env).drop("ts", "tags")
+    return (env.select("id", "event_type", F.when(F.col("malformed"), F.col("payload_json")).alias("broken_text"),
+                       open_field("$.extra.shard", "int").alias("shard"), open_field("$.extra.path[0]", "int").alias("path0"),
+                       *[F.col("tags")[t].alias(f"tag_{t}") for t in ("service", "level", "metric", "sensor_id", "action", "success")],
+                       F.size("tags").cast("bigint").alias("n_tags"))
+            .join(flat, "id"))
+
+
+@query("ledger_times")
+def ledger_times(spark, sf):
+    """The ledger from received and processed times alone; without a drop flag, what was not processed is dropped."""
+    rows = X.handled(I.load_signal(spark, sf)).withColumn(
+        "processed_at", F.when(~F.col("dropped"), F.col("processed_at"))).drop("dropped")
+    led = I.ledger_from_times(rows, dropped=None)
+    return led.select("event_id", "source", us("received_at").alias("received_us"), us("processed_at").alias("processed_us"),
+                      r6("latency_ms").alias("latency_ms"), "dropped")
+
+
 @query("merged_counts")
 def merged_counts(spark, sf):
     """Bag union of the per-source streams, counted by source."""
@@ -185,14 +209,14 @@ def iso_window(spark, sf):
 @query("latency_ms")
 def latency_ms(spark, sf):
     """latency from the ledger's processed and received times."""
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     return led.select("arrival_seq", r6(S.latency_ms("processed_at", "received_at")).alias("latency_ms"))
 
 
 @query("round3")
 def round3(spark, sf):
     """round to 3 decimals as Python does (half-even on the exact binary value)."""
-    sig = I.load_signal(spark, sf, families=["sensor"]).filter(F.col("value").isNotNull())
+    sig = I.load_signal(spark, sf, families=["sensor"])
     return sig.select("arrival_seq", S.round3(F.col("value") / 8).alias("v3"))
 
 
@@ -290,7 +314,7 @@ def custom_aggregator(spark, sf):
 # ---------------------------------------------------------------- metrics
 
 def _processed(spark, sf):
-    return I.processed_signal(I.load_signal(spark, sf))
+    return X.processed_signal(I.load_signal(spark, sf))
 
 
 @query("admission_cap")
@@ -303,13 +327,13 @@ def admission_cap(spark, sf):
 @query("ingest_totals")
 def ingest_totals(spark, sf):
     """Ingested and dropped per source plus the total row."""
-    return O.ingest_totals(I.load_ledger(spark, sf)).select("scope", "source", "ingested", "dropped")
+    return O.ingest_totals(X.load_ledger(spark, sf)).select("scope", "source", "ingested", "dropped")
 
 
 @query("processed_totals")
 def processed_totals(spark, sf):
     """Processed per source plus the total row."""
-    return O.processed_totals(I.load_ledger(spark, sf)).select("scope", "source", "processed")
+    return O.processed_totals(X.load_ledger(spark, sf)).select("scope", "source", "processed")
 
 
 @query("aggregated_total")
@@ -321,21 +345,21 @@ def aggregated_total(spark, sf):
 @query("drop_ratio_ingested")
 def drop_ratio_ingested(spark, sf):
     """Drops over ingested."""
-    return O.drop_ratios(I.load_ledger(spark, sf)).select(
+    return O.drop_ratios(X.load_ledger(spark, sf)).select(
         "ingested", "dropped", r6("drop_ratio_ingested").alias("drop_ratio_ingested"))
 
 
 @query("drop_ratio_processed")
 def drop_ratio_processed(spark, sf):
     """Drops over processed (the dashboard's ratio)."""
-    return O.drop_ratios(I.load_ledger(spark, sf)).select(
+    return O.drop_ratios(X.load_ledger(spark, sf)).select(
         "processed", "dropped", r6("drop_ratio_processed").alias("drop_ratio_processed"))
 
 
 @query("per_source_processing")
 def per_source_processing(spark, sf):
     """Ingest and processing per source over the union of keys."""
-    out = O.per_source_processing(I.load_ledger(spark, sf))
+    out = O.per_source_processing(X.load_ledger(spark, sf))
     return out.select("source", "ingested", "dropped", "processed_total", r6("process_eps").alias("process_eps"),
                       r6("latency_avg").alias("latency_avg"), r6("latency_p50").alias("latency_p50"),
                       r6("latency_p95").alias("latency_p95"))
@@ -344,14 +368,14 @@ def per_source_processing(spark, sf):
 @query("union_sources")
 def union_sources(spark, sf):
     """Sources seen on the ingest side or the processing side."""
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     return O.union_sources(led, O.processed_rows(led))
 
 
 @query("latency_stats")
 def latency_stats(spark, sf):
     """Avg / p50 / p95 (floor rank) over the last 2000 processed latencies."""
-    out = O.latency_stats(I.load_ledger(spark, sf))
+    out = O.latency_stats(X.load_ledger(spark, sf))
     return out.select(r6("latency_avg").alias("latency_avg"), r6("latency_p50").alias("latency_p50"),
                       r6("latency_p95").alias("latency_p95"))
 
@@ -375,7 +399,7 @@ def window_summary(spark, sf):
 @query("metrics_snapshot")
 def metrics_snapshot(spark, sf):
     """The full snapshot flattened to one row of scalars."""
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     proc = _processed(spark, sf)
     out = O.metrics_snapshot(led, A.window_source_aggregates(proc, HOUR), A.window_records(proc, HOUR))
     return out.select("ingested_total", "dropped_total", "processed_total", "aggregated_total",
@@ -389,7 +413,7 @@ def metrics_snapshot(spark, sf):
 @query("snapshot_sources")
 def snapshot_sources(spark, sf):
     """The per-source part of the snapshot, one row per source, beside its totals and last window."""
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     proc = _processed(spark, sf)
     snap = O.metrics_snapshot(led, A.window_source_aggregates(proc, HOUR), A.window_records(proc, HOUR))
     last = F.col("last_window")
@@ -403,7 +427,7 @@ def snapshot_sources(spark, sf):
 @query("trailing_rate")
 def trailing_rate(spark, sf):
     """Per processed event, the source's events in the last 10 s / 10."""
-    proc = O.processed_rows(I.load_ledger(spark, sf))
+    proc = O.processed_rows(X.load_ledger(spark, sf))
     out = O.trailing_rate(proc, ts="processed_at", keys=["source"])
     return out.select("arrival_seq", "source", r6("rate_eps").alias("rate_eps"))
 
@@ -411,12 +435,12 @@ def trailing_rate(spark, sf):
 @query("rate_ticks")
 def rate_ticks(spark, sf):
     """ST7 / R4: ingest rate per source at every 2 s snapshot tick."""
-    out = O.rate_ticks(I.load_ledger(spark, sf), ts="received_at", keys=["source"])
+    out = O.rate_ticks(X.load_ledger(spark, sf), ts="received_at", keys=["source"])
     return out.select("tick_us", "source", "n", r6("eps").alias("eps"))
 
 
 def _kpi(spark, sf):
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     return O.kpi_series(led, A.window_source_aggregates(_processed(spark, sf), HOUR))
 
 
@@ -434,7 +458,7 @@ def kpi_series(spark, sf):
 @query("recent_latencies")
 def recent_latencies(spark, sf):
     """The last 2000 processed latencies per source (processing order)."""
-    proc = O.processed_rows(I.load_ledger(spark, sf))
+    proc = O.processed_rows(X.load_ledger(spark, sf))
     out = O.most_recent(proc.select("source", "processed_at", "arrival_seq", "latency_ms"), O.LATENCY_SAMPLES,
                         order=O.PROCESSING_ORDER, keys=["source"])
     return out.select("arrival_seq", "source", r6("latency_ms").alias("latency_ms"))
@@ -450,11 +474,8 @@ def last_n(spark, sf):
 @query("latest_snapshot")
 def latest_snapshot(spark, sf):
     """The latest snapshot of the series."""
-    out = O.latest(_kpi(spark, sf), order="tick_us")
-    return out.select(F.col("latest.tick_us").alias("tick_us"),
-                      F.col("latest.ingested_total").alias("ingested_total"),
-                      F.col("latest.processed_total").alias("processed_total"),
-                      F.col("latest.aggregated_total").alias("aggregated_total"))
+    out = O.latest_kpi(X.load_ledger(spark, sf), A.window_source_aggregates(_processed(spark, sf), HOUR))
+    return out.select("tick_us", "ingested_total", "processed_total", "aggregated_total")
 
 
 @query("dedup_consecutive")
@@ -584,10 +605,47 @@ def python_mapper(spark, sf):
                            "arrival_seq long, value double").select("arrival_seq", r6("value").alias("value"))
 
 
+class _Ticks:
+    """The snapshot ticks an event is counted at."""
+
+    def eval(self, t_us: int):
+        period, horizon = 2_000_000, 10_000_000
+        for tick in range(t_us + -t_us % period, t_us + horizon + 1, period):
+            yield tick, tick - t_us
+
+
+class _Gaps:
+    """Consecutive events of a user and the time between them."""
+
+    def __init__(self):
+        self.before = None
+
+    def eval(self, row):
+        if self.before is not None:
+            yield row["user_id"], row["arrival_seq"], row["t_us"] - self.before
+        self.before = row["t_us"]
+
+
+@query("table_function")
+def table_function(spark, sf):
+    """A table function joined laterally gives several rows for each event."""
+    sig = I.load_signal(spark, sf, families=["sensor"]).select("arrival_seq", "t_us")
+    ticks = P.table_function(_Ticks, "tick_us bigint, age_us bigint")
+    return P.expand_rows(sig, ticks, "t_us").select("arrival_seq", "tick_us", "age_us")
+
+
+@query("partition_function")
+def partition_function(spark, sf):
+    """A table function over partitioned, ordered input keeps its state from row to row."""
+    sig = I.load_signal(spark, sf).select("user_id", "arrival_seq", "t_us")
+    return P.over_partitions(sig, P.table_function(_Gaps, "user_id bigint, arrival_seq bigint, gap_us bigint", arrow=False),
+                             ["user_id"], ["arrival_seq"])
+
+
 @query("kpi_history")
 def kpi_history(spark, sf):
     """ST9, W4, A12: the last 200 changed snapshots with rates, totals, ratios and latency stats."""
-    led = I.load_ledger(spark, sf)
+    led = X.load_ledger(spark, sf)
     out = O.kpi_history(led, A.window_source_aggregates(_processed(spark, sf), HOUR))
     return out.select("tick_us", r6("ingest_eps").alias("ingest_eps"), r6("process_eps").alias("process_eps"),
                       r6("aggregate_eps").alias("aggregate_eps"), "ingested_total", "dropped_total",

@@ -61,6 +61,46 @@ SELECT CAST(event_id AS VARCHAR) AS id, source, 'raw' AS event_type, t_us, arriv
                         ELSE (action IS NOT NULL)::INT + (success IS NOT NULL)::INT END AS BIGINT) AS n_tags
 FROM sig""")
 
+_PLAIN = "event_id % 50 <> 0"
+
+
+def _field(family: str, expr: str) -> str:
+    return f"CASE WHEN source = '{family}' AND {_PLAIN} THEN {expr} END"
+
+
+_WIRE = {
+    "value": _field("sensor", "value"), "level": _field("log", "level"), "action": _field("feed", "action"),
+    "success": _field("feed", "success"), "message": _field("log", "'message ' || event_id % 9"),
+    "service": _field("log", "'svc-' || event_id % 5"), "host": _field("log", "'host-' || event_id % 3"),
+    "sensor_id": _field("sensor", "CAST(user_id AS VARCHAR)"), "metric": _field("sensor", "'metric-' || event_id % 4"),
+    "unit": _field("sensor", "'C'"), "location": _field("sensor", "'room ' || event_id % 11"),
+    "user_id": _field("feed", "CAST(user_id AS VARCHAR)"), "resource": _field("feed", "'/page/' || event_id % 11"),
+    "payload_timestamp": _field("feed", """strftime(ts, '%Y-%m-%dT%H:%M:%S')
+            || CASE WHEN t_us % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END || '+00:00'"""),
+}
+_TEXT = lambda name: f"CASE WHEN {name} THEN 'True' WHEN NOT {name} THEN 'False' END"
+
+ORACLE["wire_envelope"] = with_sig("""
+SELECT *, (tag_service IS NOT NULL)::BIGINT + (tag_level IS NOT NULL)::BIGINT + (tag_metric IS NOT NULL)::BIGINT
+          + (tag_sensor_id IS NOT NULL)::BIGINT + (tag_action IS NOT NULL)::BIGINT + (tag_success IS NOT NULL)::BIGINT
+          + (event_id % 7 = 0 AND k IS NULL)::BIGINT AS n_tags
+FROM (SELECT event_id, k, CAST(event_id AS VARCHAR) AS id, 'raw' AS event_type, arrival_seq, source, t_us,
+       CASE WHEN event_id % 50 = 0 THEN left(CASE source
+            WHEN 'log' THEN CASE WHEN level IS NULL THEN '{"message":"message ' ELSE '{"level":"' || level || '","mess' END
+            WHEN 'sensor' THEN '{"sensor_id":"' ELSE '{"user_id":"' || user_id END, 12) END AS broken_text,
+       CASE WHEN event_id % 50 <> 0 THEN CAST(event_id % 3 AS INTEGER) END AS shard,
+       CASE WHEN event_id % 50 <> 0 THEN k END AS path0,
+""" + ",\n".join(f"       {v} AS {c}" for c, v in _WIRE.items()) + f""",
+       {_WIRE["service"]} AS tag_service, CASE WHEN event_id % 7 = 0 THEN 'given' ELSE {_WIRE["level"]} END AS tag_level,
+       {_WIRE["metric"]} AS tag_metric, {_WIRE["sensor_id"]} AS tag_sensor_id, {_WIRE["action"]} AS tag_action,
+       CASE WHEN event_id % 7 = 0 THEN {_TEXT("(k > 50)")} WHEN source = 'feed' AND {_PLAIN} THEN {_TEXT("success")} END AS tag_success
+FROM sig)""").replace("SELECT *, (tag", "SELECT * EXCLUDE (event_id, k), (tag")
+
+ORACLE["ledger_times"] = with_sig("""
+SELECT event_id, source, t_us AS received_us, CASE WHEN NOT dropped THEN processed_us END AS processed_us,
+       CASE WHEN NOT dropped THEN latency_ms END AS latency_ms, dropped OR processed_us IS NULL AS dropped
+FROM led""", ledger=True)
+
 ORACLE["merged_counts"] = with_sig("SELECT source, COUNT(*) AS n FROM sig GROUP BY source")
 
 ORACLE["route_source"] = with_sig("SELECT arrival_seq, t_us, level FROM sig WHERE source = 'log'")
@@ -118,15 +158,9 @@ ORACLE["latency_ms"] = with_sig(
     "SELECT arrival_seq, ROUND((processed_us - t_us) / 1000.0, 6) AS latency_ms FROM led", ledger=True)
 
 # Python's round(x, 3): half-even on the exact binary value, via an error-free product.
+# the printed text is rounded from the exact binary value, ties to even
 ORACLE["round3"] = with_sig("""
-SELECT arrival_seq,
-       (fl + CASE WHEN p - fl > 0.5 THEN 1 WHEN p - fl < 0.5 THEN 0
-                  WHEN err > 0 THEN 1 WHEN err < 0 THEN 0
-                  WHEN fl % 2 <> 0 THEN 1 ELSE 0 END) / 1000.0 AS v3
-FROM (SELECT arrival_seq, p, floor(p) AS fl, (hi * 1000.0 - p) + (x - hi) * 1000.0 AS err
-      FROM (SELECT arrival_seq, x, x * 1000.0 AS p,
-                   x * 134217729.0 - (x * 134217729.0 - x) AS hi
-            FROM (SELECT arrival_seq, CAST(value / 8 AS DOUBLE) AS x FROM sig WHERE value IS NOT NULL)))""")
+SELECT arrival_seq, CAST(format('{:.3f}', value / 8) AS DOUBLE) AS v3 FROM sig WHERE source = 'sensor'""")
 
 ORACLE["map_sum"] = with_sig("""
 SELECT ws AS window_start_us, source, COUNT(*) AS label_total,
@@ -519,3 +553,13 @@ SELECT ws AS window_start_us, source, COUNT(*) AS event_count,
          AS aggregation
 FROM sig GROUP BY ws, source
 ORDER BY ws DESC, CASE source WHEN 'sensor' THEN 0 WHEN 'log' THEN 1 ELSE 2 END DESC LIMIT 15""")
+
+ORACLE["table_function"] = with_sig("""
+SELECT arrival_seq, tick_us, tick_us - t_us AS age_us
+FROM (SELECT arrival_seq, t_us, unnest(generate_series(CAST(ceil(t_us / 2000000.0) AS BIGINT) * 2000000, t_us + 10000000, 2000000)) AS tick_us
+      FROM sig WHERE source = 'sensor')""")
+
+ORACLE["partition_function"] = with_sig("""
+SELECT user_id, arrival_seq, t_us - before AS gap_us
+FROM (SELECT user_id, arrival_seq, t_us, lag(t_us) OVER (PARTITION BY user_id ORDER BY arrival_seq) AS before FROM sig)
+WHERE before IS NOT NULL""")

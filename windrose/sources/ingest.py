@@ -17,10 +17,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Optional
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.functions.scalar import bool_text, iso_utc, string_map
+from windrose.functions.scalar import bool_text, iso_utc, latency_ms, string_map
 from windrose.session import prepare_session
 from windrose.sources.schema import (DEFAULT_EVENT_TYPE, DEFAULT_SOURCE,
                                      DRIVER_EVENTS_SCHEMA, PAYLOAD_SCHEMA,
@@ -122,35 +123,20 @@ def load_signal(spark: SparkSession, sf_dir: str, families: Optional[Iterable[st
     return signal_events(events)
 
 
-# Fixed values of the ledger rule (FIXTURES.md §2.2).
-_LATENCY_PER_K = 7.0
-_LATENCY_MOD = 13
-_DROP_FROM_K = 95
+def ledger_from_times(events: DataFrame, received: str = "received_at", processed: str = "processed_at",
+                      dropped: Optional[str] = "dropped", keep: Iterable[str] = ()) -> DataFrame:
+    """Per-event processing record from measured times: received / processed time,
+    latency in fractional milliseconds, drop flag.
 
-
-def ledger(signal: DataFrame) -> DataFrame:
-    """Per-event processing record: received / processed time, latency, drop flag."""
-    lat = F.col("k") * F.lit(_LATENCY_PER_K) + (F.col("event_id") % _LATENCY_MOD)
-    return (signal
-            .select("event_id", "arrival_seq", "source", "k", "t_us",
-                    F.col("ts").alias("received_at"), lat.alias("latency_ms"))
-            .withColumn("processed_at",
-                        F.timestamp_micros(F.col("t_us") + (F.col("latency_ms") * 1000).cast("long")))
-            .withColumn("dropped", is_dropped(F.col("k")))
-            .drop("k"))
-
-
-def is_dropped(k: Column) -> Column:
-    return F.coalesce(k >= _DROP_FROM_K, F.lit(False))
-
-
-def processed_signal(signal: DataFrame) -> DataFrame:
-    """The events that reach the processor (the ledger's rows with ``dropped = false``)."""
-    return signal.filter(~is_dropped(F.col("k")))
-
-
-def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger(load_signal(spark, sf_dir))
+    An event counts as dropped where ``dropped`` is true or, with ``dropped=None``,
+    where it has no processed time.  ``keep`` names further columns to carry
+    (default: all others).
+    """
+    gone = F.col(processed).isNull() if dropped is None else F.coalesce(F.col(dropped), F.lit(False))
+    own = (received, processed, dropped, "latency_ms")
+    keep = list(keep) or [c for c in events.columns if c not in own]
+    return events.select(*keep, F.col(received).alias("received_at"), F.col(processed).alias("processed_at"),
+                         latency_ms(processed, received).alias("latency_ms"), gone.alias("dropped"))
 
 
 # --------------------------------------------------------------------------
@@ -243,28 +229,60 @@ def to_envelope(signal: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("correlation_id"), "arrival_seq")
 
 
+_FLAT_PAYLOAD = ("value", "level", "action", "success", "message", "service", "host", "sensor_id", "metric", "unit",
+                 "location", "user_id", "resource")
+
+
 def flatten_envelope(env: DataFrame) -> DataFrame:
-    """Envelope -> flat working columns used by the aggregates."""
+    """Envelope -> flat working columns: every payload field (the payload's own time
+    as ``payload_timestamp``) and the tags."""
     return env.select(
         "id", "arrival_seq", "source",
         F.col("timestamp").alias("ts"), F.unix_micros("timestamp").alias("t_us"),
-        F.col("payload.value").alias("value"), F.col("payload.level").alias("level"),
-        F.col("payload.action").alias("action"), F.col("payload.success").alias("success"))
+        *[F.col(f"payload.{c}").alias(c) for c in _FLAT_PAYLOAD],
+        F.col("payload.timestamp").alias("payload_timestamp"), "tags")
 
 
 # --------------------------------------------------------------------------
 # Wire format (JSON lines) readers
 # --------------------------------------------------------------------------
 
+def payload_tags(source: Column, payload: Column) -> Column:
+    """The tags a family's payload gives (absent fields give none)."""
+    return (F.when(source == "log", string_map(("service", payload["service"]), ("level", payload["level"])))
+             .when(source == "sensor", string_map(("metric", payload["metric"]), ("sensor_id", payload["sensor_id"])))
+             .otherwise(string_map(("action", payload["action"]), ("success", bool_text(payload["success"])))))
+
+
 def parse_wire(raw: DataFrame) -> DataFrame:
-    """JSON wire rows -> envelope: typed payload via from_json, UTC timestamps."""
-    return with_envelope_defaults(raw.select(
+    """JSON wire rows -> envelope.
+
+    The payload comes typed (the known fields), as text (``payload_json``) and as
+    a VARIANT (``payload_open``), which keeps fields the schema does not know:
+    ``F.try_variant_get("payload_open", "$.extra.shard", "int")``.  Rows whose
+    payload is no JSON keep their text and are flagged ``malformed``; their typed
+    fields are null.  Tags come from the payload; tags on the wire win.
+    """
+    source = F.coalesce(F.col("source"), F.lit(DEFAULT_SOURCE))
+    known = raw.select(
         "id", "source", "event_type",
         F.coalesce(F.try_to_timestamp(F.col("timestamp")),
                    F.col("timestamp").try_cast("timestamp")).alias("timestamp"),
-        F.from_json("payload", PAYLOAD_SCHEMA).alias("payload"),
-        F.col("payload").alias("payload_json"),
-        "tags", "correlation_id", "arrival_seq"))
+        F.col("payload").alias("payload_json"), F.try_parse_json("payload").alias("payload_open"),
+        F.coalesce("tags", F.create_map().cast("map<string,string>")).alias("_given"), "correlation_id", "arrival_seq")
+    malformed = F.col("payload_json").isNotNull() & F.col("payload_open").isNull()
+    typed = known.withColumn("malformed", malformed).withColumn(
+        "payload", F.when(~F.col("malformed"), F.from_json("payload_json", PAYLOAD_SCHEMA)))
+    derived = F.map_filter(payload_tags(source, F.col("payload")), lambda k, v: ~F.map_contains_key(F.col("_given"), k))
+    tagged = typed.withColumn("tags", F.map_concat(derived, "_given"))
+    return with_envelope_defaults(tagged.select(
+        "id", "source", "event_type", "timestamp", "payload", "payload_json", "payload_open", "malformed", "tags",
+        "correlation_id", "arrival_seq"))
+
+
+def parse_lines(lines: DataFrame, column: str = "line") -> DataFrame:
+    """Wire events from a text column of JSON lines."""
+    return parse_wire(lines.select(F.from_json(column, RAW_EVENT_SCHEMA).alias("w")).select("w.*"))
 
 
 def read_wire(spark: SparkSession, path: str, stream: bool = False,
@@ -279,27 +297,49 @@ def read_wire(spark: SparkSession, path: str, stream: bool = False,
     return parse_wire(spark.read.schema(RAW_EVENT_SCHEMA).json(path))
 
 
+PARTITIONS = 1 << 16   # partitions that one arrival order can tell apart
+
+
+def arrival_order(partition: Column, offset: Column) -> Column:
+    """One arrival number from a partition and its offset: by offset, then by partition.
+
+    Unique over all partitions and rising within each, so every scan, cap and
+    fragment of this package takes it as ``arrival_seq``.  Offsets of 2^47 and
+    more, and partitions of 2^16 and more, raise an error instead of wrapping.
+    """
+    part = F.when(partition.between(0, PARTITIONS - 1), partition.cast("long")).otherwise(
+        F.raise_error(F.concat(F.lit("partition out of range: "), partition.cast("string"))).cast("long"))
+    top = 1 << 47
+    return F.when((offset >= 0) & (offset < top), offset.cast("long") * PARTITIONS + part).otherwise(
+        F.raise_error(F.concat(F.lit("offset out of range: "), offset.cast("string"))).cast("long"))
+
+
+def parse_broker(raw: DataFrame) -> DataFrame:
+    """Wire events from rows (value, partition, offset) of a broker, in their composite arrival order."""
+    wire = raw.select(F.from_json(F.col("value").cast("string"), RAW_EVENT_SCHEMA).alias("w"),
+                      arrival_order(F.col("partition"), F.col("offset")).alias("_order"))
+    return parse_wire(wire.select("w.*", "_order").withColumn("arrival_seq", F.col("_order")).drop("_order"))
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True,
                options: Optional[dict] = None) -> DataFrame:
     """Wire events from a Kafka topic (JSON values), batch or stream.
 
-    Needs the Spark Kafka connector on the classpath; the error names the
-    missing package instead of failing later.
+    Needs the Spark Kafka connector on the classpath; where it is missing the
+    error names it.  Other errors of the source are passed on as they are.
     """
+    prepare_session(spark)
     reader = (spark.readStream if stream else spark.read).format("kafka") \
         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     try:
         raw = reader.load()
-    except Exception as exc:  # noqa: BLE001
-        raise RuntimeError("the Kafka source needs the spark-sql-kafka connector package") from exc
-    prepare_session(spark)
-    wire = raw.select(F.from_json(F.col("value").cast("string"), RAW_EVENT_SCHEMA).alias("w"),
-                      F.col("offset")).select("w.*", "offset")
-    # the topic offset is the arrival order when the producer gives none
-    wire = wire.withColumn("arrival_seq", F.coalesce("arrival_seq", "offset")).drop("offset")
-    return parse_wire(wire)
+    except AnalysisException as exc:
+        if "kafka" in str(exc).lower() and "data source" in str(exc).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka connector package") from exc
+        raise
+    return parse_broker(raw)
 
 
 def to_wire(env: DataFrame) -> DataFrame:

@@ -5,16 +5,17 @@
   accepts in append mode.  Closed windows are emitted once.
 * ``start_live_partials`` / ``read_live_view``: the live view that also shows
   the open window (the reference's flush).  Only the first level is streamed,
-  in update mode; every micro-batch appends its updated partials to
-  ``<path>/batch_id=N`` (overwritten on replay, so exactly once), and the
-  view keeps the latest version of each (window, source, label) and applies
-  the second level as a batch query.
+  in update mode; every micro-batch writes its updated partials to
+  ``<path>/batch_id=N`` and a commit mark, versions are merged into
+  generations now and then, and the view keeps the latest version of each
+  (window, source, label) and applies the second level as a batch query.
 * ``observe_processing``: per-event processing metrics on the unfiltered
   stream through ``DataFrame.observe`` (reported in the query progress).
 """
 
 from __future__ import annotations
 
+import json
 from typing import Callable, Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from windrose.functions.scalar import Duration, strict_true
 from windrose.operators.aggregate import combine_partials, label_of
 from windrose.sources.ingest import signal_events, stream_events
 from windrose.session import stream_checkpoint
+from windrose.streaming.commits import children, committed_ids, delete, read_text, with_commits, write_text
 
 
 def signal_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: Optional[int] = None) -> DataFrame:
@@ -53,40 +55,104 @@ def window_aggregates_stream(sig: DataFrame, size: Duration, delay: Duration,
 
 def start_window_aggregates(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                             *, delay: Duration, trigger: Optional[dict] = None,
-                            fmt: str = "parquet"):
-    """Stream closed-window aggregates to files (append mode)."""
+                            fmt: str = "parquet", after_batch: Optional[Callable[[DataFrame, int], None]] = None):
+    """Stream closed-window aggregates to files (append mode).
+
+    With an ``after_batch`` hook (X5) the batches go to ``<path>/batch_id=N`` with
+    one commit mark each (``commits.committed`` reads them), and the hook is
+    called once for each."""
     checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
     out = window_aggregates_stream(sig, size, delay)
-    w = (out.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
+    if after_batch is not None:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+        w = (out.writeStream.foreachBatch(with_commits(path, write, after_batch))
+             .option("checkpointLocation", checkpoint).outputMode("append"))
+    else:
+        w = (out.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+_PARTIAL = ("value_sum", "value_n", "ok_n", "n")
+_KEY = ("window_start", "source", "label")
+
+
 def start_live_partials(sig: DataFrame, size: Duration, path: str, checkpoint: Optional[str] = None,
                         trigger: Optional[dict] = None,
-                        after_batch: Optional[Callable[[DataFrame, int], None]] = None):
-    """ST4 live view: stream first-level partials in update mode to versioned files."""
+                        after_batch: Optional[Callable[[DataFrame, int], None]] = None,
+                        delay: Optional[Duration] = None, compact_every: int = 50):
+    """ST4 live view: stream first-level partials in update mode to versioned files.
+
+    Every ``compact_every`` batches the versions are merged into one generation, so
+    a reader opens a bounded number of files however long the stream runs.  With
+    a ``delay`` the state of windows that old is given up, and events later than
+    that may be dropped.
+    """
     checkpoint = checkpoint or stream_checkpoint(sig.sparkSession, path)
-    partials = stream_partials(sig, size).select(F.col("w.start").alias("window_start"), "source", "label",
-                                                 "value_sum", "value_n", "ok_n", "n")
+    partials = stream_partials(sig, size, delay).select(F.col("w.start").alias("window_start"), "source", "label", *_PARTIAL)
+    root = path.rstrip("/")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-              .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+        # one micro-batch updates few (window, source, label): few files
+        (batch.withColumn("version", F.lit(batch_id).cast("long")).coalesce(4)
+              .write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}"))
 
-    w = (partials.writeStream.outputMode("update").foreachBatch(with_after_batch(upsert, after_batch))
+    def after(batch: DataFrame, batch_id: int) -> None:
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_live_partials(batch.sparkSession, root)
+        if after_batch is not None:
+            after_batch(batch, batch_id)
+
+    w = (partials.writeStream.outputMode("update").foreachBatch(with_commits(root, upsert, after))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _live_state(spark: SparkSession, root: str) -> tuple[dict, list[str]]:
+    """The current generation's record and the folders that make up the view."""
+    state = json.loads(read_text(spark, f"{root}/_generation") or '{"generation": 0, "upto": -1}')
+    folders = [f"{root}/batch_id={i}" for i in committed_ids(spark, root) if i > state["upto"]]
+    if state["generation"]:
+        folders.insert(0, f"{root}/generation={state['generation']}")
+    return state, folders
+
+
+def _newest(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """The newest version of every partial."""
+    parts = spark.read.parquet(*folders)
+    fields = F.struct(*_PARTIAL, "version")
+    return parts.groupBy(*_KEY).agg(F.max_by(fields, F.col("version")).alias("p")).select(*_KEY, "p.*")
+
+
+def compact_live_partials(spark: SparkSession, path: str, files: int = 8) -> int:
+    """Merge the committed versions into a new generation and switch to it by one small
+    file that is replaced whole; returns the generation's number.
+
+    What the new generation covers is deleted at the next compaction, so a reader
+    that has just looked up the old one can finish.
+    """
+    root = path.rstrip("/")
+    state, folders = _live_state(spark, root)
+    done = [i for i in committed_ids(spark, root) if i > state["upto"]]
+    if not done:
+        return state["generation"]
+    new = state["generation"] + 1
+    _newest(spark, folders).coalesce(files).write.mode("overwrite").parquet(f"{root}/generation={new}")
+    write_text(spark, f"{root}/_generation", json.dumps({"generation": new, "upto": done[-1], "before": state["upto"]}))
+    if state["generation"]:
+        for name in children(spark, root):
+            kind, _, number = name.partition("=")
+            if kind == "batch_id" and int(number) <= state["upto"] or kind == "generation" and int(number) < state["generation"]:
+                delete(spark, f"{root}/{name}")
+    return new
+
+
 def read_live_view(spark: SparkSession, path: str, size: Duration) -> DataFrame:
     """Second level over the newest version of every partial: all windows, open ones included."""
-    parts = spark.read.parquet(path)
-    key = ["window_start", "source", "label"]
-    newest = (parts.groupBy(*key)
-                   .agg(F.max_by(F.struct("value_sum", "value_n", "ok_n", "n"), F.col("batch_id")).alias("p"))
-                   .select(*key, "p.*"))
-    return combine_partials(newest, size)
+    _, folders = _live_state(spark, path.rstrip("/"))
+    return combine_partials(_newest(spark, folders).select(*_KEY, *_PARTIAL), size)
 
 
 def flush_sentinel(events: DataFrame, size: Duration, delay: Duration = "0 seconds",
@@ -123,7 +189,8 @@ def write_flush_sentinel(spark: SparkSession, events_dir: str, sentinel_dir: str
 def with_after_batch(fn: Callable[[DataFrame, int], None],
                      hook: Optional[Callable[[DataFrame, int], None]] = None) -> Callable[[DataFrame, int], None]:
     """Run ``hook`` after each micro-batch; its exceptions are swallowed
-    (as the reference does for its after-batch hook), the batch's are not."""
+    (as the reference does for its after-batch hook), the batch's are not.
+    ``commits.with_commits`` does so once per batch id."""
     def run(batch: DataFrame, batch_id: int) -> None:
         fn(batch, batch_id)
         if hook is not None:
