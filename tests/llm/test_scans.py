@@ -443,6 +443,74 @@ def test_every_operator_has_a_query():
     assert DDL
 
 
+# ------------------------------------------------------------ license texts
+
+# opening words of real license bodies, file headers and notices, as they stand in files
+NOTICES = [
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal"""),
+    ("mit", """ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above"""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""),
+    ("bsd-3-clause", """3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software"""),
+    ("bsd-4-clause", """# 3. All advertising materials mentioning features or use of this software
+#    must display the following acknowledgement:"""),
+    ("apache-2", """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License."""),
+    ("apache-2", """Licensed to the Apache Software Foundation (ASF) under one
+or more contributor license agreements."""),
+    ("apache-2", "     http://www.apache.org/licenses/LICENSE-2.0"),
+    ("gpl-3-or-later", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("gpl-2-or-later", """ # it under the terms of the GNU General Public License as published by
+ # the Free Software Foundation; either version 2 of the License, or
+ # (at your option) any later version."""),
+    ("gpl-2", "under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation."),
+    ("lgpl-2.1-or-later", """modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version."""),
+    ("agpl-3-or-later", """it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""),
+    ("mpl-2", """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"""),
+    ("epl-2", """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0"""),
+    ("boost-1", """//    Distributed under the Boost Software License, Version 1.0.
+//    (See accompanying file LICENSE_1_0.txt)"""),
+    ("zlib", """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages"""),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("postgresql", """Permission to use, copy, modify, and distribute this software and its
+documentation for any purpose, without fee, and without a written agreement
+is hereby granted"""),
+    ("cc-by-sa", "This work is licensed under a\nCreative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by", "https://creativecommons.org/licenses/by/4.0/"),
+    ("ofl-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("cddl-1", "The contents of this file are subject to the terms of the\nCommon Development and Distribution License (the \"License\")."),
+    ("perl", "you can redistribute it and/or modify it under the same\nterms as Perl itself."),
+]
+
+
+def test_license_bodies_headers_and_notices(spark):
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(frame(spark, [t for _, t in NOTICES])).collect()}
+    assert {i: label for i, (label, _) in enumerate(NOTICES) if label not in got[i].split(",")} == {}
+
+
+def test_ordinary_prose_has_no_signature():
+    text = ("the university released a study on beer. neither the name nor the place is known. permission is needed, "
+            "and the public domain of the river is available. we guarantee nothing; the source code is confidential.")
+    assert [d for d in licenses.detections(text) if d[1] >= 88] == []
+
+
 # ------------------------------------------------------------ long runs
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
