@@ -55,12 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+kept_watchers: list = []     # called with each frame that is about to be kept (plan reports)
+
+
 def kept_table(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared checkpoint folder and read it back
     (cuts lineage, and survives lost executors).  It stays until
     ``drop_kept_tables``, since results may still read it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for watch in kept_watchers:
+        watch(df)
     df.write.option("compression", "zstd").parquet(path)
     kept = getattr(spark.sparkContext, "_windrose_kept", None)
     if kept is None:
