@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrose.session import checkpoint_dir, prepare_session, ship_package
+from windrose.session import kept_table, prepare_session
 
 ASCII_LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 # ASCII letters lower-cased, every byte outside [0-9a-z\x80-\xff] a space: splitting
@@ -28,7 +27,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     prepare_session(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    ship_package(spark)
     return spark
 
 
@@ -43,11 +41,9 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared checkpoint folder and read it back (cuts lineage)."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write a table to the shared checkpoint folder and read it back (cuts lineage);
+    ``windrose.session.drop_kept_tables`` deletes what a session has written."""
+    return kept_table(df, label)
 
 
 def slices(values: list, limit: int = TEXT_BATCH) -> Iterator[tuple[int, int]]:

@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrose.llm.blocks import SHARD, linked_pairs, mixed_blocks, pair_columns, screened_pairs, star_rows, with_components
 from windrose.llm.common import Members, materialise, members, prepare, slices, texts
 from windrose.llm.graph import components
 from windrose.llm.minhash import shingles, words_of
@@ -47,7 +48,6 @@ CELL = 1 << 22            # n-grams counted in one cell, about
 STARS = 3                 # rounds of stars before blocks
 CHUNK = 512               # classes in one side of a block
 PARTS = 32                # of the suffix filter
-SHARD = 1 << 16           # rows of blocks that one task takes at a time, about
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -262,29 +262,12 @@ def _lists(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _star_pairs(met: DataFrame, comps: DataFrame | None, degree: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each list's leader and its classes of other components.
-
-    The leader is the class that meets most others; once components are known, it
-    is taken from outside the list's largest component.
-    """
-    at = met.join(degree, "cid")
-    if comps is None:
-        at = at.withColumn("comp", F.col("cid")).withColumn("minor", F.lit(True))
-    else:
-        at = at.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        sizes = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-        major = (sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.struct("m", "comp"))["comp"].alias("major"))
-                 .filter("kinds > 1").drop("kinds"))
-        at = at.join(major, "key").withColumn("minor", F.col("comp") != F.col("major")).drop("major")
-    at = materialise(at.drop("tail"), "jaccard-at")
-    lead = (at.groupBy("key").agg(F.max(F.struct("minor", "degree", "cid", "comp", "n", "place")).alias("l"))
-            .select("key", F.col("l.cid").alias("cid2"), F.col("l.comp").alias("comp2"), F.col("l.n").alias("n2"),
-                    F.col("l.place").alias("place2")))
+    """Pairs (a, b) of each list's leader and its classes of other components that pass the
+    length and the positional filter."""
+    rows = star_rows(met, comps, degree, ["n", "place"], "jaccard")
     need = F.ceil(F.lit(percent) * (F.col("n") + F.col("n2")) / (100 + percent))
     left = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-    pairs = at.join(lead, "key").filter(F.col("comp") != F.col("comp2")).filter(
-        100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).filter(left >= need)
-    return pairs.select(F.least("cid", "cid2").alias("a"), F.greatest("cid", "cid2").alias("b")).distinct()
+    return rows.filter(100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")).filter(left >= need).select(*pair_columns()).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -297,88 +280,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _open_pairs(met: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """(a, b, block): pairs of different components that share a list and pass the filters."""
-    at = (met.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
-    at = materialise(at, "jaccard-open")
-    sizes = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = (sizes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("top"))
-             .filter("kinds > 1").select("key", F.col("top.comp").alias("major"), (F.col("all") - F.col("top.m")).alias("rest"), "all"))
-    rows = at.join(materialise(mixed, "jaccard-mixed"), "key")
-    chunks = lambda c: F.ceil(F.col(c) / CHUNK).cast("int")
-    own = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    columns = ["key", "cid", "comp", "major", "n", "place", "tail"]
-    first = (rows.filter("comp <> major").withColumn("i", own(chunks("rest"))).withColumn("j", spread(chunks("all")))
-             .select(*columns, "i", "j", F.lit(True).alias("rest")))
-    second = (rows.withColumn("j", own(chunks("all"))).withColumn("i", spread(chunks("rest")))
-              .select(*columns, "i", "j", F.lit(False).alias("rest")))
-    blocks = materialise(first.unionByName(second).withColumn("block", F.xxhash64("key", "i", "j")), "jaccard-blocks")
-    shards = max(1, -(-blocks.count() // SHARD))
+    at = materialise(with_components(met, comps), "jaccard-open")
+    blocks = mixed_blocks(at, ["n", "place", "tail"], CHUNK, "jaccard")
     need = _need(percent)
 
-    def compare(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("block", "ascending"), ("key", "ascending")]).combine_chunks()
-        block, key, cid, comp, major, n, place = (t.column(c).to_numpy() for c in ("block", "key", "cid", "comp", "major", "n", "place"))
-        rest = t.column("rest").to_numpy(zero_copy_only=False).astype(bool)
-        tail = np.frombuffer(b"".join(t.column("tail").to_pylist()), np.uint16).reshape(len(key), PARTS).astype(np.int64)
+    def filters(t: pa.Table):
+        n, place = t.column("n").to_numpy(), t.column("place").to_numpy()
+        tail = np.frombuffer(b"".join(t.column("tail").to_pylist()), np.uint16).reshape(len(n), PARTS).astype(np.int64)
         tail[tail == 0xFFFF] = 1 << 40       # a full counter bounds nothing
-        new = np.append(True, (block[1:] != block[:-1]) | (key[1:] != key[:-1]))
-        cuts = np.append(np.flatnonzero(new), len(key)).tolist()
-        out = []
-        for a, z in zip(cuts, cuts[1:]):
-            left, right = np.flatnonzero(rest[a:z]) + a, np.flatnonzero(~rest[a:z]) + a
-            for r in left.tolist():
-                # a pair of two rest classes comes up twice; the smaller one looks at it
-                o = right[(comp[right] != comp[r]) & ((comp[right] == major[r]) | (cid[right] > cid[r]))]
-                o = o[100 * np.minimum(n[o], n[r]) >= percent * np.maximum(n[o], n[r])]
-                wanted = need(n[o], n[r])
-                enough = np.minimum(n[o] - place[o], n[r] - place[r]) >= wanted
-                o, wanted = o[enough], wanted[enough]
-                o = o[np.minimum(tail[o], tail[r]).sum(axis=1) >= wanted]
-                if len(o):
-                    x = np.full(len(o), cid[r])
-                    out.append(np.stack([np.minimum(x, cid[o]), np.maximum(x, cid[o]), block[o]]))
-        found = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        if found.shape[1]:
-            _, once = np.unique(found[:2], axis=1, return_index=True)
-            found = found[:, once]
-        return pa.table({"a": pa.array(found[0]), "b": pa.array(found[1]), "block": pa.array(found[2])})
-
-    passed = (blocks.withColumn("shard", F.pmod("block", F.lit(shards))).groupBy("shard")
-              .applyInArrow(compare, "a long, b long, block long"))
-    return passed.groupBy("a", "b").agg(F.min("block").alias("block"))
-
-
-def _open_links(pairs: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among the pairs of a block, at least one for any two components that
-    have any; sets come once a block, and only where a pair needs them."""
-    wanted = pairs.select("block", F.explode(F.array("a", "b")).alias("cid")).distinct()
-    members_of = (wanted.join(sets.select("cid", "n", "shared"), "cid")
-                  .join(comps.withColumnRenamed("node", "cid"), "cid", "left")
-                  .select(F.col("block").alias("home"), "cid", "n", "shared", F.coalesce("comp", "cid").alias("comp")))
-
-    def verify(p: pa.Table, s: pa.Table) -> pa.Table:
-        sets_of = {c: (n, m, np.sort(np.array(h, np.int64))) for c, n, m, h in
-                   zip(*(s.column(c).to_pylist() for c in ("cid", "n", "comp", "shared")))}
-        up: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (y := up.get(x, x)) != x:
-                up[x] = up.get(y, y)
-                x = y
-            return x
-
-        out = []
-        for a, b in zip(p.column("a").to_pylist(), p.column("b").to_pylist()):
-            (na, ca, ha), (nb, cb, hb) = sets_of[a], sets_of[b]
-            if find(ca) != find(cb):
-                both = len(np.intersect1d(ha, hb, assume_unique=True))
-                if 100 * both >= percent * (na + nb - both):
-                    up[find(ca)] = find(cb)
-                    out.append((a, b))
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-    return (pairs.groupBy("block").cogroup(members_of.groupBy("home")).applyInArrow(verify, "a long, b long")
-            if not pairs.isEmpty() else pairs.select("a", "b"))
+
+        def passing(r: int, o: np.ndarray) -> np.ndarray:
+            o = o[100 * np.minimum(n[o], n[r]) >= percent * np.maximum(n[o], n[r])]
+            wanted = need(n[o], n[r])
+            enough = np.minimum(n[o] - place[o], n[r] - place[r]) >= wanted
+            o, wanted = o[enough], wanted[enough]
+            return o[np.minimum(tail[o], tail[r]).sum(axis=1) >= wanted]
+
+        return passing
+
+    return screened_pairs(blocks, filters, SHARD)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -413,7 +333,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     none = classes.limit(0).select(F.col("cid").alias("node"), F.col("cid").alias("comp"))
     found = none if found is None else found
     pairs = materialise(_open_pairs(met, found, percent), "jaccard-pairs")
-    more = materialise(_open_links(pairs, found, sets, percent), "jaccard-links")
+    more = materialise(linked_pairs(pairs, found, sets.withColumnRenamed("shared", "items"), percent), "jaccard-links")
     if not more.isEmpty():
         found = components(more if links is None else links.unionByName(more))
 
