@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "duration_us", "col_of", "as_utc", "floor_window", "window_end", "window_bounds",
-    "latency_ms", "iso_utc", "bool_text", "round_to", "py_round", "round3", "string_map",
+    "latency_ms", "iso_utc", "bool_text", "py_round", "round3", "string_map",
     "map_sum", "guarded_ratio", "lookup", "to_json_text", "from_json_text",
     "safe_float", "has_json_key", "strict_true",
 ]
@@ -103,10 +103,6 @@ def bool_text(b: Union[str, Column]) -> Column:
     return F.initcap(col_of(b).cast("string"))
 
 
-def round_to(x: Union[str, Column], digits: int) -> Column:
-    return F.round(col_of(x), digits)
-
-
 def py_round(x: Union[str, Column], digits: int = 3) -> Column:
     """Round like Python's ``round(x, digits)``: half-even on the *exact* binary value.
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from windrose.functions.scalar import (Duration, floor_window, strict_true,
                                        window_end)
+from windrose.session import kept_table
 from windrose.sources.schema import AGGREGATION_NAME, SENSOR_METRIC, SOURCES, UNKNOWN_LABEL
 
 
@@ -214,7 +215,7 @@ def aggregate_with(df: DataFrame, size: Duration,
     Preferred form: a mapping of output name -> aggregate ``Column`` (stays in
     the JVM, partial aggregation applies).  Fallback: a pandas function
     ``pdf -> pdf`` run by ``applyInPandas`` per group; it holds one group in
-    memory, so it is for bounded groups only.
+    memory, so it is for bounded groups only (``aggregate_in_steps`` is for others).
     """
     w = floor_window(ts, size).alias("window_start")
     if isinstance(aggregator, Mapping):
@@ -222,3 +223,30 @@ def aggregate_with(df: DataFrame, size: Duration,
     if schema is None:
         raise ValueError("a pandas aggregator needs an output schema")
     return df.withColumn("window_start", w).groupBy("window_start", *keys).applyInPandas(aggregator, schema)
+
+
+def aggregate_in_steps(df: DataFrame, size: Duration, partial: Callable, merge: Callable, schema: str, ts: str = "ts",
+                       keys: Sequence[str] = ("source",), rows_per_task: int = 50_000) -> DataFrame:
+    """X3 in pandas for groups of any size.
+
+    ``partial`` reduces the rows of one Arrow batch (columns of ``df`` and
+    ``window_start``, of any number of groups) to partial rows of ``schema``;
+    ``merge`` reduces partial rows, again of any number of groups, to one row per
+    (window, keys), and must not mind in which order or how often it is applied.
+    Partial rows are merged in arbitrary parts first and then by group, about
+    ``rows_per_task`` at a time: no task holds the events of a group.
+    """
+    by = ["window_start", *keys]
+
+    def reduced(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield partial(pdf)
+
+    rows = kept_table(df.withColumn("window_start", floor_window(ts, size)).mapInPandas(reduced, schema), "steps-partial")
+
+    def merged(table: DataFrame, place: Column) -> DataFrame:
+        return table.groupBy(F.pmod(place, F.lit(max(1, -(-table.count() // rows_per_task)))).alias("_part")).applyInPandas(merge, schema)
+
+    once = kept_table(merged(rows, F.xxhash64(*by, F.monotonically_increasing_id())), "steps-merged")
+    return merged(once, F.xxhash64(*by))

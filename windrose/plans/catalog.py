@@ -107,6 +107,52 @@ def demux_counts(spark, sf):
                              for p in parts.values()])
 
 
+@query("demux_data")
+def demux_data(spark, sf):
+    """The rows of each kind come back from the multiplex's text as they went in."""
+    sig = I.load_signal(spark, sf)
+    aggs = A.window_source_aggregates(sig, HOUR).select(F.col("window.start").alias("ts"), "source", "count", "aggregation")
+    tagged = K.multiplex(event=sig.select("ts", "source", "arrival_seq"), agg=aggs)
+    parts = K.demultiplex(tagged, ("event", "agg"))
+    event = S.from_json_text("data", "ts timestamp, source string, arrival_seq long")
+    agg = S.from_json_text("data", "ts timestamp, source string, count long, aggregation string")
+    rows = [parts["event"].select("type", us("ts").alias("t_us"), event.alias("d"))
+            .select("type", "t_us", us("d.ts").alias("data_us"), "d.source", F.col("d.arrival_seq").alias("n"), F.lit(None).cast("string").alias("name")),
+            parts["agg"].select("type", us("ts").alias("t_us"), agg.alias("d"))
+            .select("type", "t_us", us("d.ts").alias("data_us"), "d.source", F.col("d.count").alias("n"), F.col("d.aggregation").alias("name"))]
+    return rows[0].unionByName(rows[1])
+
+
+@query("aggregated_payload")
+def aggregated_payload(spark, sf):
+    """The aggregated records' envelopes, with every field of the payload text read back."""
+    out = K.aggregated_events(A.window_source_aggregates(I.load_signal(spark, sf), HOUR))
+    at = lambda path: F.get_json_object("payload", path)
+    labels = lambda path: F.coalesce(F.size(F.json_object_keys(at(path))), F.lit(0)).cast("bigint")
+    return out.select(
+        "source", "event_type", at("$.window.start").alias("start_iso"), at("$.window.end").alias("end_iso"),
+        at("$.window.count").cast("bigint").alias("event_count"), at("$.aggregation").alias("aggregation"),
+        at("$.metric").alias("metric"), r6(at("$.value").cast("double")).alias("value"),
+        r6(at("$.success_rate").cast("double")).alias("success_rate"), labels("$.levels").alias("n_levels"),
+        labels("$.actions").alias("n_actions"), at("$.levels.INFO").cast("bigint").alias("n_info"),
+        at("$.actions.click").cast("bigint").alias("n_click"))
+
+
+@query("pandas_aggregator")
+def pandas_aggregator(spark, sf):
+    """X3 in pandas, in steps: partials of Arrow batches, then merges of partial rows."""
+    sig = I.load_signal(spark, sf).select("ts", "source", "k", "user_id")
+
+    def partial(pdf):
+        return pdf.groupby(["window_start", "source"], as_index=False, dropna=False).agg(n=("k", "size"), top=("k", "max"))
+
+    def merge(pdf):
+        return pdf.groupby(["window_start", "source"], as_index=False, dropna=False).agg(n=("n", "sum"), top=("top", "max"))
+
+    out = A.aggregate_in_steps(sig, HOUR, partial, merge, "window_start timestamp, source string, n long, top long")
+    return out.select(us("window_start").alias("window_start_us"), "source", "n", "top")
+
+
 # ---------------------------------------------------------------- pipeline
 
 @query("filter_events")
@@ -532,8 +578,9 @@ def anchored_aggregates(spark, sf):
 
 
 def _sparse_user(sig):
-    """A key that is null for a fifth of the events."""
-    return sig.withColumn("user_key", F.when(F.col("event_id") % 5 != 0, F.col("user_id")))
+    """A key that is null for a fifth of the events and beyond what a double holds
+    exactly; results give it as text, since a comparison in pandas would make doubles of it."""
+    return sig.withColumn("user_key", F.when(F.col("event_id") % 5 != 0, F.col("user_id") + F.lit((1 << 60) + 1)))
 
 
 @query("anchored_null_keys")
@@ -542,14 +589,16 @@ def anchored_null_keys(spark, sf):
     sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
     marked = Q.anchored_windows(sig, HOUR, keys=["user_key"])
     return (marked.groupBy("user_key", "window_seq", "window_start_us")
-                  .agg(F.count(F.lit(1)).alias("event_count"), F.max("arrival_seq").alias("last_seq")))
+                  .agg(F.count(F.lit(1)).alias("event_count"), F.max("arrival_seq").alias("last_seq"))
+                  .withColumn("user_key", F.col("user_key").cast("string")))
 
 
 @query("throttle_null_keys")
 def throttle_null_keys(spark, sf):
     """ST6 with a key that is null for part of the events."""
     sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
-    return (Q.throttle(sig, "12 hours", key="user_key").select("arrival_seq", "user_key", us("ts").alias("t_us")))
+    return (Q.throttle(sig, "12 hours", key="user_key")
+            .select("arrival_seq", F.col("user_key").cast("string").alias("user_key"), us("ts").alias("t_us")))
 
 
 @query("fragments_null_keys")
@@ -557,7 +606,8 @@ def fragments_null_keys(spark, sf):
     """W1 per key, where the key is null for part of the events."""
     sig = _sparse_user(I.load_signal(spark, sf)).select("user_key", "arrival_seq", "ts")
     return (Q.arrival_fragments(sig, "24 hours", keys=["user_key"])
-             .select("arrival_seq", "user_key", "fragment_id", us("window_start").alias("window_start_us")))
+             .select("arrival_seq", F.col("user_key").cast("string").alias("user_key"), "fragment_id",
+                     us("window_start").alias("window_start_us")))
 
 
 @query("throttle")

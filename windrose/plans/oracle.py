@@ -112,6 +112,29 @@ SELECT 'agg', COUNT(*), COUNT(*) FROM (SELECT DISTINCT ws, source FROM sig)
 UNION ALL
 SELECT 'metrics', COUNT(*), COUNT(*) FROM (SELECT DISTINCT ws FROM sig)""")
 
+ORACLE["demux_data"] = with_sig("""
+SELECT 'event' AS type, t_us, t_us AS data_us, source, arrival_seq AS n, NULL AS name FROM sig
+UNION ALL
+SELECT 'agg', ws, ws, source, COUNT(*),
+       CASE source WHEN 'sensor' THEN 'avg' WHEN 'log' THEN 'count_by_level' ELSE 'count_by_action' END
+FROM sig GROUP BY ws, source""")
+
+ORACLE["aggregated_payload"] = with_sig(f"""
+SELECT source, 'aggregated' AS event_type, strftime(make_timestamp(ws), '%Y-%m-%dT%H:%M:%S+00:00') AS start_iso,
+       strftime(make_timestamp(ws + {H}), '%Y-%m-%dT%H:%M:%S+00:00') AS end_iso, COUNT(*) AS event_count,
+       CASE source WHEN 'sensor' THEN 'avg' WHEN 'log' THEN 'count_by_level' ELSE 'count_by_action' END AS aggregation,
+       CASE WHEN source = 'sensor' THEN 'sensor.value' END AS metric,
+       CASE WHEN source = 'sensor' THEN ROUND(AVG(value), 6) END AS value,
+       CASE WHEN source = 'feed' THEN ROUND(CAST(COUNT(*) FILTER (WHERE success IS TRUE) AS DOUBLE) / COUNT(*), 6) END AS success_rate,
+       CASE WHEN source = 'log' THEN COUNT(DISTINCT {LABEL}) ELSE 0 END AS n_levels,
+       CASE WHEN source = 'feed' THEN COUNT(DISTINCT {LABEL}) ELSE 0 END AS n_actions,
+       NULLIF(COUNT(*) FILTER (WHERE source = 'log' AND level = 'INFO'), 0) AS n_info,
+       NULLIF(COUNT(*) FILTER (WHERE source = 'feed' AND action = 'click'), 0) AS n_click
+FROM sig GROUP BY ws, source""")
+
+ORACLE["pandas_aggregator"] = with_sig("""
+SELECT ws AS window_start_us, source, COUNT(*) AS n, MAX(k)::BIGINT AS top FROM sig GROUP BY ws, source""")
+
 ORACLE["filter_events"] = with_sig(
     "SELECT arrival_seq, t_us, value FROM sig WHERE source = 'sensor' AND value >= 10")
 
@@ -467,18 +490,18 @@ FROM walk GROUP BY key, start_seq, start_us"""
 ORACLE["throttle"] = "WITH RECURSIVE " + SIG + _anchored("source", 600_000_000) + """
 SELECT arrival_seq, key AS source, t_us FROM walk WHERE start_seq = arrival_seq"""
 
-_SPARSE = "CASE WHEN event_id % 5 <> 0 THEN user_id END"
+_SPARSE = "CASE WHEN event_id % 5 <> 0 THEN CAST(user_id + 1152921504606846977 AS BIGINT) END"
 
 ORACLE["anchored_null_keys"] = "WITH RECURSIVE " + SIG + _anchored(_SPARSE, H) + """
-SELECT key AS user_key, start_seq AS window_seq, start_us AS window_start_us, COUNT(*) AS event_count,
+SELECT CAST(key AS VARCHAR) AS user_key, start_seq AS window_seq, start_us AS window_start_us, COUNT(*) AS event_count,
        MAX(arrival_seq) AS last_seq
 FROM walk GROUP BY key, start_seq, start_us"""
 
 ORACLE["throttle_null_keys"] = "WITH RECURSIVE " + SIG + _anchored(_SPARSE, 12 * H) + """
-SELECT arrival_seq, key AS user_key, t_us FROM walk WHERE start_seq = arrival_seq"""
+SELECT arrival_seq, CAST(key AS VARCHAR) AS user_key, t_us FROM walk WHERE start_seq = arrival_seq"""
 
 ORACLE["fragments_null_keys"] = with_sig(f"""
-SELECT arrival_seq, user_key, window_start_us,
+SELECT arrival_seq, CAST(user_key AS VARCHAR) AS user_key, window_start_us,
        CAST(SUM(chg) OVER (PARTITION BY user_key ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS BIGINT) AS fragment_id
 FROM (SELECT *, CASE WHEN LAG(window_start_us) OVER (PARTITION BY user_key ORDER BY arrival_seq)

@@ -133,7 +133,7 @@ def ledger_from_times(events: DataFrame, received: str = "received_at", processe
     (default: all others).
     """
     gone = F.col(processed).isNull() if dropped is None else F.coalesce(F.col(dropped), F.lit(False))
-    own = (received, processed, dropped, "latency_ms")
+    own = (received, processed, dropped, "received_at", "processed_at", "latency_ms", "dropped")
     keep = list(keep) or [c for c in events.columns if c not in own]
     return events.select(*keep, F.col(received).alias("received_at"), F.col(processed).alias("processed_at"),
                          latency_ms(processed, received).alias("latency_ms"), gone.alias("dropped"))

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fixed values of the data model: the three event families in emission order,
-# the event kinds, the log levels and the payload defaults.
+# Fixed values of the data model: the three event families in emission order
+# and the payload defaults.
 SOURCES = ("sensor", "log", "feed")
-EVENT_TYPES = ("raw", "aggregated", "alert")
-LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 DEFAULT_SOURCE = "feed"
 DEFAULT_EVENT_TYPE = "raw"
 UNKNOWN_LABEL = "UNKNOWN"
@@ -68,7 +66,3 @@ DRIVER_EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
     T.StructField("props", T.StringType()),
 ])
-
-# Flat working form used by every plan (one column per payload field in use).
-SIGNAL_COLUMNS = ("event_id", "arrival_seq", "user_id", "k", "t_us", "ts", "source",
-                  "value", "level", "action", "success")

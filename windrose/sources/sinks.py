@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from windrose.session import stream_checkpoint
 
 OUTPUT_KINDS = ("event", "agg", "metrics")
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}    # the default cuts microseconds off
 
 
 def multiplex(ts_cols: Optional[dict] = None, **frames: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def multiplex(ts_cols: Optional[dict] = None, **frames: DataFrame) -> DataFrame:
         ts_col = ts_cols.get(kind, "ts")
         parts.append(df.select(F.lit(kind).alias("type"),
                                F.col(ts_col).cast("timestamp").alias("ts"),
-                               F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data")))
+                               F.to_json(F.struct(*[F.col(c) for c in df.columns]), _JSON).alias("data")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
