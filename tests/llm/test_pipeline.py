@@ -40,3 +40,29 @@ def test_pipeline_stage_by_stage(spark):
 def test_stages_name_the_operators():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "exact_dedup", "near_dedup", "decontaminate", "byte_bpe"]
+
+
+def _tables(folder, docs, labelled):
+    spark = docs.sparkSession
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in labelled], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "ONE, two!"), (2, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_edge_rows_go_through_the_whole_pipeline(spark, edge, edge_rows, tmp_path):
+    """Null and repeated ids, null, empty and very long texts, copies and columns whose names the operators use."""
+    sf = _tables(tmp_path / "edge", edge, [i for i in edge_rows[0] if i is not None])
+    by_text = {}
+    for i, t in zip(*edge_rows):         # all labels are good, so quality keeps every row
+        by_text.setdefault(t or "", []).append(i)
+    # of equal texts the largest doc_id stays, rows without one only if there is no other
+    left = [(max((i for i in ids if i is not None), default=None), t) for t, ids in by_text.items()]
+    near = components([i for i, _ in left], [t for _, t in left])
+    stays = [(i, t) for i, t in left if (i, i) in {(a, c) for a, _, c in near if a == i}]
+    want = sorted(str(i) for i, t in stays if not list(contaminated([t], [(1, "ONE, two!")]))[0][4])
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, sf).collect()) == want
+
+
+def test_an_empty_table_goes_through_the_whole_pipeline(spark, nothing, tmp_path):
+    assert corpus_pipeline.run(spark, _tables(tmp_path / "none", nothing, [])).count() == 0

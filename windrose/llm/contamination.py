@@ -7,8 +7,9 @@ themselves, and hit spans or documents can be removed.
 
 Defined cases: a null text has no words; an item without words has no window;
 an item shorter than a window is one window; items repeated with the same id
-count once; an item without id counts under the empty id; repeated documents
-are judged row by row; an empty benchmark hits nothing; other columns are
+count once; an item without id counts under the empty id; items that share
+a window are all hit by it; a text of any length is scanned whole; repeated
+documents are judged row by row; an empty benchmark hits nothing; other columns are
 ignored (or passed through by ``remove``).
 """
 

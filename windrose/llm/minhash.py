@@ -18,7 +18,7 @@ band meets, and about 1e-5 that agreement of the 128 signature values falls
 below SCREEN.
 
 Defined cases: a null text counts as empty; a text without words has no
-shingles and is linked with nothing; rows repeated with the same doc_id count
+shingles and is linked with nothing; a text of any length is one set; rows repeated with the same doc_id count
 as one document (all of them are kept or not); rows without doc_id take part,
 and a component of only such rows has no id; an empty table gives an empty
 result; other columns are ignored.

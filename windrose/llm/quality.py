@@ -9,8 +9,10 @@ nearest labelled vectors, from exact cosine products computed block by block.
 Defined cases: a null text counts as empty; an empty text has no vector and
 scores the smoothed share of label 1; a row without doc_id is not held out and
 never learnt from; labels without a quality are ignored, a doc_id labelled
-twice is learnt with each label; without any label every score is 0.5; an
-empty table gives an empty result; other columns are ignored.
+twice is learnt with each label; documents repeated with the same doc_id are
+learnt once each and scored alike; of neighbours equally near the vote takes
+any, with equal weights; a text of any length is weighed whole; without any
+label every score is 0.5; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

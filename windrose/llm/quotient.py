@@ -7,8 +7,8 @@ one route their texts to byte verification: grouping by the text itself.
 
 Defined cases: a null text counts as empty; empty texts are copies of one
 another; rows without doc_id take part, and lose against any row with one; of
-rows repeated with the same doc_id and text exactly one stays; an empty table
-gives an empty result; other columns are ignored.
+rows repeated with the same doc_id and text exactly one stays; a text of any
+length is compared whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ make a shard too large; their windows are counted one by one instead, by
 128-bit digests grouped map-side, which finds the same windows.
 
 Defined cases: a null text counts as empty; a text shorter than LENGTH bytes
-loses nothing; rows repeated, with or without the same doc_id, count as
+loses nothing; a text of any length is one sequence of bytes; rows repeated, with or without the same doc_id, count as
 different places; an empty table gives an empty result; other columns are
 ignored.  Positions are bytes of the UTF-8 text.
 """
