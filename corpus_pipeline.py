@@ -4,6 +4,15 @@
 rows that its predecessor kept and returns a frame that is written as Parquet
 and read again as the next one's documents.  All but the last return the
 columns of ``documents``.
+
+Defined cases, over all stages: a null text counts as empty; an empty or null
+text has the quality score of the labels' share, is one text with its copies,
+has no near copies and no benchmark words, and encodes to no tokens; a text of
+any length is taken whole; of rows with equal texts the largest doc_id stays
+(one without doc_id only if no other has one); rows that share a null or repeated
+doc_id are judged by their own texts; labels without a document, or of a missing
+quality, teach nothing; an empty table gives an empty result; other columns,
+whatever their names, pass through to the last stage.
 """
 
 from __future__ import annotations
