@@ -117,6 +117,12 @@ def test_drop_near_keeps_columns(edge, edge_rows):
     assert Counter(r.doc_id for r in got.collect()) == +want
 
 
+def test_drop_near_runs_one_python_stage_in_a_task(edge):
+    """One for the rows that surely stay, one for the others; none feeds another."""
+    plan = minhash.drop_near(edge)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+
+
 def test_drop_near_judges_each_row_by_its_own_component(spark):
     rng = random.Random(6)
     base, other, alone, lone = (prose(rng, 80) for _ in range(4))

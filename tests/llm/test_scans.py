@@ -429,6 +429,18 @@ def test_scan_is_associative():
     assert (tables[comp[f, g]] == np.take_along_axis(tables[g], tables[f].astype(int), axis=1)).all()
 
 
+def test_bpe_cache_keeps_frequent_pieces_and_its_bound():
+    small, plain = bytepair.Vocabulary(VOCABULARY), bytepair.Vocabulary(VOCABULARY)
+    small.CACHE = 64
+    batches = [[f"frequent words x{i}q{k} " + "z" * 400 for k in range(16)] for i in range(12)]
+    for batch in batches:
+        got = small.encode_batch(batch)
+        assert [x for x, _ in got] == [x for x, _ in plain.encode_batch(batch)]
+        assert len(small.cache) + len(small.cache.before) <= 64 + 100
+        assert max(map(len, [*small.cache, *small.cache.before])) <= small.LONG
+    assert " words" in small.cache or " words" in small.cache.before
+
+
 def test_empty_tables(spark, nothing):
     assert bytepair.digests(nothing, VOCABULARY).count() == 0
     assert secrets.scan_secrets(nothing).count() == 0

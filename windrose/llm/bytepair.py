@@ -33,6 +33,8 @@ WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x20
 # tails of the contractions that the pattern splits off after an apostrophe (fixed values)
 SHORT_TAILS, LONG_TAILS = ("s", "t", "m", "d"), ("re", "ve", "ll")
 
+SLICE = 1 << 18     # code points that one step encodes, about
+
 # automaton: what the code point before was part of
 (S_START, S_LETTER, S_NUMBER, S_OTHER, S_SPACE, S_LEAD, S_TAIL1, S_TAIL2) = range(8)
 # symbols: a code point with what follows it
@@ -166,7 +168,8 @@ def scan_states_with_starts(functions: np.ndarray, symbol: np.ndarray, first: np
 class Vocabulary:
     """Ranks of byte strings, with pair merging cached by piece."""
 
-    CACHE = 1 << 18     # pieces
+    CACHE = 1 << 18     # pieces, in two generations
+    LONG = 256          # bytes; longer pieces are merged on a heap and not cached
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -180,7 +183,7 @@ class Vocabulary:
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(piece) > 256:
+        if len(piece) > self.LONG:
             return self._merge_long(piece)
         parts = [piece[i:i + 1] for i in range(len(piece))]
         pairs = [ranks.get(piece[i:i + 2], 1 << 60) for i in range(len(piece) - 1)]
@@ -240,8 +243,8 @@ class Vocabulary:
         for a, z in zip(bounds, bounds[1:]):
             own = coded[a:z]
             out.append((b"".join(own), np.cumsum(np.fromiter(map(len, own), np.int64, z - a)) >> 2))
-        if len(self.cache) > self.CACHE:
-            self.cache.clear()
+        if len(self.cache) > self.CACHE >> 1:
+            self.cache.turn()
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -249,15 +252,27 @@ class Vocabulary:
 
 
 class _PieceCache(dict):
+    """Ids of the pieces of this generation; those of the one before are taken over
+    when they come up again, so frequent pieces stay and rare ones go."""
+
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.vocabulary.merge(piece.encode()), "<u4").tobytes()
+        ids = self.before.pop(piece, None)
+        if ids is None:
+            ids = np.array(self.vocabulary.merge(piece.encode()), "<u4").tobytes()
+            if len(piece) > self.vocabulary.LONG:
+                return ids
         self[piece] = ids
         return ids
 
+    def turn(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
 @functools.cache
 def vocabulary(path: str) -> Vocabulary:
@@ -274,7 +289,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         v = vocabulary(path)
         for b in batches:
             ids, values = b.column(0), b.column(1).to_pylist()
-            for a, z in slices(values):
+            for a, z in slices(values, SLICE):
                 got = v.encode_batch(values[a:z])
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, z - a), pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x, _ in got],
@@ -309,7 +324,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         v = vocabulary(path)
         for b in batches:
             ids, values = b.column(0), b.column(1).to_pylist()
-            for a, z in slices(values, 1 << 20):
+            for a, z in slices(values, SLICE):
                 coded = [x for x, _ in v.encode_batch(values[a:z])]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(a, z - a), pa.array([len(x) >> 2 for x in coded], pa.int64()),

@@ -298,21 +298,27 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     # a row without words has no digest and is always kept
     gone = materialise(_judged(docs, id_col, text_col, percent).filter("NOT kept")
                        .select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest")).distinct(), "near-dropped")
-    found = members(gone.select(F.xxhash64("_digest").alias("_h")), "_h")
-    keyed = _digested(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*docs.columns).alias("_row")))
-    keyed = keyed.withColumn("_h", F.xxhash64("_key"))
-    sure = only_members(keyed, "_h", found, want=False)
-    checked = only_members(keyed, "_h", found).join(
+    head = F.conv(F.hex(F.substring("_digest", 1, 8)), 16, -10).cast("long")
+    found = members(gone.select(head.alias("_h")), "_h")
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.struct(*docs.columns).alias("_row"))
+    sure = _digested(rows, found, want=False)
+    checked = _digested(rows, found).join(
         gone, (F.col("_key") == F.col("_digest")) & F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
     return sure.unionByName(checked).select("_row.*")
 
 
-def _digested(rows: DataFrame) -> DataFrame:
-    """(_key, _row) of (_text, _row): the digest of the text's word sequence, null without words."""
+def _digested(rows: DataFrame, found: Members, want: bool = True) -> DataFrame:
+    """(_key, _row) of (_text, _row): the digest of the text's word sequence, null without
+    words; those rows whose digest may be (or surely is not) in a table of first 8 bytes.
+
+    One pass does both: a task with two Python stages keeps two workers, and both stay."""
     def run(batches):
         for b in batches:
             words = map(words_of, b.column(0).to_pylist())
             digest = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words]
-            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), b.column(1)], ["_key", "_row"])
+            head = np.frombuffer(b"".join((d or bytes(8))[:8] for d in digest), ">i8").astype(np.int64)
+            maybe = found.test(head) & np.array([d is not None for d in digest], bool)
+            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), b.column(1)], ["_key", "_row"]).filter(
+                pa.array(maybe if want else ~maybe, pa.bool_()))
 
     return rows.mapInArrow(run, StructType([StructField("_key", BinaryType()), rows.schema["_row"]]))
