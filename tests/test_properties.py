@@ -253,6 +253,22 @@ def test_buckets_narrower_than_a_window(spark, small_batches):
             assert [got[i] for i in seqs] == [seqs[w] for w in want]
 
 
+def test_buckets_read_the_input_a_fixed_number_of_times(spark, small_batches):
+    """Running max and pieces are computed once, however many steps read them."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = signal(spark, [{"user_id": i % 3, "ts": at(i * 13 % 70 + i // 9), "source": "log"} for i in range(200)])
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    got = Q.anchored_windows(rows.mapInArrow(count, rows.schema), 5, keys=["user_id"], bucket_rows=8).collect()
+    want = Q.anchored_windows(rows, 5, keys=["user_id"], bucket_rows=1 << 20).collect()
+    assert {r["arrival_seq"]: r["window_seq"] for r in got} == {r["arrival_seq"]: r["window_seq"] for r in want}
+    assert seen.value <= 2 * 200
+
+
 def test_composed_tables_agree_with_a_fold(spark):
     """Composition of step tables against folding the maxima of both nodes."""
     rng = np.random.default_rng(12)

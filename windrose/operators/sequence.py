@@ -22,6 +22,7 @@ sequence number come before all others.
 from __future__ import annotations
 
 import json
+import re
 from typing import NamedTuple, Optional, Sequence, Union
 
 import numpy as np
@@ -324,20 +325,41 @@ def bucket_exits(t: np.ndarray, size_us: int, before: int) -> tuple[np.ndarray,
     return entries[keep], exits[keep]
 
 
-def _exits_of(size_us: int, place: list[str]):
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_seq")
+def _exit_steps(size_us: int, place: list[str]):
+    """Steps of groups streamed batch by batch; rows arrive sorted by (group, seq), the
+    first of a group is marked.  A worker holds the rows of one group and one batch."""
+    def steps(held: list[pa.RecordBatch]):
+        table = pa.Table.from_batches(held).combine_chunks()
+        if not table.num_rows:
+            return
         t, sq, ahead = (table[c].to_numpy() for c in ("_t", "_seq", "_pm_before"))
-        before, rises = int(ahead[0]), t > ahead
-        t, sq = t[rises], sq[rises]
-        entries, exits = bucket_exits(t, size_us, before)
+        starts = np.flatnonzero(table["_new"].to_numpy())
+        bounds = [*starts.tolist(), len(t)]
+        found = [bucket_exits(t[lo:hi], size_us, int(ahead[lo])) for lo, hi in zip(bounds, bounds[1:])]
+        entries = np.concatenate([e + lo for (e, _), lo in zip(found, bounds)])
+        exits = np.concatenate([x + lo for (_, x), lo in zip(found, bounds)])
+        sizes = [len(e) for e, _ in found]
+        before = np.repeat(ahead[starts], sizes)
         ends = t[entries]
-        one = table.slice(0, 1).select(place)
-        rows = one.take(pa.array(np.zeros(len(entries), np.int64)))
-        for name, values in (("_lo", np.append(before, ends[:-1])[:len(ends)]), ("_hi", ends), ("_exit_t", t[exits]),
-                             ("_exit_seq", sq[exits]), ("_before", np.full(len(ends), before))):
+        low = np.append(before[:1], ends[:-1])
+        firsts = (np.cumsum(sizes) - sizes)[np.array(sizes) > 0]
+        low[firsts] = before[firsts]
+        rows = table.select(place).take(pa.array(np.repeat(starts, sizes)))
+        for name, values in (("_lo", low), ("_hi", ends), ("_exit_t", t[exits]), ("_exit_seq", sq[exits]), ("_before", before)):
             rows = rows.append_column(name, pa.array(values.astype(np.int64)))
-        return rows
+        yield from rows.to_batches()
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            new = np.flatnonzero(b.column("_new").to_numpy(zero_copy_only=False))
+            if len(new):
+                yield from steps([*held, b.slice(0, new[-1])])
+                held = [b.slice(new[-1])]
+            else:
+                held.append(b)
+        if held:
+            yield from steps(held)
     return run
 
 
@@ -392,11 +414,14 @@ def _open_at_buckets(rest: DataFrame, size_us: int, by: list[str]) -> Optional[D
     most = used.agg(F.max("_node")).first()[0]
     if most is None:
         return None
-    records = rest.select(*by, "_piece", "_aw_bucket", "_seq", "_t", "_pm_before").join(
-        used.drop("_piece_t"), [*by, "_piece", "_aw_bucket"])
+    # openers rise above all earlier times; the running max ahead of a bucket's first such row is the bucket's
+    rising = rest.filter(F.col("_t") > F.col("_pm_before")).select(*by, "_piece", "_aw_bucket", "_seq", "_t", "_pm_before")
+    records = rising.join(used.drop("_piece_t"), [*by, "_piece", "_aw_bucket"])
     fields = [records.schema[c] for c in place]
     names = ("_lo", "_hi", "_exit_t", "_exit_seq", "_before")
-    table = records.groupBy(*place).applyInArrow(_exits_of(size_us, place), T.StructType(
+    marked = records.select(*place, "_seq", "_t", "_pm_before",
+                            (F.row_number().over(Window.partitionBy(*place).orderBy("_seq")) == 1).alias("_new"))
+    table = marked.mapInArrow(_exit_steps(size_us, place), T.StructType(
         fields + [T.StructField(c, T.LongType()) for c in names]))
     tables = [kept_table(table, "anchored-steps")]
     for _ in range(int(most).bit_length() - 1):
@@ -420,6 +445,11 @@ def _open_at_buckets(rest: DataFrame, size_us: int, by: list[str]) -> Optional[D
     return states.join(used, place).select(*by, "_piece", "_aw_bucket", "_open_t", "_open_seq")
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    """A kept table, or the frame itself where it has types that Parquet does not hold."""
+    return df if re.search(r"\b(void|interval)\b", df.schema.simpleString()) else kept_table(df, label)
+
+
 def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
                      ts: str = "ts", seq: str = "arrival_seq",
                      bucket_rows: BucketRows = "auto",
@@ -438,8 +468,9 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     the strictly rising running maxima, so the next opener is a function of the
     open start); these tables are composed in pairs up a tree and evaluated down
     it, in Spark joins: no task holds more rows than a bucket or two tables,
-    however long a key goes without a pause.  Tables lie in the shared
-    checkpoint folder; data of one bucket needs none.
+    however long a key goes without a pause.  The running max, the pieces and
+    the tables are computed once and lie in the shared checkpoint folder; data of
+    one bucket needs none.
     Adds ``window_start_us``, ``window_seq`` (opener's sequence number) and
     ``opens_window``.
 
@@ -457,14 +488,19 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     # an event without a time joins the open window, or opens one before all others
     base = base.withColumn("_t", F.coalesce(F.unix_micros(F.col(ts)), F.lit(-(1 << 62)))) \
         .withColumn("_seq", _ordered(seq))
+    single = auto and buckets.single
     with_pm = prefix_max(base, "_t", "_pm_before", seq=seq, keys=by, inclusive=False,
                          bucket_col="_aw_bucket")
+    if not single:      # read several times below
+        with_pm = _kept(with_pm, "anchored-running")
     cut = F.col("_pm_before").isNull() | (F.col("_t") >= F.col("_pm_before") + F.lit(size_us))
     # along the cuts sequence, time and bucket all rise, so a running max gives the last cut's
     marked = with_pm.withColumns({"_cut_seq": F.when(cut, F.col("_seq")), "_cut_t": F.when(cut, F.col("_t")),
                                   "_cut_bucket": F.when(cut, F.col("_aw_bucket"))})
     pieces = prefix_scan(marked, ["_cut_seq", "_cut_t", "_cut_bucket"], ["_piece", "_piece_t", "_piece_bucket"],
                          seq=seq, keys=by, how="max", bucket_col="_aw_bucket")
+    if not single:
+        pieces = _kept(pieces, "anchored-pieces")
     first = F.greatest("_pm_before", "_t") < F.col("_piece_t") + F.lit(size_us)
     settled = pieces.filter(first).select(
         *df.columns, F.col("_piece_t").alias("window_start_us"), F.col("_piece").alias("window_seq"),
@@ -473,7 +509,7 @@ def anchored_windows(df: DataFrame, size: Duration, keys: Sequence[str] = (),
     rest = pieces.filter(~first)
     place = [*by, "_piece", "_aw_bucket"]
     shuffled = rest.repartition(*([num_partitions] if num_partitions else []), *[F.col(c) for c in place])
-    opened = None if auto and buckets.single else _open_at_buckets(rest, size_us, by)
+    opened = None if single else _open_at_buckets(rest, size_us, by)
     start_t, start_seq = F.col("_piece_t"), F.col("_piece")
     if opened is not None:
         shuffled = shuffled.join(opened, place, "left")
